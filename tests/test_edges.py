@@ -1,0 +1,262 @@
+"""Small hand-made rows for the rules that data alone rarely shows."""
+
+import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from metricloom.functions import capitalise, ratio, surrogate_key, tenure_days
+from metricloom.operators import funnel, quality, revenue, staging, star
+from metricloom.plans import marts, serving
+from metricloom.sources import schemas
+
+AS_OF = "2024-03-01 01:00:00"
+
+
+def now():
+    return F.lit(AS_OF).cast("timestamp_ntz")
+
+
+def customer(cid, signup="2024-02-29 23:00:00", segment="Pro", active="True"):
+    return (
+        cid, " Ann ", "O'Neil ", " Ann@X.COM", signup, "  us ", " Paid_Search", segment, active
+    )
+
+
+def customers(spark, *rows):
+    return staging.stage_customers(spark.createDataFrame(list(rows), schemas.CUSTOMERS))
+
+
+def events(spark, *rows):
+    full = [
+        (f"E{i}", who, at, kind, " Web ", "S1") for i, (who, at, kind) in enumerate(rows)
+    ]
+    return staging.stage_events(spark.createDataFrame(full, schemas.EVENTS))
+
+
+def payments(spark, *rows):
+    full = [
+        (f"P{i}", who, at, amount, currency, status, "pRO")
+        for i, (who, at, amount, currency, status) in enumerate(rows)
+    ]
+    return staging.stage_payments(spark.createDataFrame(full, schemas.PAYMENTS))
+
+
+def test_customer_cleanup(spark):
+    row = customers(spark, customer("1")).first()
+    assert (row.first_name, row.last_name, row.email) == ("Ann", "O'Neil", "ann@x.com")
+    assert (row.country_code, row.acquisition_channel) == ("US", "paid_search")
+    assert row.signup_at == datetime.datetime(2024, 2, 29, 23)
+
+
+def test_segments(spark):
+    raw = spark.createDataFrame(
+        [customer(str(i), segment=s) for i, s in enumerate(["ENTERPRISE", "gold", None, "free"])],
+        schemas.CUSTOMERS,
+    )
+    normal = [r.segment for r in staging.stage_customers(raw).orderBy("customer_id").collect()]
+    strict = staging.stage_customers(raw, strict=True).orderBy("customer_id").collect()
+    assert normal == ["Enterprise", "Gold", None, "Free"]
+    assert [r.segment for r in strict] == ["Enterprise", None, None, "Free"]
+    check = quality.AcceptedValues("c", "segment", ["Free", "Pro", "Business", "Enterprise"])
+    report = quality.run_checks({"c": staging.stage_customers(raw)}, [check])
+    assert report.first().failures == 1
+
+
+def test_flags(spark):
+    words = ["1", "t", "TRUE", "no", None, "True", "yes"]
+    rows = customers(spark, *[customer(str(i), active=w) for i, w in enumerate(words)])
+    got = [r.is_active for r in rows.orderBy("customer_id").collect()]
+    assert got == [True, True, True, False, False, True, False]
+
+
+def test_event_cleanup_and_steps(spark):
+    at = "2024-01-01 00:00:00"
+    kinds = [" Page_View ", "feature_used", "UPGRADED", None]
+    staged = events(spark, *[("1", at, k) for k in kinds])
+    assert [r.funnel_step for r in staged.orderBy("event_id").collect()] == [1, None, 5, None]
+    facts = star.fct_events(staged, star.dim_customers(customers(spark, customer("1")), now()))
+    flags = facts.orderBy("event_id").select("is_page_view", "is_upgrade").collect()
+    assert [tuple(f) for f in flags] == [(1, 0), (0, 0), (0, 1), (0, 0)]
+
+
+def test_currency_and_plan(spark):
+    at = "2024-01-05 10:00:00"
+    staged = payments(
+        spark, ("1", at, "10.05", " eur", "Succeeded"), ("1", at, "10", "XXX", "succeeded"),
+    ).orderBy("payment_id").collect()
+    assert staged[0].currency == "EUR"
+    assert staged[0].amount_usd == Decimal("10.854000")
+    assert staged[0].plan == "Pro"
+    assert staged[1].amount_usd is None
+
+
+def test_payment_facts(spark):
+    at = "2024-01-05 10:00:00"
+    dim = star.dim_customers(customers(spark, customer("1", segment="free")), now())
+    facts = star.fct_payments(
+        payments(
+            spark,
+            ("1", at, "10", "USD", "succeeded"), ("1", at, "20", "USD", "failed"),
+            ("1", at, "30", "USD", "refunded"), ("9", at, "40", "USD", "succeeded"),
+            ("1", at, "50", "XXX", "succeeded"),
+        ),
+        dim,
+    ).orderBy("payment_id").collect()
+    assert [r.recognized_amount_usd for r in facts] == [10, 0, 0, 40, None]
+    assert [r.is_recognized_revenue for r in facts] == [True, False, False, True, True]
+    assert [r.customer_segment for r in facts] == ["Free"] * 3 + [None, "Free"]
+    assert facts[3].customer_sk is None and facts[0].customer_sk == dim.first().customer_sk
+
+
+@pytest.mark.parametrize("from_facts", [True, False])
+def test_revenue(spark, from_facts):
+    dim = star.dim_customers(
+        customers(spark, customer("1"), customer("2"), customer("3", segment="free")), now()
+    )
+    staged = payments(
+        spark,
+        ("1", "2024-01-05 10:00:00", "10", "USD", "succeeded"),
+        ("1", "2024-01-31 23:59:59", "10", "USD", "succeeded"),
+        ("2", "2024-01-06 10:00:00", "10", "USD", "succeeded"),
+        ("2", "2024-04-06 10:00:00", "45", "USD", "succeeded"),  # no rows in between
+        ("3", "2024-01-06 10:00:00", "0", "USD", "succeeded"),  # baseline of 0
+        ("3", "2024-02-06 10:00:00", "9", "USD", "succeeded"),
+        ("1", "2024-01-07 10:00:00", "99", "USD", "failed"),
+        ("2", "2024-04-07 10:00:00", "99", "XXX", "succeeded"),  # no rate: counted, not summed
+        ("9", "2024-04-07 10:00:00", "7", "USD", "succeeded"),  # unknown customer
+    )
+    if from_facts:
+        mart = marts.kpi_revenue_by_segment(star.fct_payments(staged, dim))
+    else:
+        mart = marts.kpi_revenue_by_segment_of(staged, dim)
+    got = {(str(r.month_start), r.segment): tuple(r)[2:] for r in mart.collect()}
+    assert got == {
+        ("2024-01-01", "Pro"): (30, 2, 3, None, None, 15.0),
+        ("2024-04-01", "Pro"): (45, 1, 2, 30, 0.5, 45.0),
+        ("2024-01-01", "Free"): (0, 1, 1, None, None, 0.0),
+        ("2024-02-01", "Free"): (9, 1, 1, 0, None, 9.0),
+        ("2024-04-01", None): (7, 1, 1, None, None, 7.0),
+    }
+    assert {str(r.month_start): r.revenue for r in serving.revenue_by_month(mart).collect()} == {
+        "2024-01-01": 30, "2024-02-01": 9, "2024-04-01": 52,
+    }
+
+
+def test_funnel(spark):
+    dim = star.dim_customers(
+        customers(
+            spark,
+            customer("1", "2024-01-10 00:00:00"), customer("2", "2024-01-31 23:00:00"),
+            customer("3", "2024-02-01 00:00:00"), customer("4", None),
+        ),
+        now(),
+    )
+    staged = events(
+        spark,
+        ("1", "2023-01-01 00:00:00", "activated"),  # before signup, and without completing
+        ("1", "2024-01-11 00:00:00", "upgraded"),
+        ("2", "2024-01-11 00:00:00", "sign_up_started"),
+        ("2", "2024-01-12 00:00:00", "activated"),
+        ("9", "2024-01-12 00:00:00", "activated"),  # unknown customer
+        (None, "2024-01-12 00:00:00", "activated"),
+    )
+    got = {r.cohort_month and str(r.cohort_month): tuple(r)[1:] for r in
+           marts.kpi_funnel_conversion(dim, staged).collect()}
+    assert got == {
+        "2024-01-01": (2, 1, 0, 2, 1, 0.5, 0.0, 1.0, 0.5, None, 0.5),
+        "2024-02-01": (1, 0, 0, 0, 0, 0.0, 0.0, 0.0, 0.0, None, None),
+        None: (1, 0, 0, 0, 0, 0.0, 0.0, 0.0, 0.0, None, None),
+    }
+    assert serving.funnel_latest_cohort(
+        marts.kpi_funnel_conversion(dim, staged)
+    ).first().cohort_month == datetime.date(2024, 2, 1)
+
+
+def test_duplicate_customers_count_once_per_cohort(spark):
+    dim = star.dim_customers(customers(spark, customer("1"), customer("1")), now())
+    assert funnel.customer_milestones(dim, events(spark, ("1", AS_OF, "activated"))).count() == 1
+
+
+def test_tenure_counts_midnights(spark):
+    dim = star.dim_customers(customers(spark, customer("1")), now())
+    assert dim.first().days_since_signup == 1
+    assert dim.select(tenure_days("signup_at", F.col("signup_at"))).first()[0] == 0
+
+
+def test_calendar(spark):
+    days = {str(r.date_day): r for r in star.dim_date(spark).collect()}
+    assert len(days) == 1826
+    assert min(days) == "2023-01-01" and max(days) == "2027-12-31"
+    leap = days["2024-02-29"]
+    assert (leap.year, leap.quarter, leap.month, leap.day_of_month) == (2024, 1, 2, 29)
+    assert (leap.day_name, leap.month_name) == ("Thursday", "February")
+    assert (days["2024-03-03"].day_of_week, days["2024-03-03"].is_weekend) == (0, True)
+    assert (days["2024-03-02"].day_of_week, days["2024-03-02"].is_weekend) == (6, True)
+    assert (days["2024-03-04"].day_of_week, days["2024-03-04"].is_weekend) == (1, False)
+    assert days["2024-06-30"].quarter_start == datetime.date(2024, 4, 1)
+
+
+def test_scalars(spark):
+    row = spark.range(1).select(
+        capitalise(F.lit("eNTERPRISE")).alias("a"),
+        surrogate_key(F.lit("a")).alias("b"),
+        surrogate_key(F.lit(None).cast("string")).alias("c"),
+        ratio(F.lit(1), F.lit(0), 4).alias("d"),
+        ratio(F.lit(1), F.lit(0), 4, 0).alias("e"),
+        ratio(F.lit(1), F.lit(3), 4, 0).alias("f"),
+        ratio(F.lit(None).cast("int"), F.lit(3), 4, 0).alias("g"),
+    ).first()
+    assert tuple(row) == (
+        "Enterprise", "0cc175b9c0f1b6a831c399e269772661", None, None, 0.0, 0.3333, None
+    )
+
+
+def test_bad_text_is_an_error_not_a_null(spark):
+    with pytest.raises(Exception):
+        customers(spark, customer("1", signup="not a time")).collect()
+
+
+@pytest.mark.parametrize(
+    "hours, status", [(11, "pass"), (12, "pass"), (13, "warn"), (24, "warn"), (25, "error")]
+)
+def test_freshness(spark, hours, status):
+    newest = datetime.datetime(2024, 3, 1) - datetime.timedelta(hours=hours)
+    df = spark.createDataFrame([(str(newest),), ("2020-01-01 00:00:00",)], "at string")
+    got = quality.source_freshness(
+        df, "events", "at", (12, 24), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    ).first()
+    assert (got.status, got.age_hours) == (status, float(hours))
+
+
+def test_empty_source_is_an_error(spark):
+    df = spark.createDataFrame([], "at string")
+    got = quality.source_freshness(df, "events", "at", (12, 24), now()).first()
+    assert got.status == "error"
+
+
+def test_checks(spark):
+    child = spark.createDataFrame([("a",), ("a",), (None,), ("b",), ("x",), ("x",)], "k string")
+    parent = spark.createDataFrame([("a",), ("b",)], "k string")
+    tables = {"child": child, "parent": parent}
+    report = quality.run_checks(
+        tables,
+        [
+            quality.Unique("child", "k"),
+            quality.Unique("parent", "k"),
+            quality.NotNull("child", "k"),
+            quality.Relationship("child", "k", "parent", "k"),
+            quality.AcceptedValues("child", "k", ["a"]),
+        ],
+    )
+    assert {r.check_name: r.failures for r in report.collect()} == {
+        "unique_child_k": 2,
+        "unique_parent_k": 0,
+        "not_null_child_k": 1,
+        "relationships_child_k__parent_k": 2,
+        "accepted_values_child_k": 3,
+    }
+    assert quality.excess_rows(child, "k").first().failures == 3
+    with pytest.raises(quality.QualityError, match="not_null_child_k: 1"):
+        quality.require_no_failures(report)
