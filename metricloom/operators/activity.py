@@ -54,32 +54,29 @@ def rolling_distinct(
     if calendar is not None:
         changes = changes.unionByName(_quiet_days(calendar, windows))
 
-    per_day = changes.groupBy("on_day").agg(
-        *[F.sum(name).alias(name) for name in windows],
-        F.max("has_data").alias("has_data"),
-        F.max("in_calendar").alias("in_calendar"),
-    )
-    # One row per day by now: the running sum in a single task is bounded by
-    # the length of the calendar, whatever the number of events or keys.
-    so_far = Window.orderBy("on_day").rowsBetween(Window.unboundedPreceding, 0)
-    running = per_day.select(
-        "on_day",
-        "has_data",
-        "in_calendar",
-        *[F.sum(name).over(so_far).alias(name) for name in windows],
-    )
+    # One row per day and window by now: the running sum in a single task is
+    # bounded by the length of the calendar, whatever the number of events or
+    # keys. The range frames take all rows of a day together.
+    by_day = Window.orderBy("on_day")
+    so_far = by_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    same_day = by_day.rangeBetween(Window.currentRow, Window.currentRow)
+    counts = {name: F.sum(name).over(so_far) for name in windows}
     if calendar is None:
+        running = changes.select("on_day", "has_data", *_named(counts))
         return running.where("has_data").select(F.col("on_day").alias(day), *windows)
 
-    def shown(name: str) -> Column:
-        count = F.col(name)
-        if anchors == EVENT_DAYS:
-            count = F.when(F.col("has_data"), count).otherwise(F.lit(0).cast("long"))
-        return count.alias(name)
+    if anchors == EVENT_DAYS:
+        any_data = F.max("has_data").over(same_day)
+        counts = {
+            name: F.when(any_data, count).otherwise(F.lit(0).cast("long"))
+            for name, count in counts.items()
+        }
+    running = changes.select("on_day", "in_calendar", *_named(counts))
+    return running.where("in_calendar").select(F.col("on_day").alias("date_day"), *windows)
 
-    return running.where("in_calendar").select(
-        F.col("on_day").alias("date_day"), *[shown(name) for name in windows]
-    )
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def _daily_counters(df: DataFrame, day: str, key: str, windows: dict[str, int]) -> DataFrame:

@@ -12,7 +12,7 @@ from metricloom.operators.staging import USD
 
 def day_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Every day from ``first`` to ``last``, both included."""
-    bounds = spark.range(1).select(
+    bounds = spark.range(0, 1, 1, numPartitions=1).select(
         F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last")
     )
     return _days_between(bounds)

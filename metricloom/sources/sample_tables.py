@@ -6,8 +6,11 @@ Every adapter keeps all rows of its table. Values are made untidy on purpose
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Market segment to the raw text of a customer segment.
 SEGMENT_TEXT = {
@@ -33,15 +36,21 @@ UNRATED_CURRENCY = "CHF"
 UNRATED_FROM = 480_000
 
 
-def _lookup(key: Column, words: dict) -> Column:
-    chain = None
-    for value, word in words.items():
-        chain = (F if chain is None else chain).when(key == value, F.lit(word))
-    return chain
+def _lookup(key: str, words: dict) -> str:
+    """SQL text of a fixed lookup."""
+    pairs = " ".join(f"WHEN {value!r} THEN {word!r}" for value, word in words.items())
+    return f"CASE {key} {pairs} END"
+
+
+@lru_cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A sample table; footers are read for the schema once per session."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,56 +64,49 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "customer")
         .join(first_order, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .select(
-            F.col("c_custkey").cast("string").alias("customer_id"),
-            F.concat(F.lit(" "), F.split_part("c_name", F.lit("#"), F.lit(1))).alias("first_name"),
-            F.concat(F.split_part("c_name", F.lit("#"), F.lit(2)), F.lit("  ")).alias("last_name"),
-            F.concat("c_name", F.lit("@Example.COM ")).alias("email"),
+        .selectExpr(
+            "cast(c_custkey AS string) AS customer_id",
+            "concat(' ', split_part(c_name, '#', 1)) AS first_name",
+            "concat(split_part(c_name, '#', 2), '  ') AS last_name",
+            "concat(c_name, '@Example.COM ') AS email",
             "signup_date",
-            F.concat(F.lit(" n"), F.col("c_nationkey").cast("string")).alias("country"),
-            _lookup(F.col("c_nationkey") % 5, CHANNEL_TEXT).alias("acquisition_channel"),
-            _lookup(F.col("c_mktsegment"), SEGMENT_TEXT).alias("segment"),
-            F.when(balance > 5000, "True")
-            .when(balance > 2500, "1")
-            .when(balance > 0, "t")
-            .otherwise("no")
-            .alias("is_active"),
+            "concat(' n', c_nationkey) AS country",
+            f"{_lookup('c_nationkey % 5', CHANNEL_TEXT)} AS acquisition_channel",
+            f"{_lookup('c_mktsegment', SEGMENT_TEXT)} AS segment",
+            "CASE WHEN c_acctbal > 5000 THEN 'True' WHEN c_acctbal > 2500 THEN '1'"
+            " WHEN c_acctbal > 0 THEN 't' ELSE 'no' END AS is_active",
         )
     )
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """App events; kind and value decide the type, so some users never reach a step."""
-    kind, value = F.col("event_type"), F.col("value")
-    event_type = (
-        F.when(kind == "view", " Page_View")
-        .when((kind == "click") & (value > 100), "SIGN_UP_STARTED")
-        .when((kind == "signup") & (value > 110), "sign_up_completed ")
-        .when((kind == "purchase") & (value > 150), "Upgraded")
-        .when((kind == "purchase") & (value > 80), "activated")
-        .when(kind == "error", "churned")
-        .otherwise("feature_used")
-    )
-    return table(spark, folder, "events").select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("user_id").cast("string").alias("customer_id"),
-        F.col("ts").alias("event_timestamp"),
-        event_type.alias("event_type"),
-        F.when(value < 30, "Web ").when(value < 60, " iOS").otherwise("ANDROID").alias("platform"),
-        F.format_string("S%08d", "user_id").alias("session_id"),
+    return table(spark, folder, "events").selectExpr(
+        "cast(event_id AS string) AS event_id",
+        "cast(user_id AS string) AS customer_id",
+        "ts AS event_timestamp",
+        "CASE WHEN event_type = 'view' THEN ' Page_View'"
+        " WHEN event_type = 'click' AND value > 100 THEN 'SIGN_UP_STARTED'"
+        " WHEN event_type = 'signup' AND value > 110 THEN 'sign_up_completed '"
+        " WHEN event_type = 'purchase' AND value > 150 THEN 'Upgraded'"
+        " WHEN event_type = 'purchase' AND value > 80 THEN 'activated'"
+        " WHEN event_type = 'error' THEN 'churned'"
+        " ELSE 'feature_used' END AS event_type",
+        "CASE WHEN value < 30 THEN 'Web ' WHEN value < 60 THEN ' iOS' ELSE 'ANDROID' END"
+        " AS platform",
+        "format_string('S%08d', user_id) AS session_id",
     )
 
 
 def raw_payments(spark: SparkSession, folder: str) -> DataFrame:
     """Payments; one per order."""
-    return table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("payment_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        F.col("o_orderdate").alias("payment_timestamp"),
-        F.col("o_totalprice").alias("amount"),
-        F.when(F.col("o_totalprice") >= UNRATED_FROM, UNRATED_CURRENCY)
-        .otherwise(_lookup(F.col("o_orderpriority"), CURRENCY_TEXT))
-        .alias("currency"),
-        _lookup(F.col("o_orderstatus"), STATUS_TEXT).alias("status"),
-        F.substr("o_orderpriority", F.lit(3)).alias("plan"),
+    return table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey AS string) AS payment_id",
+        "cast(o_custkey AS string) AS customer_id",
+        "o_orderdate AS payment_timestamp",
+        "o_totalprice AS amount",
+        f"CASE WHEN o_totalprice >= {UNRATED_FROM} THEN '{UNRATED_CURRENCY}'"
+        f" ELSE {_lookup('o_orderpriority', CURRENCY_TEXT)} END AS currency",
+        f"{_lookup('o_orderstatus', STATUS_TEXT)} AS status",
+        "substr(o_orderpriority, 3) AS plan",
     )
