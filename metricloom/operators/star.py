@@ -28,11 +28,11 @@ def _days_between(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first", "last")).alias("date_day"))
 
 
-def describe_days(spine: DataFrame) -> DataFrame:
-    """Calendar attributes of each ``date_day``; Sunday is weekday 0."""
+def describe_days(days: DataFrame) -> DataFrame:
+    """Calendar attributes of each ``date_day``, other columns kept; Sunday is weekday 0."""
     day = F.col("date_day")
     weekday = F.dayofweek(day) - 1
-    return spine.select(
+    return days.select(
         "date_day",
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),
@@ -45,6 +45,7 @@ def describe_days(spine: DataFrame) -> DataFrame:
         F.trunc(day, "quarter").alias("quarter_start"),
         F.trunc(day, "year").alias("year_start"),
         weekday.isin(0, 6).alias("is_weekend"),
+        *[c for c in days.columns if c != "date_day"],
     )
 
 

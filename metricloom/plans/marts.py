@@ -29,12 +29,18 @@ def kpi_daily_active_users(
     key: str = "customer_id",
     anchors: str = activity.EVENT_DAYS,
 ) -> DataFrame:
-    """Daily, weekly and monthly active users of every calendar day start … end."""
+    """Daily, weekly and monthly active users of every calendar day start … end.
+
+    Only events that some reported window can see are read, so on facts
+    partitioned by day the scan is cut to the report's days and one month more.
+    """
+    first = F.lit(start).cast("date")
     last = F.current_date() if end is None else F.lit(end).cast("date")
-    days = calendar.where(F.col("date_day").between(F.lit(start).cast("date"), last))
+    days = calendar.where(F.col("date_day").between(first, last)).select("date_day")
+    seen = events.where(F.col(day).between(F.date_sub(first, fixed.MONTH_DAYS - 1), last))
     windows = {"dau": 1, "wau": fixed.WEEK_DAYS, "mau": fixed.MONTH_DAYS}
     return with_stickiness(
-        activity.rolling_distinct(events, day, key, windows, days.select("date_day"), anchors)
+        activity.rolling_distinct(seen, day, key, windows, days, anchors)
     )
 
 

@@ -441,9 +441,10 @@ ORACLE: dict[str, str] = {
     "dau_mau_stickiness": sql(["daily", "thirty"], """
         select event_date, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),
-    "calendar_gap_fill": sql(["days", "ev"], """
+    "calendar_gap_fill": sql(["days", "ev", "paid"], """
         select date_day, count(event_id) as events, count(distinct customer_id) as users,
-               count(funnel_step) as funnel_events
+               count(funnel_step) as funnel_events,
+               (select count(*) from paid where payment_date = date_day) as payments
         from days left join ev on event_date = date_day group by date_day"""),
     "kpi_daily_active_users": sql(["kpi_users"], "select * from kpi_users"),
     "kpi_daily_active_users_calendar": sql(["kpi_users_calendar"],

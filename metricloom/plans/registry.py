@@ -273,12 +273,13 @@ def payments_fx_usd(spark, folder):
 @query
 def dim_date(spark, folder):
     """Calendar over the order dates, with the orders of each day."""
-    orders = sample.table(spark, folder, "orders")
-    day = F.col("o_orderdate").cast("date")
-    per_day = orders.groupBy(day.alias("order_day")).agg(F.count("*").alias("orders"))
-    spine = star.day_spine_of(orders, day)
-    counted = activity.fill_calendar(spine, [(per_day, "order_day")])
-    return star.describe_days(spine).join(counted, "date_day")
+    per_day = (
+        sample.table(spark, folder, "orders")
+        .groupBy(F.col("o_orderdate").cast("date").alias("order_day"))
+        .agg(F.count("*").alias("orders"))
+    )
+    spine = star.day_spine_of(per_day, F.col("order_day"))
+    return star.describe_days(activity.fill_calendar(spine, [(per_day, "order_day")]))
 
 
 @query
@@ -377,14 +378,23 @@ def dau_mau_stickiness(spark, folder):
 
 @query
 def calendar_gap_fill(spark, folder):
-    """Three daily measures joined to the report days, missing days as 0."""
-    events = _dated_events(spark, folder)
-    per_day = events.groupBy("event_date").agg(F.count("*").alias("events"))
-    users = activity.daily_distinct(events, "event_date", "customer_id", "users")
-    steps = events.groupBy("event_date").agg(F.count("funnel_step").alias("funnel_events"))
+    """Daily measures of events and payments on the report days, missing days as 0."""
+    per_day = (
+        _dated_events(spark, folder)
+        .groupBy("event_date")
+        .agg(
+            F.count("*").alias("events"),
+            F.countDistinct("customer_id").alias("users"),
+            F.count("funnel_step").alias("funnel_events"),
+        )
+    )
+    paid = (
+        _dated_payments(spark, folder)
+        .groupBy("payment_date")
+        .agg(F.count("*").alias("payments"))
+    )
     return activity.fill_calendar(
-        _report_days(spark),
-        [(per_day, "event_date"), (users, "event_date"), (steps, "event_date")],
+        _report_days(spark), [(per_day, "event_date"), (paid, "payment_date")]
     )
 
 

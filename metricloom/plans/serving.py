@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricloom.operators.quality import union_all
 
 
+MAX_FETCHED_ROWS = 100_000
+
+
+def fetch(df: DataFrame, max_rows: int = MAX_FETCHED_ROWS) -> pd.DataFrame:
+    """A small result on the driver; a larger one is refused, not cut."""
+    rows = df.limit(max_rows + 1).toPandas()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows; aggregate further before fetching")
+    return rows
+
+
 def latest_days(active_users: DataFrame, days: int = 30) -> DataFrame:
     """The newest days, newest first."""
     return active_users.orderBy(F.desc("date_day")).limit(days)

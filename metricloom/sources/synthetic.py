@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
 
-# Ids are spread over this many groups to be numbered without a global sort.
+# Ids are spread over groups to be numbered without a global sort: at least
+# this many groups, and more where a group would pass this many ids.
 INDEX_BUCKETS = 256
+INDEX_BUCKET_ROWS = 1_000_000
 
 
 def _hash32(text: Column, draw: int) -> Column:
@@ -53,6 +55,10 @@ def seconds_after(start: str, seconds: Column) -> Column:
     )
 
 
+def index_buckets(rows: int) -> int:
+    return max(INDEX_BUCKETS, rows // INDEX_BUCKET_ROWS)
+
+
 def dense_index(df: DataFrame, key: str, buckets: int = INDEX_BUCKETS) -> DataFrame:
     """Number the rows 0 … n - 1 by bucket and key.
 
@@ -119,12 +125,13 @@ def events(
     ids: DataFrame, n: int = fixed.SYNTHETIC_EVENTS, seed: int = fixed.EVENT_SEED
 ) -> DataFrame:
     """``n`` raw events spread evenly over the ``customer_id`` of ``ids``."""
-    indexed = dense_index(ids.select("customer_id"), "customer_id")
+    choices = ids.count()
+    indexed = dense_index(ids.select("customer_id"), "customer_id", index_buckets(choices))
     row = F.col("id")
     draws = [uniform(seed, row, i) for i in range(5)]
     drawn = ids.sparkSession.range(1, n + 1).select(
         F.format_string(fixed.EVENT_KEY, row).alias("event_id"),
-        whole(draws[0], ids.count()).alias("row_index"),
+        whole(draws[0], choices).alias("row_index"),
         _activity_time(draws[1]).alias("event_timestamp"),
         weighted_pick(draws[2], fixed.EVENT_TYPES, fixed.EVENT_WEIGHTS).alias("event_type"),
         weighted_pick(draws[3], fixed.PLATFORMS, fixed.PLATFORM_WEIGHTS).alias("platform"),
@@ -141,14 +148,17 @@ def payments(
     paying: DataFrame, n: int = fixed.SYNTHETIC_PAYMENTS, seed: int = fixed.PAYMENT_SEED
 ) -> DataFrame:
     """``n`` raw payments spread evenly over paying customers (id and segment)."""
+    choices = paying.count()
     indexed = dense_index(
-        paying.select("customer_id", F.col("segment").alias("plan")), "customer_id"
+        paying.select("customer_id", F.col("segment").alias("plan")),
+        "customer_id",
+        index_buckets(choices),
     )
     row = F.col("id")
     draws = [uniform(seed, row, i) for i in range(5)]
     drawn = paying.sparkSession.range(1, n + 1).select(
         F.format_string(fixed.PAYMENT_KEY, row).alias("payment_id"),
-        whole(draws[0], paying.count()).alias("row_index"),
+        whole(draws[0], choices).alias("row_index"),
         _activity_time(draws[1]).alias("payment_timestamp"),
         pick(draws[2], fixed.PRICE_MULTIPLES).alias("multiple"),
         weighted_pick(draws[3], fixed.CURRENCIES, fixed.CURRENCY_WEIGHTS).alias("currency"),

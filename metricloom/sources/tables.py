@@ -36,6 +36,7 @@ def write_run_table(
 ) -> DataFrame:
     """Write one table of a run and hand back a reader of the written files.
 
+    A run id is used once: files that may be published are never overwritten.
     Later steps start from the files, so no step is computed twice and a lost
     executor costs one stage. Partitioned tables are rebalanced on the
     partition columns: few files per small partition, and a partition holding
@@ -44,7 +45,7 @@ def write_run_table(
     path = run_path(root, run_id, name)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -31,9 +31,17 @@ def rows(names, records):
     return sorted((tuple(_plain(r[i]) for i in order) for r in records), key=repr)
 
 
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "DATE": "date", "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
+}
+
+
 def assert_same(df, con, sql):
     result = con.execute(sql)
     names = [d[0] for d in result.description]
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    assert dict(df.dtypes) == kinds
     expected = rows(names, result.fetchall())
     assert sorted(df.columns) == sorted(names)
     actual = rows(df.columns, [tuple(r) for r in df.collect()])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricloom.operators import quality
-from metricloom.plans import job, serving
+from metricloom.plans import job, marts, serving
 from metricloom.sources import files, synthetic
 
 AS_OF = datetime.datetime(2026, 5, 1, 2, 0)
@@ -66,6 +66,9 @@ def test_publish_and_serve(spark, raw, tmp_path):
     assert serving.funnel_latest_cohort(cohorts).count() == 1
     assert spark.table("stg_payments").count() == 2000
     assert len(spark.table("core.dim_date").columns) == 12
+    assert len(serving.fetch(serving.latest_days(users))) == 30
+    with pytest.raises(ValueError):
+        serving.fetch(users, max_rows=10)
 
 
 def test_date_filter_reads_only_its_partitions(spark, raw, tmp_path):
@@ -73,7 +76,15 @@ def test_date_filter_reads_only_its_partitions(spark, raw, tmp_path):
     day = spark.table("core.fct_events").where("event_date = date '2025-06-01'")
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
-    assert len(day.inputFiles()) >= 1
+
+    report = marts.kpi_daily_active_users(
+        spark.table("core.fct_events"), spark.table("core.dim_date"), "2026-03-01", "2026-03-31"
+    )
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "(event_date#" in plan and ">= 2026-01-31)" in plan.split("PartitionFilters")[1]
+    whole = spark.table("kpi.kpi_daily_active_users")
+    days = whole.where("date_day between date '2026-03-01' and date '2026-03-31'")
+    assert sorted(report.collect()) == sorted(days.collect())
 
 
 def test_failed_check_publishes_nothing(spark, raw, tmp_path):
@@ -113,6 +124,9 @@ def test_late_source_stops_the_run(spark, raw, tmp_path):
     }
 
 
-def test_run_id_is_checked(spark, raw, tmp_path):
+def test_run_id_is_checked_and_used_once(spark, raw, tmp_path):
     with pytest.raises(ValueError):
         job.run(spark, raw, str(tmp_path), "../x", AS_OF)
+    job.store.write_run_table(spark.range(3), str(tmp_path), "r", "t")
+    with pytest.raises(Exception, match="already exists"):
+        job.store.write_run_table(spark.range(3), str(tmp_path), "r", "t")
