@@ -7,6 +7,7 @@ from metricloom.functions.scalars import (
     lower_code,
     month_of,
     normal_segment,
+    numbered_key,
     parse_flag,
     ratio,
     strict_segment,
@@ -22,6 +23,7 @@ __all__ = [
     "lower_code",
     "month_of",
     "normal_segment",
+    "numbered_key",
     "parse_flag",
     "ratio",
     "strict_segment",

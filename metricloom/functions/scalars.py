@@ -54,6 +54,12 @@ def surrogate_key(c: ColumnLike) -> Column:
     return F.md5(_col(c).cast("string"))
 
 
+def numbered_key(pattern: str, number: ColumnLike) -> Column:
+    """Formatted key of a number; null stays null."""
+    number = _col(number)
+    return F.when(number.isNotNull(), F.format_string(pattern, number))
+
+
 def funnel_step(event_type: ColumnLike) -> Column:
     """Position of a cleaned event type in the signup funnel, else null."""
     event_type = _col(event_type)

@@ -52,7 +52,7 @@ def monthly_revenue_of(payments: DataFrame, customers: DataFrame) -> DataFrame:
 
 def with_previous_month(monthly: DataFrame) -> DataFrame:
     """Add the revenue of the segment's previous month that has any."""
-    of_segment = Window.partitionBy("segment").orderBy("month_start")
+    of_segment = Window.partitionBy("segment").orderBy(F.asc_nulls_last("month_start"))
     return monthly.withColumn("prev_month_revenue", F.lag("revenue_usd").over(of_segment))
 
 

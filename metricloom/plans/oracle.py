@@ -110,7 +110,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
         select p.payment_id, d.customer_sk, p.customer_id, cast(p.paid_at as date) as payment_date,
                p.paid_at, p.amount_local, p.currency, p.amount_usd, p.status, p.plan,
                d.segment as customer_segment, d.country_code,
-               p.status = 'succeeded' as is_recognized_revenue,
+               coalesce(p.status = 'succeeded', false) as is_recognized_revenue,
                if(p.status = 'succeeded', p.amount_usd, 0) as recognized_amount_usd
         from stg_payments p left join dim d on d.customer_id = p.customer_id"""),
     "days": ([], f"""
@@ -375,23 +375,29 @@ ORACLE: dict[str, str] = {
                cast(cast(amount as decimal(12,2)) as double) as amount_local,
                cast(cast(amount as decimal(12,2)) >= 100000 as integer) as is_large
         from raw_payments"""),
-    "bool_parse": sql(["raw_customers", "stg_customers"], """
-        select customer_id, r.is_active as raw_text, s.is_active
-        from raw_customers r join stg_customers s using (customer_id)"""),
+    "bool_parse": sql(["raw_customers"], f"""
+        select customer_id, is_active as raw_text,
+               coalesce(lower(is_active) in ({_words(fixed.TRUE_WORDS)}), false) as is_active
+        from raw_customers"""),
     "segment_ilike_case": sql(["raw_customers"], f"""
         select customer_id, case {' '.join(
             f"when segment ilike '{s}' then '{s}'" for s in fixed.SEGMENTS
         )} end as segment from raw_customers"""),
     "event_funnel_step": sql(["stg_events"],
                              "select event_id, event_type, funnel_step from stg_events"),
-    "event_flags": sql(["ev"], """
-        select event_id, is_page_view, is_signup, is_activation, is_upgrade from ev"""),
+    "event_flags": sql(["stg_events"], """
+        select event_id, if(event_type = 'page_view', 1, 0) as is_page_view,
+               if(event_type = 'sign_up_completed', 1, 0) as is_signup,
+               if(event_type = 'activated', 1, 0) as is_activation,
+               if(event_type = 'upgraded', 1, 0) as is_upgrade
+        from stg_events"""),
     "stg_customers": sql(["stg_customers"], "select * from stg_customers"),
     "stg_customers_strict": sql(["raw_customers", "stg_customers"], f"""
         select s.* replace (case {' '.join(
             f"when r.segment ilike '{s}' then '{s}'" for s in fixed.SEGMENTS
         )} end as segment)
-        from stg_customers s join raw_customers r using (customer_id)"""),
+        from (select distinct * from stg_customers) s
+        join raw_customers r using (customer_id)"""),
     "stg_events": sql(["stg_events"], "select * from stg_events"),
     "stg_payments": sql(["stg_payments"], """
         select * replace (cast(amount_local as double) as amount_local,
@@ -441,15 +447,16 @@ ORACLE: dict[str, str] = {
     "dau_mau_stickiness": sql(["daily", "thirty"], """
         select event_date, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),
-    "calendar_gap_fill": sql(["days", "ev", "paid"], """
+    "calendar_gap_fill": sql(["days", "stg_events", "paid"], """
         select date_day, count(event_id) as events, count(distinct customer_id) as users,
                count(funnel_step) as funnel_events,
                (select count(*) from paid where payment_date = date_day) as payments
-        from days left join ev on event_date = date_day group by date_day"""),
+        from days left join stg_events on cast(event_at as date) = date_day group by date_day"""),
     "kpi_daily_active_users": sql(["kpi_users"], "select * from kpi_users"),
     "kpi_daily_active_users_calendar": sql(["kpi_users_calendar"],
                                            "select * from kpi_users_calendar"),
-    "active_buyers": _buyers("select distinct payment_date as day from paid").replace(
+    "active_buyers": _buyers(
+        "select distinct payment_date as day from paid where payment_date is not null").replace(
         "{day}", "payment_date"),
     "active_buyers_calendar": _buyers(
         f"select date_day as day from ({_all_order_days()})").replace("{day}", "date_day"),

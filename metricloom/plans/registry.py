@@ -139,10 +139,10 @@ def synth_keys(spark, folder):
     orders = sample.table(spark, folder, "orders")
     return orders.select(
         "o_orderkey",
-        F.format_string(fixed.CUSTOMER_KEY, "o_custkey").alias("customer_key"),
-        F.format_string(fixed.EVENT_KEY, "o_orderkey").alias("event_key"),
-        F.format_string(fixed.SESSION_KEY, "o_custkey").alias("session_key"),
-        F.format_string(fixed.PAYMENT_KEY, "o_orderkey").alias("payment_key"),
+        fn.numbered_key(fixed.CUSTOMER_KEY, "o_custkey").alias("customer_key"),
+        fn.numbered_key(fixed.EVENT_KEY, "o_orderkey").alias("event_key"),
+        fn.numbered_key(fixed.SESSION_KEY, "o_custkey").alias("session_key"),
+        fn.numbered_key(fixed.PAYMENT_KEY, "o_orderkey").alias("payment_key"),
         F.concat(F.lit("user"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias(
             "email"
         ),

@@ -34,7 +34,7 @@ def revenue_by_month(revenue: DataFrame) -> DataFrame:
 
 def revenue_series(revenue: DataFrame) -> DataFrame:
     """The revenue mart in the order a chart draws it."""
-    return revenue.orderBy("month_start", "segment")
+    return revenue.orderBy(F.asc_nulls_last("month_start"), F.asc_nulls_last("segment"))
 
 
 def headline_tiles(active_users: DataFrame, revenue: DataFrame) -> DataFrame:
@@ -69,8 +69,8 @@ def funnel_latest_cohort(funnel: DataFrame) -> DataFrame:
 
 def revenue_since(revenue: DataFrame, first_month: str) -> DataFrame:
     """Revenue rows from a month on, in order."""
-    return revenue.where(F.col("month_start") >= F.lit(first_month).cast("date")).orderBy(
-        "month_start", "segment"
+    return revenue_series(
+        revenue.where(F.col("month_start") >= F.lit(first_month).cast("date"))
     )
 
 

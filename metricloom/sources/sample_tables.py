@@ -94,7 +94,7 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
         " ELSE 'feature_used' END AS event_type",
         "CASE WHEN value < 30 THEN 'Web ' WHEN value < 60 THEN ' iOS' ELSE 'ANDROID' END"
         " AS platform",
-        "format_string('S%08d', user_id) AS session_id",
+        "CASE WHEN user_id IS NOT NULL THEN format_string('S%08d', user_id) END AS session_id",
     )
 
 

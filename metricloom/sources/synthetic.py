@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
+from metricloom.functions import numbered_key
 
 # Ids are spread over groups to be numbered without a global sort: at least
 # this many groups, and more where a group would pass this many ids.
@@ -89,7 +90,7 @@ def customers_numbered(numbers: DataFrame, seed: int = fixed.CUSTOMER_SEED) -> D
         F.col("segment") == "Free", F.lit(fixed.INACTIVE_SHARE_FREE)
     ).otherwise(F.lit(fixed.INACTIVE_SHARE_OTHER))
     return numbers.select(
-        F.format_string(fixed.CUSTOMER_KEY, row).alias("customer_id"),
+        numbered_key(fixed.CUSTOMER_KEY, row).alias("customer_id"),
         pick(draws[3], fixed.FIRST_NAMES).alias("first_name"),
         pick(draws[4], fixed.LAST_NAMES).alias("last_name"),
         F.concat(F.lit("user"), row.cast("string"), F.lit("@example.com")).alias("email"),
@@ -130,12 +131,12 @@ def events(
     row = F.col("id")
     draws = [uniform(seed, row, i) for i in range(5)]
     drawn = ids.sparkSession.range(1, n + 1).select(
-        F.format_string(fixed.EVENT_KEY, row).alias("event_id"),
+        numbered_key(fixed.EVENT_KEY, row).alias("event_id"),
         whole(draws[0], choices).alias("row_index"),
         _activity_time(draws[1]).alias("event_timestamp"),
         weighted_pick(draws[2], fixed.EVENT_TYPES, fixed.EVENT_WEIGHTS).alias("event_type"),
         weighted_pick(draws[3], fixed.PLATFORMS, fixed.PLATFORM_WEIGHTS).alias("platform"),
-        F.format_string(fixed.SESSION_KEY, whole(draws[4], fixed.SESSION_COUNT) + 1).alias(
+        numbered_key(fixed.SESSION_KEY, whole(draws[4], fixed.SESSION_COUNT) + 1).alias(
             "session_id"
         ),
     )
@@ -157,7 +158,7 @@ def payments(
     row = F.col("id")
     draws = [uniform(seed, row, i) for i in range(5)]
     drawn = paying.sparkSession.range(1, n + 1).select(
-        F.format_string(fixed.PAYMENT_KEY, row).alias("payment_id"),
+        numbered_key(fixed.PAYMENT_KEY, row).alias("payment_id"),
         whole(draws[0], choices).alias("row_index"),
         _activity_time(draws[1]).alias("payment_timestamp"),
         pick(draws[2], fixed.PRICE_MULTIPLES).alias("multiple"),
