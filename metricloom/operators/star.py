@@ -80,20 +80,31 @@ def dim_customers(customers: DataFrame, as_of: Column | None = None) -> DataFram
     )
 
 
-def fct_events(events: DataFrame, customers: DataFrame) -> DataFrame:
+def fct_events(events: DataFrame, customers: DataFrame, spread: bool = False) -> DataFrame:
     """Event facts; events of unknown customers keep a null ``customer_sk``.
 
     The join carries no hint. A customer table under the broadcast limit avoids
     the shuffle; a larger one is sort-merged, where the adaptive planner splits
     the partition of a customer (or of null) that holds most of the events.
+    The key is a function of the id, so the join only has to tell whether the
+    customer exists.
+
+    ``spread`` lays the rows out by day for a partitioned write: few files for
+    a small day, many tasks for a day with a third of the rows. It does so
+    before the derived columns exist, so they are not moved.
     """
-    keys = customers.select("customer_id", "customer_sk")
+    known = customers.select("customer_id", F.lit(True).alias("is_known"))
+    joined = events.join(known, "customer_id", "left").withColumn(
+        "event_date", F.col("event_at").cast("date")
+    )
+    if spread:
+        joined = joined.hint("rebalance", F.col("event_date"))
     event_type = F.col("event_type")
-    return events.join(keys, "customer_id", "left").select(
+    return joined.select(
         "event_id",
-        "customer_sk",
+        F.when(F.col("is_known"), surrogate_key("customer_id")).alias("customer_sk"),
         "customer_id",
-        F.col("event_at").cast("date").alias("event_date"),
+        "event_date",
         "event_at",
         "event_type",
         "platform",
@@ -111,17 +122,33 @@ def is_recognised(status: Column) -> Column:
     return F.coalesce(status == "succeeded", F.lit(False))
 
 
-def fct_payments(payments: DataFrame, customers: DataFrame) -> DataFrame:
-    """Payment facts with the customer's current segment and country."""
+def fct_payments(payments: DataFrame, customers: DataFrame, spread: bool = False) -> DataFrame:
+    """Payment facts with the customer's current segment and country.
+
+    ``spread`` adds the ``payment_month`` to partition by and lays the rows out
+    for it, as for the event facts.
+    """
     attributes = customers.select(
-        "customer_id", "customer_sk", F.col("segment").alias("customer_segment"), "country_code"
+        "customer_id",
+        F.lit(True).alias("is_known"),
+        F.col("segment").alias("customer_segment"),
+        "country_code",
+    )
+    joined = payments.join(attributes, "customer_id", "left").withColumn(
+        "payment_date", F.col("paid_at").cast("date")
     )
+    month = []
+    if spread:
+        joined = joined.withColumn("payment_month", month_of("payment_date")).hint(
+            "rebalance", F.col("payment_month")
+        )
+        month = ["payment_month"]
     recognised = is_recognised(F.col("status"))
-    return payments.join(attributes, "customer_id", "left").select(
+    return joined.select(
         "payment_id",
-        "customer_sk",
+        F.when(F.col("is_known"), surrogate_key("customer_id")).alias("customer_sk"),
         "customer_id",
-        F.col("paid_at").cast("date").alias("payment_date"),
+        "payment_date",
         "paid_at",
         "amount_local",
         "currency",
@@ -134,4 +161,5 @@ def fct_payments(payments: DataFrame, customers: DataFrame) -> DataFrame:
         F.when(recognised, F.col("amount_usd"))
         .otherwise(F.lit(0).cast(USD))
         .alias("recognized_amount_usd"),
+        *month,
     )

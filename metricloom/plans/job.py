@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
-from metricloom.functions import month_of
 from metricloom.operators import activity, quality, staging, star
 from metricloom.plans import marts
 from metricloom.sources import files
@@ -117,11 +116,11 @@ def run(
 
     dim_customers = write(star.dim_customers(customers, moment), "core.dim_customers")
     dim_date = write(star.dim_date(spark), "core.dim_date")
-    fct_events = write(star.fct_events(events, dim_customers), "core.fct_events", "event_date")
+    fct_events = write(
+        star.fct_events(events, dim_customers, spread=True), "core.fct_events", "event_date"
+    )
     fct_payments = write(
-        star.fct_payments(payments, dim_customers).withColumn(
-            "payment_month", month_of("payment_date")
-        ),
+        star.fct_payments(payments, dim_customers, spread=True),
         "core.fct_payments",
         "payment_month",
     )

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 LAYERS = ("staging", "core", "kpi")
 
@@ -38,13 +37,10 @@ def write_run_table(
 
     A run id is used once: files that may be published are never overwritten.
     Later steps start from the files, so no step is computed twice and a lost
-    executor costs one stage. Partitioned tables are rebalanced on the
-    partition columns: few files per small partition, and a partition holding
-    a third of the rows is split over many tasks.
+    executor costs one stage. Rows of a partitioned table come laid out by its
+    partition columns.
     """
     path = run_path(root, run_id, name)
-    if partition_by:
-        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
