@@ -14,6 +14,7 @@ from metricloom.functions.scalars import (
     surrogate_key,
     tenure_days,
     upper_code,
+    within_days,
 )
 
 __all__ = [
@@ -30,4 +31,5 @@ __all__ = [
     "surrogate_key",
     "tenure_days",
     "upper_code",
+    "within_days",
 ]

@@ -77,6 +77,14 @@ def event_flag(event_type: ColumnLike, wanted: str) -> Column:
     return F.coalesce((_col(event_type) == wanted).cast("int"), F.lit(0))
 
 
+def within_days(moment: ColumnLike, first: ColumnLike, last: ColumnLike) -> Column:
+    """Whether a time falls on the days first … last, as a range the files can be pruned by."""
+    moment = _col(moment)
+    start = _col(first).cast("date").cast("timestamp_ntz")
+    end = F.date_add(_col(last).cast("date"), 1).cast("timestamp_ntz")
+    return (moment >= start) & (moment < end)
+
+
 def month_of(day: ColumnLike) -> Column:
     """First day of the month, as a date."""
     return F.trunc(_col(day), "month")

@@ -93,21 +93,33 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Non-null child values missing from the parent, with their number of rows.
+def _unmatched(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
+    """Child values, null among them, missing from the parent, with their number of rows.
 
     The child is counted per value before the join, so it moves one row per
     value however often the value occurs.
     """
-    values = (
-        child.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count("*").alias("n_records"))
-    )
+    values = child.groupBy(column).agg(F.count("*").alias("n_records"))
     known = parent.select(F.col(parent_column).alias("known_value"))
     return values.join(known, F.col(column) == F.col("known_value"), "left_anti")
 
 
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Non-null child values missing from the parent, with their number of rows."""
+    present = child.where(F.col(column).isNotNull())
+    return _unmatched(present, column, parent, parent_column)
+
+
+def unmatched_rows(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
+    """Child rows without a parent row: what a left join would leave without a key."""
+    unmatched = _unmatched(child, column, parent, parent_column)
+    return unmatched.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
+
+
 def excess_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows minus distinct values; a null counts as excess."""
     return df.agg((F.count("*") - F.countDistinct(column)).alias("failures"))

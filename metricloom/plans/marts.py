@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
-from metricloom.functions import ratio
+from metricloom.functions import ratio, within_days
 from metricloom.operators import activity, funnel, revenue
 
 REVENUE_COLUMNS = [
@@ -28,16 +28,23 @@ def kpi_daily_active_users(
     day: str = "event_date",
     key: str = "customer_id",
     anchors: str = activity.EVENT_DAYS,
+    moment: str | None = None,
 ) -> DataFrame:
     """Daily, weekly and monthly active users of every calendar day start … end.
 
     Only events that some reported window can see are read, so on facts
     partitioned by day the scan is cut to the report's days and one month more.
+    On events that are not, name the time behind the day as ``moment`` to prune
+    row groups by it.
     """
     first = F.lit(start).cast("date")
     last = F.current_date() if end is None else F.lit(end).cast("date")
     days = calendar.where(F.col("date_day").between(first, last)).select("date_day")
-    seen = events.where(F.col(day).between(F.date_sub(first, fixed.MONTH_DAYS - 1), last))
+    earliest = F.date_sub(first, fixed.MONTH_DAYS - 1)
+    if moment is None:
+        seen = events.where(F.col(day).between(earliest, last))
+    else:
+        seen = events.where(within_days(moment, earliest, last))
     windows = {"dau": 1, "wau": fixed.WEEK_DAYS, "mau": fixed.MONTH_DAYS}
     return with_stickiness(
         activity.rolling_distinct(seen, day, key, windows, days, anchors)

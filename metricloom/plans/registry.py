@@ -94,6 +94,7 @@ def _active_users(spark: SparkSession, folder: str, anchors: str) -> DataFrame:
         start=REPORT_FIRST,
         end=REPORT_LAST,
         anchors=anchors,
+        moment="event_at",
     )
 
 
@@ -322,9 +323,7 @@ def filter_recognized_payments(spark, folder):
 
 @query
 def filter_date_between(spark, folder):
-    days = F.col("payment_date").between(
-        F.lit(RANGE_FIRST).cast("date"), F.lit(RANGE_LAST).cast("date")
-    )
+    days = fn.within_days("paid_at", F.lit(RANGE_FIRST), F.lit(RANGE_LAST))
     return _plain_money(
         _dated_payments(spark, folder)
         .where(days)
@@ -582,13 +581,13 @@ def dq_relationships_payments(spark, folder):
 
 @query
 def dq_orphan_event_sk(spark, folder):
-    """Event facts without a key, against all and against paying customers."""
+    """Events whose facts have no key, against all and against paying customers."""
     events, customers = _events(spark, folder), _customers(spark, folder)
     parents = {"all": customers, "paying": customers.where("is_paying")}
     return quality.union_all(
         quality.report_line(
             f"no orphan event customer_sk ({name})",
-            quality.null_rows(star.fct_events(events, parent), "customer_sk"),
+            quality.unmatched_rows(events, "customer_id", parent, "customer_id"),
         )
         for name, parent in parents.items()
     )
@@ -610,11 +609,13 @@ def source_freshness(spark, folder):
 @query
 def dq_report(spark, folder):
     customers, facts = _customers(spark, folder), _payment_facts(spark, folder)
-    events = star.fct_events(_events(spark, folder), customers)
+    events = _events(spark, folder)
     lines = {
         "unique customer_id": quality.excess_rows(customers, "customer_id"),
         "unique payment_id": quality.excess_rows(facts, "payment_id"),
-        "no orphan event customer_sk": quality.null_rows(events, "customer_sk"),
+        "no orphan event customer_sk": quality.unmatched_rows(
+            events, "customer_id", customers, "customer_id"
+        ),
     }
     return quality.union_all(quality.report_line(name, df) for name, df in lines.items())
 

@@ -58,13 +58,16 @@ def paying_customers(raw_customers: DataFrame) -> DataFrame:
 def land(df: DataFrame, path: str, ds: str | Column) -> None:
     """Write one run date's extract; a repeated run replaces only that date.
 
-    ``ds`` is the run date, or a column when several dates land at once. The
-    rebalance keeps files even when one date holds most of the rows.
+    ``ds`` is the run date, or a column when several dates land at once. One
+    date is written as it comes, without a shuffle; several are laid out by
+    date first, evenly even when one date holds most of the rows.
     """
-    dated = df.withColumn("ds", (F.lit(ds) if isinstance(ds, str) else ds).cast("date"))
+    if isinstance(ds, str):
+        dated = df.withColumn("ds", F.lit(ds).cast("date"))
+    else:
+        dated = df.withColumn("ds", ds.cast("date")).hint("rebalance", F.col("ds"))
     (
-        dated.hint("rebalance", F.col("ds"))
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ds")
         .parquet(path)

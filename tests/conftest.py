@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "*",
         "tests",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="2000",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     yield session

@@ -258,5 +258,7 @@ def test_checks(spark):
         "accepted_values_child_k": 3,
     }
     assert quality.excess_rows(child, "k").first().failures == 3
+    assert quality.null_rows(child, "k").first().failures == 1
+    assert quality.unmatched_rows(child, "k", parent, "k").first().failures == 3
     with pytest.raises(quality.QualityError, match="not_null_child_k: 1"):
         quality.require_no_failures(report)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from metricloom.operators import activity, funnel, revenue, star
+from metricloom.sources import files
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -28,6 +29,19 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
 
 
+def test_day_ranges_reach_the_files(spark):
+    text = plan(driver.queries()["filter_date_between"](spark, FOLDER))
+    assert "GreaterThanOrEqual(o_orderdate,1997-03-01T00:00)" in text
+    assert "LessThan(o_orderdate,1998-03-01T00:00)" in text
+    text = plan(driver.queries()["kpi_daily_active_users"](spark, FOLDER))
+    assert "GreaterThanOrEqual(ts,2023-11-26" in text and "LessThan(ts,2024-02-06" in text
+
+
+def test_one_date_lands_without_a_shuffle(spark, tmp_path):
+    files.land(spark.range(0, 100, 1, 3).toDF("n"), str(tmp_path / "l"), "2026-01-01")
+    assert len(files.read_landed(spark, str(tmp_path / "l")).inputFiles()) == 3
+
+
 def test_signup_join_goes_away_when_unused(spark):
     text = plan(driver.queries()["fct_events"](spark, FOLDER))
     assert "orders.parquet" not in text

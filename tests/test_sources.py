@@ -39,6 +39,13 @@ def test_landing_twice_replaces_one_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ds" in one._jdf.queryExecution().toString()
 
 
+def test_landing_several_dates_at_once(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    day = F.date_add(F.lit("2026-01-01").cast("date"), (F.col("id") % 3).cast("int"))
+    files.land(spark.range(30), path, day)
+    assert files.read_landed(spark, path).groupBy("ds").count().count() == 3
+
+
 def test_synthetic_customers_do_not_depend_on_partitions(spark):
     a = synthetic.customers_numbered(spark.range(1, 501, numPartitions=1))
     b = synthetic.customers_numbered(spark.range(1, 501, numPartitions=7))
