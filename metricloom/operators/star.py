@@ -88,21 +88,45 @@ def fct_events(events: DataFrame, customers: DataFrame, spread: bool = False) ->
     the partition of a customer (or of null) that holds most of the events.
     The key is a function of the id, so the join only has to tell whether the
     customer exists.
+    """
+    known = customers.select("customer_id", F.lit(True).alias("is_known"))
+    joined = events.join(known, "customer_id", "left")
+    return _event_facts(joined, F.col("is_known"), spread)
+
+
+def unknown_customers(events: DataFrame, customers: DataFrame) -> DataFrame:
+    """Ids that have events and no customer; moves ids only, each once."""
+    ids = events.where(F.col("customer_id").isNotNull()).select("customer_id").distinct()
+    return ids.join(customers.select("customer_id"), "customer_id", "left_anti")
+
+
+def fct_events_except(events: DataFrame, unknown: DataFrame, spread: bool = False) -> DataFrame:
+    """The same facts, told which customers are unknown; customer ids must be unique.
+
+    For a customer table too large to broadcast. Give it the *written* result of
+    ``unknown_customers``: normally next to nothing, so the events are joined
+    where they are instead of being shuffled whole. Spark sees the size of the
+    files, and a set beyond its broadcast limit is sort-merged as above.
+    """
+    listed = unknown.select("customer_id", F.lit(False).alias("is_known"))
+    joined = events.join(listed, "customer_id", "left")
+    return _event_facts(joined, F.coalesce("is_known", F.lit(True)), spread)
+
+
+def _event_facts(joined: DataFrame, is_known: Column, spread: bool) -> DataFrame:
+    """Derived columns of the event facts.
 
     ``spread`` lays the rows out by day for a partitioned write: few files for
     a small day, many tasks for a day with a third of the rows. It does so
     before the derived columns exist, so they are not moved.
     """
-    known = customers.select("customer_id", F.lit(True).alias("is_known"))
-    joined = events.join(known, "customer_id", "left").withColumn(
-        "event_date", F.col("event_at").cast("date")
-    )
+    joined = joined.withColumn("event_date", F.col("event_at").cast("date"))
     if spread:
         joined = joined.hint("rebalance", F.col("event_date"))
     event_type = F.col("event_type")
     return joined.select(
         "event_id",
-        F.when(F.col("is_known"), surrogate_key("customer_id")).alias("customer_sk"),
+        F.when(is_known, surrogate_key("customer_id")).alias("customer_sk"),
         "customer_id",
         "event_date",
         "event_at",

@@ -116,8 +116,9 @@ def run(
 
     dim_customers = write(star.dim_customers(customers, moment), "core.dim_customers")
     dim_date = write(star.dim_date(spark), "core.dim_date")
+    unknown = write(star.unknown_customers(events, dim_customers), "unknown_customers")
     fct_events = write(
-        star.fct_events(events, dim_customers, spread=True), "core.fct_events", "event_date"
+        star.fct_events_except(events, unknown, spread=True), "core.fct_events", "event_date"
     )
     fct_payments = write(
         star.fct_payments(payments, dim_customers, spread=True),

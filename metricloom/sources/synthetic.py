@@ -6,6 +6,8 @@ partitions and after a lost task is run again.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -114,11 +116,8 @@ def customers(
 
 
 def _activity_time(u: Column) -> Column:
-    span = F.timestamp_diff(
-        "SECOND",
-        F.lit(fixed.ACTIVITY_START).cast("timestamp"),
-        F.lit(fixed.ACTIVITY_END).cast("timestamp"),
-    )
+    first, end = map(datetime.fromisoformat, (fixed.ACTIVITY_START, fixed.ACTIVITY_END))
+    span = int((end - first).total_seconds())
     return seconds_after(fixed.ACTIVITY_START, whole(u, span))
 
 

@@ -113,6 +113,26 @@ def test_hot_customer_is_split_in_the_fact_join(spark, no_broadcast):
     assert "SortMergeJoin(skew=true)" in plan(facts)
 
 
+def test_told_the_unknown_customers_events_stay_where_they_are(spark, tmp_path):
+    events = _hot_events(spark, 6000)
+    dim = _dim(spark).where("customer_id not in ('c1', 'c2001', 'c3')")
+    events = events.unionByName(events.limit(5).withColumn("customer_id", F.lit(None)))
+    unknown = star.unknown_customers(events, dim)
+    unknown.write.parquet(str(tmp_path / "u"))
+    listed = spark.read.parquet(str(tmp_path / "u"))
+    assert sorted(r[0] for r in listed.collect()) == ["c1", "c2001", "c3"]
+    facts = star.fct_events_except(events, listed)
+    assert "BroadcastHashJoin [customer_id" in plan(facts)
+    expected = star.fct_events(events, dim)
+    assert facts.exceptAll(expected).count() == 0 and expected.exceptAll(facts).count() == 0
+
+
+def test_many_unknown_customers_are_split_too(spark, no_broadcast):
+    facts = star.fct_events_except(_hot_events(spark), _dim(spark).select("customer_id"))
+    assert sum(row.customer_sk is None for row in facts.collect()) == 120_000
+    assert "SortMergeJoin(skew=true)" in plan(facts)
+
+
 def test_hot_day_is_split_before_a_partitioned_write(spark, no_broadcast):
     facts = star.fct_events(_hot_events(spark), _dim(spark), spread=True)
     assert len(facts.collect()) == 120_000
