@@ -165,15 +165,18 @@ def synth_customers(spark, folder):
 def synth_events(spark, folder):
     """Synthetic events of the synthetic customers, thirty for each on average."""
     ids = files.customer_ids(_synthetic_customers(spark, folder))
-    return synthetic.events(ids, ids.count() * EVENTS_PER_CUSTOMER)
+    n = ids.count()
+    return synthetic.events(ids, n * EVENTS_PER_CUSTOMER, choices=n)
 
 
 @query
 def synth_payments(spark, folder):
     """Synthetic payments of the paying synthetic customers."""
     paying = files.paying_customers(_synthetic_customers(spark, folder))
-    n = paying.count() * PAYMENTS_PER_PAYING_CUSTOMER
-    return _plain_money(synthetic.payments(paying, n))
+    n = paying.count()
+    return _plain_money(
+        synthetic.payments(paying, n * PAYMENTS_PER_PAYING_CUSTOMER, choices=n)
+    )
 
 
 # --- scalars and staging -------------------------------------------------------

@@ -122,10 +122,16 @@ def _activity_time(u: Column) -> Column:
 
 
 def events(
-    ids: DataFrame, n: int = fixed.SYNTHETIC_EVENTS, seed: int = fixed.EVENT_SEED
+    ids: DataFrame,
+    n: int = fixed.SYNTHETIC_EVENTS,
+    seed: int = fixed.EVENT_SEED,
+    choices: int | None = None,
 ) -> DataFrame:
-    """``n`` raw events spread evenly over the ``customer_id`` of ``ids``."""
-    choices = ids.count()
+    """``n`` raw events spread evenly over the ``customer_id`` of ``ids``.
+
+    ``choices`` is the number of ids, counted unless it is given.
+    """
+    choices = ids.count() if choices is None else choices
     indexed = dense_index(ids.select("customer_id"), "customer_id", index_buckets(choices))
     row = F.col("id")
     draws = [uniform(seed, row, i) for i in range(5)]
@@ -145,10 +151,13 @@ def events(
 
 
 def payments(
-    paying: DataFrame, n: int = fixed.SYNTHETIC_PAYMENTS, seed: int = fixed.PAYMENT_SEED
+    paying: DataFrame,
+    n: int = fixed.SYNTHETIC_PAYMENTS,
+    seed: int = fixed.PAYMENT_SEED,
+    choices: int | None = None,
 ) -> DataFrame:
     """``n`` raw payments spread evenly over paying customers (id and segment)."""
-    choices = paying.count()
+    choices = paying.count() if choices is None else choices
     indexed = dense_index(
         paying.select("customer_id", F.col("segment").alias("plan")),
         "customer_id",
