@@ -143,7 +143,8 @@ PARTS: dict[str, tuple[list[str], str]] = {
         from (
             select date_day,
                    count(distinct customer_id) filter (event_date = date_day) as dau,
-                   count(distinct customer_id) filter (event_date > date_day - {fixed.WEEK_DAYS}) as wau,
+                   count(distinct customer_id) filter (event_date > date_day - {fixed.WEEK_DAYS})
+                       as wau,
                    count(distinct customer_id) as mau
             from days left join ev
               on event_date > date_day - {fixed.MONTH_DAYS} and event_date <= date_day

@@ -49,6 +49,6 @@ def publish(
     spark: SparkSession, root: str, run_id: str, name: str, tags: Sequence[str] = ()
 ) -> None:
     """Point ``layer.table`` at the run's files, in one catalog change."""
-    path = run_path(root, run_id, name)
+    path = run_path(root, run_id, name).replace("`", "``")
     properties = f"TBLPROPERTIES ('run_id' = '{run_id}', 'tags' = '{','.join(tags)}')"
     spark.sql(f"CREATE OR REPLACE VIEW {name} {properties} AS SELECT * FROM parquet.`{path}`")

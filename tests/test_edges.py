@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricloom.functions import capitalise, ratio, surrogate_key, tenure_days
-from metricloom.operators import funnel, quality, revenue, staging, star
+from metricloom.operators import funnel, quality, staging, star
 from metricloom.plans import marts, serving
 from metricloom.sources import schemas
 

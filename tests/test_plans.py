@@ -17,7 +17,7 @@ def plan(df):
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_no_slow_operators(spark, name):
     text = plan(driver.queries()[name](spark, FOLDER))
-    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "InPandas"):
+    for slow in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEval", "InPandas"):
         assert slow not in text
 
 

@@ -101,5 +101,7 @@ def test_synthetic_distributions(spark):
 
 
 def test_dense_index_numbers_every_row_once(spark):
-    df = synthetic.dense_index(synthetic.customers(spark, 1000).select("customer_id"), "customer_id")
-    assert [r[0] for r in df.select("row_index").orderBy("row_index").collect()] == list(range(1000))
+    ids = synthetic.customers(spark, 1000).select("customer_id")
+    numbered = synthetic.dense_index(ids, "customer_id")
+    got = [r.row_index for r in numbered.orderBy("row_index").collect()]
+    assert got == list(range(1000))
