@@ -2,7 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as driver
+from metricloom.plans.oracle import ORACLE
+from metricloom.plans.registry import REGISTRY
 from compare import TABLES, assert_same, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,13 +15,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, con, name):
-    df = driver.queries()[name](spark, FOLDER)
-    assert_same(df, con, driver.oracle_sql()[name])
+    df = REGISTRY[name](spark, FOLDER)
+    assert_same(df, con, ORACLE[name])
 
 
 # Rows of the sample tables with a third on one user, day and customer, and
@@ -68,8 +69,8 @@ def uneven(con, tmp_path_factory):
 
 @pytest.mark.parametrize("name", sorted(set(driver.queries()) - UNIQUE_ONLY))
 def test_query_on_uneven_data(spark, uneven, name):
-    df = driver.queries()[name](spark, uneven)
-    assert_same(df, connect(uneven), driver.oracle_sql()[name])
+    df = REGISTRY[name](spark, uneven)
+    assert_same(df, connect(uneven), ORACLE[name])
 
 
 def test_entry(spark):
