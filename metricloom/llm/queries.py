@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricloom.llm import secret_scan
+from metricloom.llm import (
+    html_wrappers,
+    license_scan,
+    line_frequency,
+    line_runs,
+    mixing,
+    secret_scan,
+    url_rules,
+    warc,
+)
 from metricloom.llm.storage import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,3 +32,39 @@ def query(build: Query) -> Query:
 @query
 def op1_secret_scan(spark, folder):
     return secret_scan.secret_report(read(spark, folder, "documents"))
+
+
+@query
+def op2_quality_rules(spark, folder):
+    return line_frequency.judge(read(spark, folder, "documents"))
+
+
+@query
+def op3_license_scan(spark, folder):
+    return license_scan.scan_licenses(read(spark, folder, "documents"))
+
+
+@query
+def op4_line_dedup(spark, folder):
+    return line_runs.dedup_report(read(spark, folder, "documents"))
+
+
+@query
+def op6_source_mixing(spark, folder):
+    return mixing.mix_report(read(spark, folder, "documents"))
+
+
+@query
+def op8_html_extraction(spark, folder):
+    return html_wrappers.extract_text(read(spark, folder, "pages"))
+
+
+@query
+def op9_url_filter(spark, folder):
+    rules = spark.createDataFrame(url_rules.RULES, "verdict string, host string, path string")
+    return url_rules.filter_urls(read(spark, folder, "pages"), rules)
+
+
+@query
+def op10_warc_round_trip(spark, folder):
+    return warc.round_trip(read(spark, folder, "pages"))
