@@ -165,7 +165,9 @@ def judge(
     line_percent: float = LINE_PERCENT,
     depleted_percent: float = DEPLETED_PERCENT,
 ) -> DataFrame:
-    """Per row: doc_id, the base counts, base_failed, n_boilerplate_words and kept.
+    """Per row: doc_id, the base counts, base_failed, kept, n_boilerplate_words and key.
+
+    key is a hash of id, text and source, for joining back to docs.
 
     `source` is the host; a null source is the host without a name. A null or
     empty text has no words and fails the base rules. Null ids and repeated rows
@@ -195,6 +197,7 @@ def judge(
         "n_dup_lines",
         "n_repeat_words",
         "base_failed",
+        F.xxhash64("doc_id", "text", "source").alias("key"),
     )
     gone = F.coalesce("gone", F.lit(0).cast("long"))
     return rows.join(
@@ -213,4 +216,5 @@ def judge(
         "base_failed",
         (~F.col("base_failed") & (100 * gone <= depleted_percent * F.col("n_words"))).alias("kept"),
         gone.alias("n_boilerplate_words"),
+        "key",
     )

@@ -5,7 +5,8 @@ A new batch is counted, merge-anti-joined with the runs' full lines (those that
 already reached the limit need no more counting) and added as a run of level 0.
 When a level has `fanout` runs, they are merged into one of the next level. Runs
 are bucketed by hash, so these joins and merges read sorted files and shuffle
-nothing. A line's hash is 128 bits of two 64-bit hashes.
+nothing. A line's hash is 128 bits of two 64-bit hashes. Beside the count a run
+has an owner, the least text hash counted so far: the text that may keep the line.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ class LineRuns:
             return runs[0]
         # One bucket-aligned outer join after another: no run is shuffled again.
         def merge(a: DataFrame, b: DataFrame) -> DataFrame:
-            b = b.withColumnRenamed("documents", "more")
+            b = b.withColumnsRenamed({"documents": "more", "owner": "other"})
             return a.join(b, ["h1", "h2"], "full").select(
                 "h1",
                 "h2",
@@ -87,6 +88,7 @@ class LineRuns:
                     F.lit(self.limit).cast("long"),
                     F.coalesce("documents", F.lit(0)) + F.coalesce("more", F.lit(0)),
                 ).alias("documents"),
+                F.least("owner", "other").alias("owner"),
             )
 
         return reduce(merge, runs)
@@ -95,10 +97,9 @@ class LineRuns:
         return [n for level in self.levels for n in level]
 
     def add(self, counts: DataFrame) -> None:
-        """counts: (h1, h2, documents) of one batch, one row per hash."""
-        fresh = counts.select(
-            "h1", "h2", F.least(F.lit(self.limit).cast("long"), "documents").alias("documents")
-        )
+        """counts: (h1, h2, documents, owner) of one batch, one row per hash."""
+        most = F.lit(self.limit).cast("long")
+        fresh = counts.select("h1", "h2", F.least(most, "documents").alias("documents"), "owner")
         for name in self.names():
             full = self.spark.table(name).where(F.col("documents") >= self.limit)
             fresh = fresh.join(full.select("h1", "h2"), ["h1", "h2"], "left_anti")
@@ -123,7 +124,8 @@ class LineRuns:
 
     def full_lines(self) -> DataFrame:
         """Hashes found in `limit` documents or more, over all runs."""
-        return self._merged(self.names()).where(F.col("documents") >= self.limit).select("h1", "h2")
+        merged = self._merged(self.names()).where(F.col("documents") >= self.limit)
+        return merged.select("h1", "h2", "owner")
 
     def forget(self) -> None:
         """Drops the runs' names; their files stay in the shared folder like any checkpoint."""
@@ -138,14 +140,20 @@ def repeated_lines(
     least_chars: int = LEAST_CHARS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
+    copies_once: bool = False,
 ) -> DataFrame:
-    """Hashes of lines in `limit` documents or more. All of docs, in batches by hash of the id."""
+    """(h1, h2, owner) of lines in `limit` documents or more; all of docs, batched by text hash."""
     spark = docs.sparkSession
-    batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).alias("batch")
+    copy = F.xxhash64("text")
+    documents = F.count_distinct("copy") if copies_once else F.count("*")
     counts = stored(
-        docs.select(batch, F.explode(key_hashes(F.col("text"), least_chars)).alias("h"))
+        docs.select(
+            F.pmod(copy, F.lit(batches)).alias("batch"),
+            copy.alias("copy"),
+            F.explode(key_hashes(F.col("text"), least_chars)).alias("h"),
+        )
         .groupBy("batch", "h.h1", "h.h2")
-        .agg(F.count("*").alias("documents")),
+        .agg(documents.alias("documents"), F.min("copy").alias("owner")),
         "line-counts",
     )
     runs = LineRuns(spark, limit, fanout)
@@ -162,31 +170,44 @@ def dedup_lines(
     least_chars: int = LEAST_CHARS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
+    keep_first: bool = False,
 ) -> DataFrame:
     """docs with repeated lines taken out of text, and n_lines, n_dropped.
 
-    Every row counts as a document. A null or empty text is one empty line, which
-    is never dropped; its kept text is empty. Null ids, repeated rows and further
-    columns stay as they are (columns called n_lines, n_dropped or full are
-    replaced). Texts move once, by id, to meet the list of their own full lines.
+    Every row counts as a document, and a repeated line goes from all of them. With
+    keep_first exact copies count as one document, and a line's owner (a text and
+    its copies) keeps it, so that no line is lost. A null or empty text is one
+    empty line, which is never dropped; its kept text is empty. Null ids, repeated
+    rows and further columns stay as they are (columns called n_lines, n_dropped,
+    full, full_id or copy are replaced or left out). Texts move once, by id, to
+    meet the list of their own full lines.
     """
-    full = repeated_lines(docs, limit, least_chars, batches, fanout)
+    full = repeated_lines(docs, limit, least_chars, batches, fanout, copies_once=keep_first)
+    copy = F.xxhash64("text")
     own = (
-        docs.select("doc_id", F.explode(key_hashes(F.col("text"), least_chars)).alias("full"))
-        .select("doc_id", "full", "full.h1", "full.h2")
-        .join(full, ["h1", "h2"], "left_semi")
-        .groupBy(F.col("doc_id").alias("full_id"))
-        .agg(F.collect_set("full").alias("full"))
+        docs.select(
+            "doc_id",
+            copy.alias("copy"),
+            F.explode(key_hashes(F.col("text"), least_chars)).alias("full"),
+        )
+        .select("doc_id", "copy", "full", "full.h1", "full.h2")
+        .join(full, ["h1", "h2"])
+    )
+    if keep_first:
+        own = own.where("owner <> copy")
+    own = own.groupBy(F.col("doc_id").alias("full_id"), F.col("copy").alias("full_copy")).agg(
+        F.collect_set("full").alias("full")
     )
-    plain = docs.drop("n_lines", "n_dropped", "full", "full_id")
+    plain = docs.drop("n_lines", "n_dropped", "full", "full_id", "full_copy", "copy")
     lines = lines_of(F.col("text"))
     kept = F.filter(
         lines, lambda line: ~F.array_contains(F.col("full"), hash_of(key_of(line)))
     )
-    joined = plain.join(own, plain["doc_id"].eqNullSafe(own["full_id"]), "left")
+    keyed = plain.withColumn("copy", copy)
+    same = keyed["doc_id"].eqNullSafe(own["full_id"]) & (keyed["copy"] == own["full_copy"])
     left = F.when(F.col("full").isNull(), lines).otherwise(kept)
     columns = [F.col(f"`{c}`") for c in plain.columns if c != "text"]
-    done = joined.select(
+    done = keyed.join(own, same, "left").select(
         *columns,
         left.alias("left"),
         F.size(lines).cast("long").alias("n_lines"),
