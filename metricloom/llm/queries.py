@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metricloom.llm import (
+    decontaminate,
     html_wrappers,
+    jaccard_join,
     license_scan,
     line_frequency,
     line_runs,
@@ -49,11 +51,22 @@ def op4_line_dedup(spark, folder):
     return line_runs.dedup_report(read(spark, folder, "documents"))
 
 
+@query
+def op5_jaccard_join(spark, folder):
+    return jaccard_join.near_duplicates(read(spark, folder, "documents")).drop("r")
+
+
 @query
 def op6_source_mixing(spark, folder):
     return mixing.mix_report(read(spark, folder, "documents"))
 
 
+@query
+def op7_decontamination(spark, folder):
+    documents, benchmark = (read(spark, folder, t) for t in ("documents", "benchmark"))
+    return decontaminate.find_leaks(documents, benchmark)
+
+
 @query
 def op8_html_extraction(spark, folder):
     return html_wrappers.extract_text(read(spark, folder, "pages"))

@@ -1,0 +1,87 @@
+"""Line dedup against counting by hand, and the levels of runs."""
+
+import hashlib
+from collections import defaultdict
+
+from helpers import SAMPLE, SPACES, dicts, documents, lower
+from metricloom.llm import line_runs
+from metricloom.llm.storage import read
+from pyspark.sql import functions as F
+
+
+def key(line):
+    return lower(line.strip(SPACES))
+
+
+def by_hand(rows, limit=10):
+    having = defaultdict(int)
+    for _, text in rows:
+        for k in {key(x) for x in (text or "").split("\n")} - {""}:
+            having[k] += 1
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if having[key(x)] < limit]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out.append((i, len(lines), len(lines) - len(kept), digest))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(
+        [(r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in df.collect()], key=str
+    )
+
+
+def test_report_on_the_sample(spark):
+    docs = read(spark, SAMPLE, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert got(line_runs.dedup_report(docs)) == by_hand(rows)
+
+
+def test_edge_texts(spark):
+    rows = [(i, f"own {i}\n  Shared LINE \r\nalmost") for i in range(9)]
+    rows += [(9, "shared line"), (10, "shared line\nshared line\n\n \n"), (11, None), (12, "")]
+    rows += [(13, "É shared\nshared line"), (None, "Shared line\nx"), (5, rows[5][1])]
+    rows += [(None, None), (3, "another text\nshared line")]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    assert got(line_runs.dedup_report(docs)) == by_hand(rows)
+    assert got(line_runs.dedup_report(docs.limit(0))) == []
+
+
+def test_batches_and_fanout_do_not_change_the_result(spark):
+    docs = read(spark, SAMPLE, "documents").select("doc_id", "text")
+    expected = {tuple(r) for r in line_runs.repeated_lines(docs).select("h1", "h2").collect()}
+    assert expected
+    for batches, fanout in ((1, 2), (7, 2)):
+        full = line_runs.repeated_lines(docs, batches=batches, fanout=fanout)
+        assert {tuple(r) for r in full.select("h1", "h2").collect()} == expected
+
+
+def test_levels_merge_and_full_lines_are_not_counted_again(spark):
+    runs = line_runs.LineRuns(spark, limit=3, fanout=2, buckets=2)
+    names = "h1 bigint, h2 bigint, documents bigint, owner bigint"
+    for i in range(5):
+        runs.add(spark.createDataFrame([(1, 1, 2, 9 - i), (2, 2, 1, i), (10 + i, 0, 1, 0)], names))
+    assert [len(level) for level in runs.levels] == [1, 0, 1]
+    assert {(r["h1"], r["owner"]) for r in runs.full_lines().collect()} == {(1, 8), (2, 0)}
+    last = spark.table(runs.levels[0][0])
+    assert [r["h1"] for r in last.collect()] == [14]
+    plan = runs._merged(runs.names())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    runs.forget()
+
+
+def test_keep_first_leaves_one_holder_and_its_copies(spark):
+    texts = [f"own {i}\nshared" for i in range(12)] + ["only copies\nof this"] * 15
+    kept = dicts(line_runs.dedup_lines(documents(spark, texts), keep_first=True))
+    holders = [r for r in kept if r["text"].endswith("shared")]
+    assert len(holders) == 1
+    assert sum(r["text"] == "only copies\nof this" for r in kept) == 15
+    assert sum(r["n_dropped"] for r in kept) == 11
+
+
+def test_columns_are_kept_and_clashing_ones_replaced(spark):
+    docs = documents(spark, ["a\nb"]).withColumn("full", F.lit(1)).withColumn("n_lines", F.lit(9))
+    out = line_runs.dedup_lines(docs.withColumn("a.b", F.lit(2)))
+    assert out.first()["n_lines"] == 2 and out.first()["a.b"] == 2 and out.first()["lang"] == "en"
