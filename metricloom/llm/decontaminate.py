@@ -8,10 +8,9 @@ samples a few steps; a window is a candidate for an item if all sampled words of
 repetition agree. Candidates are verified exactly: the fewest word edits that turn
 the item into a piece of the document.
 
-An item of n words may have n * edits // 100 edits, k. Cut into k + 1 pieces, one
-piece is left whole, and each has three words or more (shorter items and pieces:
-the whole piece). So only windows around a common three-word run are walked; no
-window with k edits or fewer is passed over by that.
+An item of n words may have n * edits // 100 edits, k. Cut into k + 1 pieces, one of
+them is left whole. So only windows around a place where a piece starts as in the
+item are walked; no window with k edits or fewer is passed over by that.
 """
 
 from __future__ import annotations
@@ -29,14 +28,17 @@ from metricloom.llm.storage import stored
 
 WORD = re.compile(r"\w+")
 EDIT_PERCENT = 20
-RUN = 3
+# Words of a piece that are looked up, at most.
+RUN = 4
 # Shorter items are ordinary phrases: no evidence of a leak, and not searched.
-LEAST_WORDS = 5
+LEAST_WORDS = 6
 REPETITIONS = 24
 SAMPLED = 3
 STEPS_PER_WORD = 1.5
 ITEMS_PER_BLOCK = 20_000
 SEED = 11
+TABLE = 1 << 20
+FACTOR = 0x2545F4914F6CDD1D
 
 
 def words_of(text: str | None) -> list[str]:
@@ -91,30 +93,50 @@ class Items:
                     [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found]
                 )
         self.edits = [len(i) * edit_percent // 100 for i in self.items]
-        self.runs: dict[tuple[int, ...], list[tuple[int, int]]] = defaultdict(list)
+        # Starts of pieces by their number of words: run -> (item, place in the item).
+        self.runs: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = {}
         for t, item in enumerate(self.items):
-            for at in range(len(item) - RUN + 1):
-                self.runs[tuple(item[at : at + RUN])].append((t, at))
-        self.base = np.int64(len(self.vocabulary) + 1)
-        coded = np.array([self._code(np.array(r)) for r in self.runs], np.int64)
-        self.run_codes = np.sort(coded)
-        # The low bits of runs as a table: most places are ruled out by one look.
-        self.table = np.zeros(1 << 20, bool)
-        self.table[coded & np.int64((1 << 20) - 1)] = True
+            pieces = self.edits[t] + 1
+            size = max(1, min(RUN, len(item) // pieces))
+            runs = self.runs.setdefault(size, defaultdict(list))
+            for i in range(pieces):
+                at = i * len(item) // pieces
+                runs[tuple(item[at : at + size])].append((t, at))
+        self.codes, self.tables = {}, {}
+        for size, runs in self.runs.items():
+            columns = np.array(list(runs), np.int64).T
+            coded = self._coded(columns)
+            self.codes[size] = np.sort(coded)
+            # The low bits as a table: most places are ruled out by one look.
+            table = np.zeros(TABLE, bool)
+            table[coded & (TABLE - 1)] = True
+            self.tables[size] = table
         draw = np.random.default_rng(SEED)
         self.factors = draw.integers(1, 1 << 62, (repetitions, 2), np.int64) | 1
         shares = np.sort(draw.random((repetitions, sampled)), axis=1)
         lengths = np.array([len(i) for i in self.items], np.int64)
-        # The sampled steps of each item and repetition, and the words read there.
+        # The sampled steps of each item and repetition, and the words read there; an
+        # item is followed by so many ends that no walk gets to the next one.
         self.steps = (shares[:, None, :] * (STEPS_PER_WORD * lengths)[None, :, None]).astype(np.int64)
+        most = int(self.steps.max(initial=0)) + 1
+        ends = np.full(most, -1, np.int64)
+        parts = [part for item in self.items for part in (np.array(item, np.int64), ends)]
+        starts = np.cumsum(lengths + most) - (lengths + most)
         self.read = np.empty_like(self.steps)
-        for r in range(repetitions):
-            for t, item in enumerate(self.items):
-                codes = np.array([*item, -1], np.int64)
-                self.read[r, t] = self._walk(r, codes, np.zeros(1, np.int64), self.steps[r, t][None])[0]
-
-    def _code(self, run: np.ndarray) -> np.int64:
-        return (run[0] * self.base + run[1]) * self.base + run[2]
+        if parts:
+            every = np.concatenate(parts)
+            for r in range(repetitions):
+                self.read[r] = self._walk(r, every, starts, self.steps[r])
+
+    @staticmethod
+    def _coded(columns: list[np.ndarray]) -> np.ndarray:
+        """A number for each run of words; equal runs have equal numbers."""
+        out = np.zeros(len(columns[0]), np.int64)
+        with np.errstate(over="ignore"):
+            for column in columns:
+                out = (out + column) * FACTOR
+                out ^= out >> 29
+        return out
 
     def _walk(
         self, repetition: int, codes: np.ndarray, starts: np.ndarray, steps: np.ndarray
@@ -134,61 +156,55 @@ class Items:
                 at = at + ((x >> 40) & 1)
         return out
 
-    def places(self, codes: np.ndarray) -> np.ndarray:
-        """Where a run of an item starts. 0 stands for words of no item."""
-        if len(codes) < RUN:
-            return np.empty(0, np.int64)
-        x, y, z = codes[:-2], codes[1:-1], codes[2:]
-        coded = (x * self.base + y) * self.base + z
-        at = np.flatnonzero(self.table[coded & np.int64((1 << 20) - 1)] & (x > 0) & (y > 0) & (z > 0))
-        if not len(at):
-            return at
-        near = np.searchsorted(self.run_codes, coded[at])
-        return at[self.run_codes[np.minimum(near, len(self.run_codes) - 1)] == coded[at]]
+    def places(self, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Per number of words, where a piece may start. 0 stands for words of no item."""
+        for size, known in self.codes.items():
+            if len(codes) < size:
+                continue
+            last = len(codes) - size + 1
+            columns = [codes[i : last + i] for i in range(size)]
+            coded = self._coded(columns)
+            at = np.flatnonzero(self.tables[size][coded & (TABLE - 1)])
+            near = np.minimum(np.searchsorted(known, coded[at]), len(known) - 1)
+            yield size, at[known[near] == coded[at]]
 
     def windows(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, start) of the item-sized windows around common runs, distinct."""
-        items, starts = [], []
-        for at in self.places(codes).tolist():
-            for t, j in self.runs[tuple(codes[at : at + RUN].tolist())]:
-                k = self.edits[t]
-                for start in range(max(0, at - j - k), at - j + k + 1):
+        """(item, start) of the item-sized windows around these places, distinct."""
+        items, firsts = [], []
+        for size, places in self.places(codes):
+            for at in places.tolist():
+                for t, j in self.runs[size].get(tuple(codes[at : at + size].tolist()), ()):
                     items.append(t)
-                    starts.append(start)
+                    firsts.append(at - j)
         if not items:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        pairs = np.unique(np.array(items, np.int64) * len(codes) + np.array(starts, np.int64))
+        item, first = np.array(items, np.int64), np.array(firsts, np.int64)
+        k = np.array(self.edits, np.int64)[item]
+        shift = np.arange(2 * int(k.max()) + 1)[None, :] - k[:, None]
+        start = first[:, None] + shift
+        valid = (shift <= k[:, None]) & (start >= 0) & (start < len(codes))
+        pairs = np.unique((item[:, None] * len(codes) + start)[valid])
         return pairs // len(codes), pairs % len(codes)
 
-    def candidates(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows that agree with their item in all sampled words of a repetition."""
+    def leaks(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
+        """item -> (edits, end): the fewest edits of each item found, and where.
+
+        An item of which a window agrees in all sampled words of a repetition is
+        looked for in the whole text, once.
+        """
         items, starts = self.windows(codes)
-        if not len(items):
-            return items, starts
-        open_ = np.ones(len(items), bool)
-        found = np.zeros(len(items), bool)
+        left = np.arange(len(items))
+        found: dict[int, tuple[int, int]] = {}
         for r in range(len(self.steps)):
-            left = np.flatnonzero(open_ & ~found)
             if not len(left):
                 break
             read = self._walk(r, codes, starts[left], self.steps[r, items[left]])
-            found[left] = (read == self.read[r, items[left]]).all(axis=1)
-        return items[found], starts[found]
-
-    def leaks(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
-        """item -> (edits, end) of verified leaks, the fewest edits of each item."""
-        found: dict[int, tuple[int, int]] = {}
-        done: dict[int, int] = defaultdict(int)
-        for t, start in zip(*(a.tolist() for a in self.candidates(codes)), strict=True):
-            n, k = len(self.items[t]), self.edits[t]
-            # One check covers the windows whose pieces lie in what is read here.
-            if start < done[t]:
-                continue
-            first, last = max(0, start - k), start + 2 * n + 2 * k
-            done[t] = start + n
-            edits, end = fewest_edits(self.items[t], codes[first:last])
-            if edits <= k and (t not in found or edits < found[t][0]):
-                found[t] = (edits, first + end)
+            agreed = np.unique(items[left[(read == self.read[r, items[left]]).all(axis=1)]])
+            for t in agreed.tolist():
+                edits, end = fewest_edits(self.items[t], codes)
+                if edits <= self.edits[t]:
+                    found[t] = edits, end
+            left = left[~np.isin(items[left], agreed)]
         return found
 
     def leaks_in(self, texts: list[str | None]) -> Iterator[tuple[int, dict[int, tuple[int, int]]]]:
@@ -198,9 +214,12 @@ class Items:
         lengths = np.array([len(c) for c in lists], np.int64)
         codes = np.fromiter((c for cs in lists for c in cs), np.int64, int(lengths.sum()))
         ends = np.cumsum(lengths)
-        places = self.places(codes)
+        places = [at for _, at in self.places(codes)]
+        if not places:
+            return
         # A run across two texts is looked at in vain; the texts are read one by one.
-        for i in np.unique(np.searchsorted(ends, places, "right")).tolist():
+        owners = np.searchsorted(ends, np.concatenate(places), "right")
+        for i in np.unique(owners).tolist():
             own = codes[ends[i] - lengths[i] : ends[i]]
             if len(own) and (found := self.leaks(own)):
                 yield i, found
