@@ -18,12 +18,12 @@ from metricloom.llm import (
     url_rules,
     warc,
 )
+from metricloom.llm.oracle import ORACLE  # noqa: F401  read by the entry point
 from metricloom.llm.storage import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
@@ -38,7 +38,7 @@ def op1_secret_scan(spark, folder):
 
 @query
 def op2_quality_rules(spark, folder):
-    return line_frequency.judge(read(spark, folder, "documents"))
+    return line_frequency.judge(read(spark, folder, "documents")).drop("key")
 
 
 @query

@@ -156,6 +156,26 @@ def test_components_by_hand(spark):
         assert labels == {x: union.top(x) for x in nodes}
 
 
+def test_word_hashes_follow_the_words():
+    texts = ["", " ", "a", "A a", "a  b\tc\n", " x y ", "é É", "ab ba", "a" * 5000 + " " + "a" * 5000, "\x1c \x85 \xa0"]
+    seen = {}
+    for text in texts:
+        found = lower(text).encode().split()
+        hashes = jj.word_hashes(text).tolist()
+        assert len(hashes) == len(found)
+        for w, h in zip(found, hashes, strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(3000)) + " " + "x" * 500 + "\n tail "
+    whole = jj.word_hashes(text)
+    for piece in (1, 7, 100):
+        monkeypatch.setattr(jj, "PIECE", piece)
+        assert np.array_equal(jj.word_hashes(text), whole)
+
+
 def test_block_overlaps():
     draw = np.random.default_rng(3)
     sets = [np.unique(draw.integers(0, 60, 40).astype(np.uint64)) for _ in range(20)]
