@@ -3,24 +3,29 @@
 A document's set is its distinct word shingles. Equal sets form a class, and only
 classes take part. The join has four steps.
 
-1. Groups. Classes that share one of a few minimum hashes are compared exactly, in
-   blocks of bounded size; connected classes are a group. This only partitions.
+1. Groups. Classes that share a minimum hash are put into groups of bounded size,
+   and each is compared exactly with the others of its groups. Of a class's groups
+   the best filled is the one it is a member of from here on; a class without
+   company is a group alone. Links found so far make components.
 2. Matrix. Tokens have one global order, the corpus's frequent ones last. Of a set
    of n tokens only the first p(n) are looked at. The matrix has a row for each
    token and group whose union of such tokens holds it.
-3. Bound. Sets that link share at least c(n) looked-at tokens, n being the larger
-   size. So a query class and a group whose union shares fewer than c(|query|)
-   with it cannot link. Of two groups the smaller one asks.
+3. Bound. Two sets that link share a number of looked-at tokens that follows from
+   their sizes. A query class whose tokens a group's union holds less often cannot
+   link with a member. A query leaves out its commonest tokens, as many as the bound
+   can spare. Of two groups the members of the smaller one ask; a group whose
+   members are all in the query's component is not asked.
 4. Opening. Groups that pass are opened: the query is compared exactly with each
-   member, in blocks of members. Links join groups to components.
+   member. Links join components.
 
-Every link between classes of different groups passes the bound, so none is lost,
-and links inside a component need not all be found: all pairs of a group are
-never formed.
+Every link between members of different groups passes the bound, so none is lost.
+Pairs are compared inside a task, against an index of the group; they are never
+formed as rows, and of a component's links a spanning forest is enough.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +40,17 @@ from metricloom.llm.storage import stored
 WORDS = 5
 PERCENT = 75
 MINIMUM_HASHES = 3
-BLOCK = 256
+BLOCK = 128
+# Askers of a group that one task compares with it; more are split, each with the group.
+ASKERS = 256
 # A token counts as frequent if it is in this share of the classes; at most
 # (mean set size / share) tokens can be, about ten thousand per ten words of text.
 FREQUENT_SHARE = 1e-3
 # Tokens looked at beyond the fewest possible, as a share of the set (one in ten).
 EXTRA = 10
+# A query does not ask for tokens that more sets than this look at, up to those extra
+# ones; what it must share with a group is less by as many.
+COMMON = 8
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,19 +62,64 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# Word hashing: a random number for each byte (upper case as lower) and for each
+# place in a word; a word's hash is the sum of their products.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
+BYTES[65:91] = BYTES[97:123]
+PLACES = _mixed(np.arange(1000, 1000 + 4096, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
+# Of each of a shingle's words.
+STEPS = _mixed(np.arange(9000, 9000 + 64, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
+# Longer texts are hashed in pieces that end at white space.
+PIECE = 1 << 20
+SPACES = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _hashed_words(text: bytes) -> np.ndarray:
+    """A hash of each word of bytes between white space (space, tab to carriage return)."""
+    codes = np.frombuffer(text, np.uint8)
+    space = SPACE[codes]
+    at = np.arange(len(codes))
+    # Where the word of each byte starts.
+    start = np.maximum.accumulate(np.where(space, at + 1, 0))
+    edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    starts, ends = edges[::2], edges[1::2]
+    place = at - start
+    longest = int((ends - starts).max()) if len(starts) else 0
+    places = PLACES
+    if longest > len(places):
+        more = np.arange(1000, 1000 + longest, dtype=np.uint64)
+        places = _mixed(more * MULTIPLIER) | np.uint64(1)
+    place[space] = 0
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(BYTES[codes] * places[place], out=sums[1:])
+    return _mixed(sums[ends] - sums[starts])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    data = text.encode()
+    if len(data) <= PIECE:
+        return _hashed_words(data)
+    parts, at = [], 0
+    while at < len(data):
+        found = SPACES.search(data, at + PIECE)
+        end = found.start() if found else len(data)
+        parts.append(_hashed_words(data[at:end]))
+        at = end
+    return np.concatenate(parts)
+
+
 def tokens_of(text: str | None, words: int = WORDS) -> np.ndarray:
     """The distinct shingles as sorted 64-bit hashes; a shorter text is one shingle."""
-    # Bytes lower only A-Z and split only at space and \t\n\v\f\r.
-    found = (text or "").encode().lower().split()
-    if not found:
+    hashes = word_hashes(text or "")
+    if not len(hashes):
         return np.empty(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    hashes = np.fromiter((digest(w) for w in found), np.uint64, len(found))
-    n = min(words, len(found))
-    rolled = np.full(len(found) - n + 1, np.uint64(n))
+    n = min(words, len(hashes))
+    rolled = np.full(len(hashes) - n + 1, np.uint64(n))
     for i in range(n):
-        rolled = _mixed(rolled * MULTIPLIER + hashes[i : len(found) - n + 1 + i])
-    return np.unique(rolled)
+        rolled += hashes[i : len(hashes) - n + 1 + i] * STEPS[i % len(STEPS)]
+    rolled = np.sort(_mixed(rolled))
+    return rolled[np.diff(rolled, prepend=~rolled[:1]) != 0]
 
 
 def set_id(tokens: np.ndarray) -> int:
@@ -80,15 +135,32 @@ def links(a: int, b: int, both: int, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (a + b - both)
 
 
+def _among(tokens: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which tokens are in known, which is sorted."""
+    if not len(known):
+        return np.zeros(len(tokens), bool)
+    at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+    return known[at] == tokens
+
+
 # --- per-task work -------------------------------------------------------------
 
+# Rows that a task holds as Python and numpy values at once.
+ROWS_AT_ONCE = 1024
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
 
 def _profiles(words: int, percent: int, share: float):
     seeds = [_mixed(np.full(1, np.uint64(j + 1)) * MULTIPLIER)[0] for j in range(MINIMUM_HASHES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             rows: dict[str, list] = {name: [] for name in ("r", "doc_id", "n", "h", "keys")}
             fresh = []
             texts = batch.column(2).to_pylist()
@@ -111,9 +183,11 @@ def _profiles(words: int, percent: int, share: float):
                     fresh.append(tokens)
             token, count = [], []
             if fresh:
-                values, counts = np.unique(np.concatenate(fresh), return_counts=True)
+                every = np.sort(np.concatenate(fresh))
+                edges = np.flatnonzero(np.diff(every, prepend=~every[:1], append=~every[-1:]))
+                counts = np.diff(edges)
                 often = counts >= max(2, share * len(fresh))
-                token = values[often].view(np.int64)
+                token = every[edges[:-1]][often].view(np.int64)
                 count = counts[often]
             n, m = len(texts), len(token)
             none = pa.nulls
@@ -148,14 +222,14 @@ def _first_tokens(words: int, percent: int, frequent: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             parts = []
             for text in batch.column(0).to_pylist():
                 tokens = tokens_of(text, words)
                 if not len(tokens) or (h := set_id(tokens)) in seen:
                     continue
                 seen.add(h)
-                often = np.isin(tokens, frequent, assume_unique=True)
+                often = _among(tokens, frequent)
                 order = np.concatenate([tokens[~often], tokens[often]])
                 n_rare = len(tokens) - int(often.sum())
                 p = looked_at(len(tokens), percent)
@@ -201,7 +275,7 @@ class Block:
 
 def _grouped(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[tuple, tuple]]:
     """(key, rest) of each row; rows come sorted by key."""
-    for batch in batches:
+    for batch in _slices(batches):
         columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
         for row in zip(*columns, strict=True):
             yield row[:n_keys], row[n_keys:]
@@ -257,23 +331,25 @@ def _linked_in_blocks(words: int, percent: int):
 
 
 def _linked_to_groups(words: int, percent: int):
-    """Rows (group, block, asks, h, own, text), sorted: links of askers' groups with the group."""
+    """Rows (group, part, asks, h, component, text), sorted: links of components by askers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sets, block, done = None, {}, None, set()
-        for (group, part, asks), (h, own, text) in _grouped(batches, 3):
+        now, sets, own, block, done = None, {}, {}, None, set()
+        for (group, part, asks), (h, component, text) in _grouped(batches, 3):
             if (group, part) != now:
-                now, sets, block, done = (group, part), {}, None, set()
+                now, sets, own, block, done = (group, part), {}, {}, None, set()
             if not asks:
-                sets[h] = tokens_of(text, words)
+                sets[h], own[h] = tokens_of(text, words), component
                 continue
-            if not sets or own in done:
+            if not sets:
                 continue
             if block is None:
                 block = Block(list(sets), list(sets.values()))
-            if len(block.linked(tokens_of(text, words), percent)):
-                done.add(own)
-                yield _edges([(group, own)])
+            linked = block.linked(tokens_of(text, words), percent)
+            met = {own[block.ids[i]] for i in linked.tolist()} - {component}
+            if new := [(component, c) for c in sorted(met) if (component, c) not in done]:
+                done.update(new)
+                yield _edges(new)
 
     return run
 
@@ -337,107 +413,169 @@ def components(edges: DataFrame) -> DataFrame:
 # --- the join -------------------------------------------------------------------
 
 
-def _groups(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
-    """(h, g): classes with the same g are connected by links; a class alone is its own g."""
-    keyed = classes.select(
-        "h", "r", F.posexplode("keys").alias("j", "key")
-    )
+def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(r, text) of the rows' keys r."""
+    return docs.join(rows.select("r").distinct(), "r", "left_semi").dropDuplicates(["r"])
+
+
+def _groups(
+    docs: DataFrame, classes: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """(h, r, unit, size, g): the group of each class, its size, and its component so far.
+
+    Also (r, text) of the classes that share a minimum hash. They are a share of the
+    corpus, so they are picked out by a merge join at every size, once, and written.
+    """
+    keyed = classes.select("h", "r", F.posexplode("keys").alias("j", "key"))
     shared = stored(
-        keyed.groupBy("j", "key")
-        .agg(F.count("*").alias("members"))
-        .where("members > 1"),
+        keyed.groupBy("j", "key").agg(F.count("*").alias("sharing")).where("sharing > 1"),
         "shared-keys",
     )
-    asked = keyed.join(shared, ["j", "key"]).select(
-        "j",
-        "key",
-        F.pmod(F.xxhash64("j", "h"), F.ceil(F.col("members") / BLOCK)).alias("block"),
-        "h",
-        "r",
+    block = F.pmod(F.xxhash64("j", "h"), F.ceil(F.col("sharing") / BLOCK))
+    placed = stored(
+        keyed.join(shared, ["j", "key"]).select("j", "key", block.alias("block"), "h", "r", "sharing"),
+        "placed",
     )
+    texts = stored(_texts_of(docs.hint("merge"), placed), "shared-texts")
     blocks = (
-        docs.join(asked, "r")
+        texts.join(placed, "r")
         .select("j", "key", "block", "h", "text")
         .repartition("j", "key", "block")
         .sortWithinPartitions("j", "key", "block")
     )
     labels = components(blocks.mapInArrow(_linked_in_blocks(words, percent), EDGE_COLUMNS))
-    return classes.join(labels, F.col("h") == F.col("node"), "left").select(
-        "h", "r", F.coalesce("label", "h").alias("g")
+    best = placed.groupBy("h").agg(
+        F.max_by(F.struct("j", "key", "block"), F.struct("sharing", "j")).alias("best")
+    )
+    joined = (
+        classes.select("h", "r")
+        .join(best, "h", "left")
+        .join(labels, F.col("h") == F.col("node"), "left")
+        .select(
+            "h",
+            "r",
+            F.when(F.col("best").isNull(), F.col("h"))
+            .otherwise(F.xxhash64("best.j", "best.key", "best.block"))
+            .alias("unit"),
+            F.coalesce("label", "h").alias("g"),
+        )
     )
+    joined = stored(joined, "members")
+    sizes = joined.groupBy("unit").agg(F.count("*").alias("size"))
+    return joined.join(sizes, "unit"), texts
+
 
+def _needed(n, m, percent: int):
+    """Looked-at tokens that linked sets of n and m share at least."""
+    larger = F.greatest(n, m)
+    both = F.ceil(percent * (n + m) / F.lit(100 + percent))
+    return both - F.ceil(percent * larger / F.lit(100)) + 1 + F.floor(larger / EXTRA)
 
-def _askers(first: DataFrame, groups: DataFrame) -> DataFrame:
-    """(h, g, other): class h of group g may link with a member of group other."""
-    pair = Window.partitionBy("token")
+
+def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(h, other): class h may link with a member of group other."""
+    same = Window.partitionBy("token")
     rare = (
         first.where("not often")
-        .withColumn("low", F.min("h").over(pair))
-        .withColumn("high", F.max("h").over(pair))
+        .withColumn("low", F.min("h").over(same))
+        .withColumn("high", F.max("h").over(same))
+        .withColumn("sets", F.count("*").over(same))
         .where("low <> high")
-        .select("token", "h", "n")
+        .select("token", "h", "n", "sets")
+    )
+    everywhere = first.where("often").select(
+        "token", "h", "n", F.lit(1 << 62).cast("long").alias("sets")
     )
-    sizes = groups.groupBy("g").agg(F.count("*").alias("size"))
-    placed = groups.join(sizes, "g").select("h", "g", "size")
+    own = Window.partitionBy("h")
+    left_out = (F.col("sets") > COMMON) & (F.col("rank") <= F.floor(F.col("n") / EXTRA))
     rows = stored(
-        rare.unionByName(first.where("often").select("token", "h", "n"))
+        rare.unionByName(everywhere)
         .distinct()
-        .join(placed, "h"),
+        .join(groups.select("h", "unit", "size", "g"), "h")
+        .withColumn("rank", F.row_number().over(own.orderBy(F.desc("sets"), "token")))
+        .withColumn("asks", ~left_out)
+        .withColumn("spared", F.count_if(left_out).over(own))
+        .select("token", "h", "n", "unit", "size", "g", "asks", "spared"),
         "matrix-rows",
     )
     matrix = stored(
-        rows.select("token", F.col("g").alias("other"), F.col("size").alias("other_size"))
-        .distinct(),
+        rows.groupBy("token", F.col("unit").alias("other"), F.col("size").alias("other_size")).agg(
+            F.min("n").alias("least"),
+            F.max("n").alias("most"),
+            F.min("g").alias("low"),
+            F.max("g").alias("high"),
+        ),
         "token-groups",
     )
+    n = F.col("n")
     smaller = (F.col("size") < F.col("other_size")) | (
-        (F.col("size") == F.col("other_size")) & (F.col("g") < F.col("other"))
+        (F.col("size") == F.col("other_size")) & (F.col("unit") < F.col("other"))
     )
+    near_in_size = (100 * F.col("most") >= percent * n) & (100 * n >= percent * F.col("least"))
+    joined_already = (F.col("low") == F.col("g")) & (F.col("high") == F.col("g"))
+    # The bound is least for a member as small or as large as may link.
+    least = F.greatest(F.col("least"), F.ceil(percent * n / F.lit(100)))
+    most = F.least(F.col("most"), F.floor(100 * n / F.lit(percent)))
     return (
-        rows.join(matrix, "token")
-        .where(smaller)
-        .groupBy("h", "g", "n", "other")
-        .agg(F.count("*").alias("common"))
-        .where(F.col("common") >= 1 + F.floor(F.col("n") / EXTRA))
-        .select("h", "g", "other")
+        rows.where("asks")
+        .join(matrix, "token")
+        .where(smaller & near_in_size & ~joined_already)
+        .groupBy("h", "n", "spared", "other")
+        .agg(
+            F.count("*").alias("common"), F.min("least").alias("least"), F.max("most").alias("most")
+        )
+        .where(
+            F.col("common") + F.col("spared")
+            >= F.least(_needed(n, least, percent), _needed(n, most, percent))
+        )
+        .select("h", "other")
     )
 
 
 def _opened(
-    docs: DataFrame, groups: DataFrame, askers: DataFrame, words: int, percent: int
+    docs: DataFrame,
+    texts: DataFrame,
+    groups: DataFrame,
+    askers: DataFrame,
+    words: int,
+    percent: int,
 ) -> DataFrame:
-    """(a, b): groups that a link joins, by opening the groups that were not ruled out."""
-    wanted = askers.select(F.col("other").alias("g")).distinct()
-    sizes = groups.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    open_groups = stored(wanted.join(sizes, "g"), "open-groups")
-    members = groups.join(open_groups, "g").select(
-        F.col("g").alias("group"),
-        F.pmod(F.xxhash64("h"), F.col("blocks")).alias("block"),
+    """(a, b): components that a link joins, by opening the groups that were not ruled out.
+
+    ``texts`` has the texts picked out before; only others are looked for in docs.
+    """
+    parts = stored(
+        askers.groupBy(F.col("other").alias("unit")).agg(
+            F.ceil(F.count("*") / ASKERS).alias("parts")
+        ),
+        "open-groups",
+    )
+    members = groups.join(parts, "unit").select(
+        F.col("unit").alias("group"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.lit(False).alias("asks"),
         "h",
-        F.col("g").alias("own"),
+        "g",
         "r",
     )
     asking = (
-        askers.join(open_groups.withColumnRenamed("g", "other"), "other")
-        .join(groups.select("h", "r"), "h")
-        .select(
-            F.col("other").alias("group"),
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-            F.lit(True).alias("asks"),
-            "h",
-            F.col("g").alias("own"),
-            "r",
-        )
+        askers.join(parts, F.col("other") == F.col("unit"))
+        .select("h", "other", F.pmod(F.xxhash64("h"), F.col("parts")).alias("part"))
+        .join(groups.select("h", "g", "r"), "h")
+        .select(F.col("other").alias("group"), "part", F.lit(True).alias("asks"), "h", "g", "r")
     )
     roles = stored(members.unionByName(asking), "opened")
-    texts = (
-        docs.join(roles, "r")
-        .select("group", "block", "asks", "h", "own", "text")
-        .repartition("group", "block")
-        .sortWithinPartitions("group", "block", "asks")
+    missing = stored(
+        roles.select("r").distinct().join(texts.select("r"), "r", "left_anti"), "missing"
+    )
+    read = (
+        texts.unionByName(_texts_of(docs, missing))
+        .join(roles, "r")
+        .select("group", "part", "asks", "h", "g", "text")
+        .repartition("group", "part")
+        .sortWithinPartitions("group", "part", "asks")
     )
-    return texts.mapInArrow(_linked_to_groups(words, percent), EDGE_COLUMNS)
+    return read.mapInArrow(_linked_to_groups(words, percent), EDGE_COLUMNS)
 
 
 def near_duplicates(
@@ -481,13 +619,14 @@ def near_duplicates(
         .select("token")
     )
     often = np.array([r[0] for r in frequent.collect()], np.int64).view(np.uint64)
-    groups = stored(_groups(docs.select("r", "text"), classes, words, percent), "groups")
+    groups, texts = _groups(docs.select("r", "text"), classes, words, percent)
+    groups = stored(groups, "groups")
     first = docs.select("text").mapInArrow(
         _first_tokens(words, percent, np.sort(often)), "token long, h long, n long, often boolean"
     )
-    askers = stored(_askers(first, groups), "askers")
-    joined = components(_opened(docs.select("r", "text"), groups, askers, words, percent))
-    labels = groups.join(joined, F.col("g") == F.col("node"), "left").select(
+    askers = stored(_askers(first, groups, percent), "askers")
+    joined = components(_opened(docs.select("r", "text"), texts, groups, askers, words, percent))
+    labels = groups.select("h", "g").join(joined, F.col("g") == F.col("node"), "left").select(
         "h", F.coalesce("label", "g").alias("component")
     )
     placed = stored(classes.select("h", "first_id").join(labels, "h"), "components")

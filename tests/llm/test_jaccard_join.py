@@ -97,6 +97,7 @@ def test_families_at_the_limit(spark, seed):
 def test_exact_when_groups_split_families_and_few_keys_find_them(spark, monkeypatch):
     """With tiny blocks and one minimum hash most links are left to the matrix."""
     monkeypatch.setattr(jj, "BLOCK", 3)
+    monkeypatch.setattr(jj, "ASKERS", 2)
     monkeypatch.setattr(jj, "MINIMUM_HASHES", 1)
     texts = families(7, 40, [3, 30, 60], (10, 60))
     for share in (1e-3, 0.05):
@@ -140,7 +141,17 @@ def test_looked_at_tokens_suffice():
         if b and jj.links(len(a), len(b), len(a & b)):
             rank = {x: draw.random() for x in a | b}
             pa, pb = (set(sorted(s, key=rank.get)[: jj.looked_at(len(s))]) for s in (a, b))
-            assert len(pa & pb) >= 1 + max(len(a), len(b)) // jj.EXTRA
+            larger = max(len(a), len(b))
+            both = -(-75 * (len(a) + len(b)) // 175)
+            assert len(pa & pb) >= both - -(-75 * larger // 100) + 1 + larger // jj.EXTRA
+
+
+def test_similar_texts_below_the_limit(spark):
+    """A family whose members mostly do not link: many ask, few links."""
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(edited(draw, base, draw.randint(1, 4))) for _ in range(250)]
+    assert got(jj.near_duplicates(documents(spark, texts))) == by_hand(dict(enumerate(texts)))
 
 
 def test_components_by_hand(spark):
