@@ -6,11 +6,8 @@ Every adapter keeps all rows of its table. Values are made untidy on purpose
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Market segment to the raw text of a customer segment.
 SEGMENT_TEXT = {
@@ -42,15 +39,9 @@ def _lookup(key: str, words: dict) -> str:
     return f"CASE {key} {pairs} END"
 
 
-@lru_cache
-def _schema(spark: SparkSession, path: str) -> T.StructType:
-    return spark.read.parquet(path).schema
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A sample table; footers are read for the schema once per session."""
-    path = f"{folder}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    """A sample table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:

@@ -105,3 +105,35 @@ def test_dense_index_numbers_every_row_once(spark):
     numbered = synthetic.dense_index(ids, "customer_id")
     got = [r.row_index for r in numbered.orderBy("row_index").collect()]
     assert got == list(range(1000))
+    assert {r.total for r in numbered.collect()} == {1000}
+    for buckets in (1, 7, 300):
+        again = synthetic.dense_index(ids, "customer_id", buckets)
+        assert sorted(again.collect()) == sorted(numbered.collect())
+
+
+def test_draws_have_52_bits(spark):
+    drawn = synthetic.with_draws(spark.range(2000), 3, "id", 5)
+    values = {r[f"u{i}"] for r in drawn.collect() for i in range(5)}
+    assert len(values) == 10_000 and all(0 <= v < 1 for v in values)
+    assert all((v * 2**52).is_integer() for v in values)
+    assert sum((v * 2**32).is_integer() for v in values) < 10
+
+
+def test_rows_per_id_are_as_many_as_asked(spark):
+    ids = synthetic.customers(spark, 100).select("customer_id")
+    by_id = synthetic.events(ids, per_id=4)
+    assert sorted(by_id.collect()) == sorted(synthetic.events(ids, 400).collect())
+    with pytest.raises(ValueError):
+        synthetic.events(ids, 400, per_id=4)
+
+
+def test_landing_with_types_keeps_what_does_not_fit(spark):
+    raw = spark.createDataFrame(
+        [("P1", "2024-02-30", "1.005"), ("P2", "2024-02-29 01:02:03", "ten"), ("P3", None, None)],
+        "payment_id string, payment_timestamp string, amount string",
+    )
+    rows = {r.payment_id: r for r in files.typed(raw, schemas.TYPES["raw_payments"]).collect()}
+    assert rows["P1"].payment_timestamp is None and rows["P1"].payment_timestamp_text == "2024-02-30"
+    assert str(rows["P1"].amount) == "1.01" and rows["P1"].amount_text is None
+    assert rows["P2"].payment_timestamp == datetime.datetime(2024, 2, 29, 1, 2, 3)
+    assert rows["P2"].amount_text == "ten" and rows["P3"].amount_text is None
