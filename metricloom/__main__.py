@@ -2,7 +2,7 @@
 
     python -m metricloom generate --csv FOLDER
     python -m metricloom run --csv FOLDER --root SHARED_FOLDER --run-id ID
-    python -m metricloom show --root SHARED_FOLDER --run-id ID
+    python -m metricloom show --root SHARED_FOLDER [--run-id ID]
 
 ``--root`` is a folder every executor can reach.
 """
@@ -13,7 +13,6 @@ import argparse
 import datetime
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
 from metricloom.operators import activity, quality
@@ -37,49 +36,53 @@ def generate(spark: SparkSession, folder: str, customers: int, events: int, paym
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    as_of = args.as_of or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    as_of = job.utc(args.as_of or datetime.datetime.now(datetime.timezone.utc))
     raw = job.load_raw(spark, args.csv, args.root, as_of.date().isoformat())
     report = job.run(
         spark, raw, args.root, args.run_id, as_of, args.start, args.anchors,
         args.strict_segments, not args.skip_freshness,
     )
-    print(serving.fetch(report.orderBy("check_name")).to_string(index=False))
+    print(report.orderBy("check_name").toPandas().to_string(index=False))
 
 
-def show(spark: SparkSession, root: str, run_id: str) -> None:
-    """Snapshots of a run: newest days, recent revenue, recent cohorts, summary checks."""
+def show(spark: SparkSession, root: str, run_id: str | None = None) -> None:
+    """Snapshots of the current run: newest days, newest revenue, newest cohort, checks.
+
+    Another run may be named if it was accepted. Everything printed is a few rows
+    by its own definition.
+    """
+    run_id = run_id or tables.current_run(spark, root)
 
     def table(name: str):
-        return spark.read.parquet(tables.run_path(root, run_id, name))
+        return tables.published(spark, root, name, run_id)
 
     users = table("kpi.kpi_daily_active_users")
     revenue = table("kpi.kpi_revenue_by_segment")
     cohorts = table("kpi.kpi_funnel_conversion")
-    last_month = F.date_sub(F.max("month_start"), 92).cast("string")
-    recent = revenue.agg(last_month).first()[0]
     summary = quality.union_all(
         [
             quality.report_line(
-                "unique customer_id",
+                fixed.REPORT_LINES["customers"],
                 quality.excess_rows(table("core.dim_customers"), "customer_id"),
             ),
             quality.report_line(
-                "unique payment_id", quality.excess_rows(table("core.fct_payments"), "payment_id")
+                fixed.REPORT_LINES["payments"],
+                quality.excess_rows(table("core.fct_payments"), "payment_id"),
             ),
             quality.report_line(
-                "no orphan event customer_sk",
+                fixed.REPORT_LINES["events"],
                 quality.null_rows(table("core.fct_events"), "customer_sk"),
             ),
         ]
     )
     for title, df in {
-        "Headline": serving.headline_tiles(users, revenue),
+        "Headline": serving.headline_tiles(users, serving.revenue_by_month(revenue)),
         "Active users, newest days": serving.latest_days(users, 5),
-        "Revenue by segment, recent months": serving.revenue_since(revenue, recent),
+        "Revenue by segment, newest rows": serving.newest_revenue(revenue),
         "Funnel, newest cohort": serving.funnel_latest_cohort(cohorts),
         "Checks": summary,
     }.items():
-        print(f"\n{title}\n{serving.fetch(df).to_string(index=False)}")
+        print(f"\n{title}\n{df.toPandas().to_string(index=False)}")
 
 
 def main() -> None:
@@ -103,7 +106,7 @@ def main() -> None:
     sub.add_argument("--skip-freshness", action="store_true")
     sub = commands.add_parser("show")
     sub.add_argument("--root", required=True)
-    sub.add_argument("--run-id", required=True)
+    sub.add_argument("--run-id")
     args = parser.parse_args()
 
     builder = SparkSession.builder.appName("metricloom")

@@ -58,6 +58,13 @@ TRUE_WORDS = ["true", "1", "t"]
 # Hours after which a source is late: (warn, error).
 FRESHNESS_HOURS = {"events": (12, 24), "payments": (6, 12)}
 
+# Lines of the summary report.
+REPORT_LINES = {
+    "customers": "unique customer_id",
+    "payments": "unique payment_id",
+    "events": "no orphan event customer_sk",
+}
+
 # Calendar dimension bounds, first and last day.
 CALENDAR_FIRST_DAY = "2023-01-01"
 CALENDAR_LAST_DAY = "2027-12-31"

@@ -66,6 +66,25 @@ class RateMissing:
         return F.col("amount_local").isNotNull() & F.col(self.column).isNull()
 
 
+@dataclass(frozen=True)
+class Typed:
+    """No text was left over when the column was landed with a type."""
+
+    table: str
+    column: str
+
+    @property
+    def text(self) -> str:
+        return f"{self.column}_text"
+
+    @property
+    def name(self) -> str:
+        return f"typed_{self.table}_{self.column}"
+
+    def fails(self) -> Column:
+        return F.col(self.text).isNotNull()
+
+
 @dataclass(frozen=True)
 class Relationship:
     """Every non-null value exists in the parent table."""
@@ -80,7 +99,7 @@ class Relationship:
         return f"relationships_{self.table}_{self.column}__{self.parent}_{self.parent_column}"
 
 
-Check = Unique | NotNull | AcceptedValues | RateMissing | Relationship
+Check = Unique | NotNull | AcceptedValues | RateMissing | Typed | Relationship
 
 
 def duplicated_values(df: DataFrame, column: str) -> DataFrame:
@@ -93,6 +112,20 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def n_duplicated(df: DataFrame, column: str) -> DataFrame:
+    """How many values occur more than once, for a column where few or none do.
+
+    Values are first counted by a 64-bit hash, so the whole column moves as
+    numbers; only values whose hash occurs again are then counted themselves.
+    """
+    hashed = df.where(F.col(column).isNotNull()).select(
+        F.col(column).alias("value"), F.xxhash64(column).alias("hash")
+    )
+    again = hashed.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    doubtful = hashed.join(again, "hash", "left_semi")
+    return duplicated_values(doubtful, "value").agg(F.count("*").alias("failures"))
+
+
 def _unmatched(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
@@ -148,13 +181,13 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
     uniqueness and relationships take one grouped pass each.
     """
     checks = list(checks)
-    row_checks: dict[str, list[NotNull | AcceptedValues | RateMissing]] = {}
+    row_checks: dict[str, list[NotNull | AcceptedValues | RateMissing | Typed]] = {}
     lines = []
     for check in checks:
         match check:
             case Unique():
-                failing = duplicated_values(tables[check.table], check.column)
-                lines.append(report_line(check.name, failing.agg(F.count("*").alias("failures"))))
+                failing = n_duplicated(tables[check.table], check.column)
+                lines.append(report_line(check.name, failing))
             case Relationship():
                 failing = orphans(
                     tables[check.table], check.column, tables[check.parent], check.parent_column

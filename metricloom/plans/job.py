@@ -1,9 +1,9 @@
 """One run: freshness, staging, star schema, marts, checks, publish.
 
 Every table is written to the run's own folder and read back by the next step.
-The checks read the written tables; only when all pass are the names in the
-``core`` and ``kpi`` layers moved to the new run. A failed run changes nothing a
-reader sees.
+The checks read the written tables; only when all pass is the run accepted, which
+makes it the one that readers find. A failed run changes nothing a reader sees and
+may be run again under the same id.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from metricloom import fixed_values as fixed
 from metricloom.operators import activity, quality, staging, star
 from metricloom.plans import marts
-from metricloom.sources import files
+from metricloom.sources import files, schemas
 from metricloom.sources import tables as store
 
 RAW_CHECKS: list[quality.Check] = [
@@ -29,6 +29,11 @@ RAW_CHECKS: list[quality.Check] = [
     quality.NotNull("raw_app_events", "customer_id"),
     quality.Unique("raw_payments", "payment_id"),
     quality.NotNull("raw_payments", "payment_id"),
+    *[
+        quality.Typed(table, column)
+        for table, types in schemas.TYPES.items()
+        for column in types
+    ],
 ]
 MODEL_CHECKS: list[quality.Check] = [
     quality.Unique("dim_customers", "customer_sk"),
@@ -46,6 +51,8 @@ MODEL_CHECKS: list[quality.Check] = [
 EXTRA_CHECKS: list[quality.Check] = [
     quality.NotNull("fct_events", "customer_sk"),
     quality.NotNull("fct_payments", "customer_sk"),
+    # A key is only set where the customer exists; this one can fail.
+    quality.Relationship("fct_payments", "customer_id", "dim_customers", "customer_id"),
     quality.RateMissing("fct_payments"),
 ]
 
@@ -55,13 +62,13 @@ TAGS = {"kpi": ["dashboard", "executive"]}
 def load_raw(spark: SparkSession, folder: str, root: str, ds: str) -> dict[str, DataFrame]:
     """Land one run date's CSV extracts as Parquet and read them back.
 
-    The text is parsed once; staging, checks and freshness then read only the
-    columns they need.
+    The text is parsed and typed once; staging, checks and freshness then read
+    only the columns they need, and the newest time is in the files' statistics.
     """
     raw = {}
     for name, df in files.read_raw(spark, folder).items():
         path = f"{root.rstrip('/')}/raw/{name}"
-        files.land(df, path, ds)
+        files.land(files.typed(df, schemas.TYPES[name]), path, ds)
         raw[name] = files.read_landed(spark, path, ds, ds).drop("ds")
     return raw
 
@@ -95,11 +102,14 @@ def run(
 ) -> DataFrame:
     """Build, check and publish every table; returns the check report.
 
-    ``root`` is a folder that all executors share. ``as_of`` stands for now.
+    ``root`` is a folder that all executors share. ``as_of`` stands for now; with
+    a zone it is turned into UTC, in which all times are.
     """
     if not re.fullmatch(r"[A-Za-z0-9_\-]+", run_id):
         raise ValueError(f"run_id may hold letters, digits, - and _ only: {run_id!r}")
-    now = as_of or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    if store.was_accepted(spark, root, run_id):
+        raise ValueError(f"run {run_id!r} is accepted; its files stay as they are")
+    now = utc(as_of or datetime.datetime.now(datetime.timezone.utc))
     moment = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     if freshness:
         quality.require_fresh(check_freshness(raw, moment))
@@ -110,12 +120,20 @@ def run(
     customers = staging.stage_customers(raw["raw_crm_customers"], strict_segments, moment)
     events = staging.stage_events(raw["raw_app_events"], moment)
     payments = staging.stage_payments(raw["raw_payments"], loaded_at=moment)
-    store.register_views(
-        {"stg_crm_customers": customers, "stg_app_events": events, "stg_payments": payments}
-    )
+    customers = write(customers, "staging.stg_crm_customers")
+    events = write(events, "staging.stg_app_events")
+    payments = write(payments, "staging.stg_payments")
 
     dim_customers = write(star.dim_customers(customers, moment), "core.dim_customers")
-    dim_date = write(star.dim_date(spark), "core.dim_date")
+    today = now.date().isoformat()
+    write(
+        star.dim_date(
+            spark,
+            min(fixed.CALENDAR_FIRST_DAY, start),
+            max(fixed.CALENDAR_LAST_DAY, today),
+        ),
+        "core.dim_date",
+    )
     unknown = write(star.unknown_customers(events, dim_customers), "unknown_customers")
     fct_events = write(
         star.fct_events_except(events, unknown, spread=True), "core.fct_events", "event_date"
@@ -127,9 +145,7 @@ def run(
     )
 
     active_users = write(
-        marts.kpi_daily_active_users(
-            fct_events, dim_date, start, now.date().isoformat(), anchors=anchors
-        ),
+        marts.kpi_daily_active_users(fct_events, start, today, anchors=anchors),
         "kpi.kpi_daily_active_users",
     )
     write(marts.kpi_revenue_by_segment(fct_payments), "kpi.kpi_revenue_by_segment")
@@ -142,7 +158,11 @@ def run(
         "fct_payments": fct_payments,
         "kpi_daily_active_users": active_users,
     }
-    gating = RAW_CHECKS + MODEL_CHECKS
+    gating = [
+        check
+        for check in RAW_CHECKS + MODEL_CHECKS
+        if not isinstance(check, quality.Typed) or check.text in raw[check.table].columns
+    ]
     report = write(quality.run_checks(checked, gating + EXTRA_CHECKS), "checks")
     quality.require_no_failures(
         report.where(F.col("check_name").isin([check.name for check in gating]))
@@ -152,7 +172,17 @@ def run(
     return report
 
 
+def utc(moment: datetime.datetime) -> datetime.datetime:
+    """A moment without zone, in UTC."""
+    if moment.tzinfo is None:
+        return moment
+    return moment.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+
+
 PUBLISHED = [
+    "staging.stg_crm_customers",
+    "staging.stg_app_events",
+    "staging.stg_payments",
     "core.dim_customers",
     "core.dim_date",
     "core.fct_events",
@@ -164,7 +194,25 @@ PUBLISHED = [
 
 
 def publish_run(spark: SparkSession, root: str, run_id: str) -> None:
-    """Move the published names to a run; also the way back to an earlier one."""
+    """Make a run the current one; also the way back to an earlier one.
+
+    The catalog's names are moved first, table by table; readers of ``published``
+    and ``attach`` follow the log, whose line comes last and holds for the whole run.
+    """
+    _name_tables(spark, root, run_id)
+    store.accept(spark, root, run_id)
+
+
+def attach(spark: SparkSession, root: str) -> str:
+    """Name the current run's tables in this session's catalog; returns the run's id."""
+    run_id = store.current_run(spark, root)
+    if run_id is None:
+        raise LookupError(f"no accepted run under {root}")
+    _name_tables(spark, root, run_id)
+    return run_id
+
+
+def _name_tables(spark: SparkSession, root: str, run_id: str) -> None:
     store.ensure_layers(spark)
     for name in PUBLISHED:
-        store.publish(spark, root, run_id, name, TAGS.get(name.split(".")[0], ()))
+        store.name_table(spark, root, run_id, name, TAGS.get(name.split(".")[0], ()))

@@ -1,25 +1,13 @@
-"""Dashboard queries over the marts; results are at most a few hundred rows."""
+"""Dashboard queries over the marts. Those printed have a size by their own definition."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricloom.operators.quality import union_all
 
 
-MAX_FETCHED_ROWS = 100_000
-
-
-def fetch(df: DataFrame, max_rows: int = MAX_FETCHED_ROWS) -> pd.DataFrame:
-    """A small result on the driver; a larger one is refused, not cut."""
-    rows = df.limit(max_rows + 1).toPandas()
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; aggregate further before fetching")
-    return rows
-
-
 def latest_days(active_users: DataFrame, days: int = 30) -> DataFrame:
     """The newest days, newest first."""
     return active_users.orderBy(F.desc("date_day")).limit(days)
@@ -37,8 +25,11 @@ def revenue_series(revenue: DataFrame) -> DataFrame:
     return revenue.orderBy(F.asc_nulls_last("month_start"), F.asc_nulls_last("segment"))
 
 
-def headline_tiles(active_users: DataFrame, revenue: DataFrame) -> DataFrame:
-    """One row per headline number: its name and value."""
+def headline_tiles(active_users: DataFrame, by_month: DataFrame) -> DataFrame:
+    """One row per headline number: its name and value.
+
+    ``by_month`` has ``month_start`` and ``revenue``, a row per month.
+    """
     names = ["dau", "mau", "dau_mau_ratio"]
     newest_day = active_users.agg(
         F.max_by(F.struct(*names), "date_day").alias("newest")
@@ -47,7 +38,7 @@ def headline_tiles(active_users: DataFrame, revenue: DataFrame) -> DataFrame:
         F.struct(F.lit(name).alias("tile"), F.col(name).cast("double").alias("value"))
         for name in names
     ]
-    newest_month = revenue_by_month(revenue).agg(
+    newest_month = by_month.agg(
         F.max_by("revenue", "month_start").cast("double").alias("value")
     )
     return union_all(
@@ -58,6 +49,12 @@ def headline_tiles(active_users: DataFrame, revenue: DataFrame) -> DataFrame:
     )
 
 
+def newest_revenue(revenue: DataFrame, rows: int = 12) -> DataFrame:
+    """The newest rows of the revenue mart, newest month first."""
+    newest = (F.desc_nulls_last("month_start"), F.asc_nulls_last("segment"))
+    return revenue.orderBy(*newest).limit(rows)
+
+
 def funnel_latest_cohort(funnel: DataFrame) -> DataFrame:
     """Size and rates of the newest cohort."""
     return (

@@ -13,7 +13,10 @@ _CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headed CSV with a declared schema; a wrong header or row is an error."""
+    """Headed CSV with a declared schema; a wrong header or row is an error.
+
+    A file is split between tasks at its line ends, so a value may not hold one.
+    """
     return (
         spark.read.schema(schema)
         .options(**_CSV, enforceSchema=False, mode="FAILFAST")
@@ -55,6 +58,15 @@ def paying_customers(raw_customers: DataFrame) -> DataFrame:
     )
 
 
+def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Text columns cast to types, each with ``<name>_text`` for texts that have no such value."""
+    casts = {name: F.col(name).try_cast(kind) for name, kind in types.items()}
+    kept = {
+        f"{name}_text": F.when(cast.isNull(), F.col(name)) for name, cast in casts.items()
+    }
+    return df.withColumns(casts | kept)
+
+
 def land(df: DataFrame, path: str, ds: str | Column) -> None:
     """Write one run date's extract; a repeated run replaces only that date.
 

@@ -1,6 +1,7 @@
 """The whole run, from CSV files to published tables."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from metricloom.operators import quality
 from metricloom.plans import job, marts, serving
 from metricloom.sources import files, synthetic
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 AS_OF = datetime.datetime(2026, 5, 1, 2, 0)
 
 
@@ -62,13 +64,12 @@ def test_publish_and_serve(spark, raw, tmp_path):
     assert total == facts_total
     cohorts = spark.table("kpi.kpi_funnel_conversion")
     assert cohorts.agg(F.sum("cohort_size")).first()[0] == 400
-    assert serving.headline_tiles(users, revenue).count() == 4
+    assert serving.headline_tiles(users, serving.revenue_by_month(revenue)).count() == 4
     assert serving.funnel_latest_cohort(cohorts).count() == 1
-    assert spark.table("stg_payments").count() == 2000
+    assert spark.table("staging.stg_payments").count() == 2000
     assert len(spark.table("core.dim_date").columns) == 12
-    assert len(serving.fetch(serving.latest_days(users))) == 30
-    with pytest.raises(ValueError):
-        serving.fetch(users, max_rows=10)
+    assert serving.latest_days(users).count() == 30
+    assert serving.newest_revenue(revenue).count() == 12
 
 
 def test_date_filter_reads_only_its_partitions(spark, raw, tmp_path):
@@ -78,7 +79,7 @@ def test_date_filter_reads_only_its_partitions(spark, raw, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
     report = marts.kpi_daily_active_users(
-        spark.table("core.fct_events"), spark.table("core.dim_date"), "2026-03-01", "2026-03-31"
+        spark.table("core.fct_events"), "2026-03-01", "2026-03-31"
     )
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "(event_date#" in plan and ">= 2026-01-31)" in plan.split("PartitionFilters")[1]
@@ -124,9 +125,89 @@ def test_late_source_stops_the_run(spark, raw, tmp_path):
     }
 
 
-def test_run_id_is_checked_and_used_once(spark, raw, tmp_path):
+def test_run_id_is_checked_and_accepted_once(spark, raw, tmp_path):
+    root = str(tmp_path)
     with pytest.raises(ValueError):
-        job.run(spark, raw, str(tmp_path), "../x", AS_OF)
-    job.store.write_run_table(spark.range(3), str(tmp_path), "r", "t")
-    with pytest.raises(Exception, match="already exists"):
-        job.store.write_run_table(spark.range(3), str(tmp_path), "r", "t")
+        job.run(spark, raw, root, "../x", AS_OF)
+    twice = {**raw, "raw_payments": raw["raw_payments"].unionByName(raw["raw_payments"])}
+    with pytest.raises(quality.QualityError):
+        job.run(spark, twice, root, "again", AS_OF)
+    # A failed id may be used again, an accepted one not.
+    job.run(spark, raw, root, "again", AS_OF)
+    assert job.store.published(spark, root, "core.fct_payments").count() == 2000
+    with pytest.raises(ValueError, match="accepted"):
+        job.run(spark, raw, root, "again", AS_OF)
+
+
+def test_readers_see_accepted_runs_only(spark, raw, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    with pytest.raises(LookupError):
+        job.store.published(spark, root, "core.dim_customers")
+    job.run(spark, raw, root, "one", AS_OF)
+    whole = job.store.write_run_table
+
+    def stops(df, root, run_id, name, partition_by=()):
+        if name == "kpi.kpi_revenue_by_segment":
+            raise OSError("lost")
+        return whole(df, root, run_id, name, partition_by)
+
+    monkeypatch.setattr(job.store, "write_run_table", stops)
+    with pytest.raises(OSError):
+        job.run(spark, raw, root, "two", AS_OF)
+    monkeypatch.undo()
+    assert job.store.current_run(spark, root) == "one"
+    with pytest.raises(LookupError):
+        job.store.published(spark, root, "core.dim_customers", "two")
+    # Stopped between two names of the catalog: the log still holds the first run.
+    monkeypatch.setattr(job.store, "accept", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        job.run(spark, raw, root, "two", AS_OF)
+    monkeypatch.undo()
+    assert job.store.current_run(spark, root) == "one"
+    job.run(spark, raw, root, "two", AS_OF)
+    assert job.store.current_run(spark, root) == "two"
+    job.publish_run(spark, root, "one")
+    assert job.attach(spark, root) == "one"
+
+
+def test_another_process_reads_the_published_tables(spark, raw, tmp_path):
+    import subprocess
+    import sys
+
+    job.run(spark, raw, str(tmp_path), "here", AS_OF)
+    code = (
+        "import sys; from metricloom.session import local_session; from metricloom.plans import job\n"
+        "spark = local_session(2, 'reader')\n"
+        "assert job.attach(spark, sys.argv[1]) == 'here'\n"
+        "print('rows', spark.sql('select * from kpi.kpi_daily_active_users').count())\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code, str(tmp_path)], capture_output=True, text=True,
+        cwd=tmp_path, env={**__import__("os").environ, "PYTHONPATH": ROOT}, timeout=300,
+    )
+    assert "rows 486" in done.stdout, done.stderr[-2000:]
+
+
+def test_calendar_follows_the_run(spark, raw, tmp_path):
+    later = datetime.datetime(2028, 6, 1, 3, 0)
+    job.run(spark, raw, str(tmp_path), "later", later, start="2022-06-01", freshness=False)
+    for name in ("core.dim_date", "kpi.kpi_daily_active_users"):
+        day = job.store.published(spark, str(tmp_path), name).agg(F.min("date_day"), F.max("date_day"))
+        first, last = day.first()
+        assert first == datetime.date(2022, 6, 1) and last >= datetime.date(2028, 6, 1)
+    users = job.store.published(spark, str(tmp_path), "kpi.kpi_daily_active_users")
+    assert users.count() == (datetime.date(2028, 6, 1) - datetime.date(2022, 6, 1)).days + 1
+
+
+def test_times_with_a_zone_become_utc():
+    east = datetime.datetime.fromisoformat("2026-05-01T05:00:00+02:00")
+    assert job.utc(east) == datetime.datetime(2026, 5, 1, 3)
+    assert job.utc(AS_OF) == AS_OF
+
+
+def test_text_without_a_type_stops_the_run(spark, raw, tmp_path):
+    odd = raw["raw_payments"].withColumn(
+        "amount_text", F.when(F.col("payment_id") == "PAY000000002", "ten")
+    )
+    with pytest.raises(quality.QualityError, match="typed_raw_payments_amount: 1"):
+        job.run(spark, {**raw, "raw_payments": odd}, str(tmp_path), "odd", AS_OF)
