@@ -30,9 +30,11 @@ def rolling_distinct(
     """Distinct keys active in the trailing ``n`` days, for every window at once.
 
     ``windows`` maps an output column to its width; width 1 is the daily count.
-    Without a calendar the result has one row per day of the data. With one
-    (a DataFrame of ``date_day``), it has one row per calendar day, and days
-    without data show 0 (``anchors='event_days'``) or the true trailing count
+    Without a calendar the result has one row per day of the data
+    (``anchors='event_days'``) or per day from the first to the last day of the
+    data (``anchors='calendar'``), found in the same pass. With one (a DataFrame
+    of ``date_day``), it has one row per calendar day, and days without data show
+    0 (``anchors='event_days'``) or the true trailing count
     (``anchors='calendar'``).
 
     A key enters a window on an active day that no earlier active day still
@@ -46,8 +48,6 @@ def rolling_distinct(
     """
     if anchors not in (EVENT_DAYS, CALENDAR):
         raise ValueError(f"anchors must be {EVENT_DAYS!r} or {CALENDAR!r}, not {anchors!r}")
-    if anchors == CALENDAR and calendar is None:
-        raise ValueError("anchors='calendar' needs a calendar")
 
     counters = _daily_counters(df, day, key, windows)
     changes = counters.select(F.explode(_changes(windows)).alias("change")).select("change.*")
@@ -61,6 +61,8 @@ def rolling_distinct(
     so_far = by_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     same_day = by_day.rangeBetween(Window.currentRow, Window.currentRow)
     counts = {name: F.sum(name).over(so_far) for name in windows}
+    if calendar is None and anchors == CALENDAR:
+        return _every_day(changes, counts, by_day)
     if calendar is None:
         running = changes.select("on_day", "has_data", *_named(counts))
         return running.where("has_data").select(F.col("on_day").alias(day), *windows)
@@ -75,6 +77,22 @@ def rolling_distinct(
     return running.where("in_calendar").select(F.col("on_day").alias("date_day"), *windows)
 
 
+def _every_day(changes: DataFrame, counts: dict[str, Column], by_day) -> DataFrame:
+    """Counts of each day of the data's span: a day's hold until the next change."""
+    whole = by_day.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.max(F.when(F.col("has_data"), F.col("on_day"))).over(whole)
+    held = changes.select(
+        "on_day",
+        F.lead("on_day").over(by_day).alias("next_day"),
+        last.alias("last_day"),
+        *_named(counts),
+    )
+    until = F.least(F.date_sub("next_day", 1), F.col("last_day"))
+    return held.where(F.col("on_day") <= until).select(
+        F.explode(F.sequence("on_day", until)).alias("date_day"), *counts
+    )
+
+
 def _named(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 

@@ -50,6 +50,15 @@ def monthly_revenue_of(payments: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def revenue_by_month_of(payments: DataFrame) -> DataFrame:
+    """Revenue per month straight from staged payments; no customer is needed for it."""
+    return (
+        payments.where(is_recognised(F.col("status")))
+        .groupBy(month_of(F.col("paid_at").cast("date")).alias("month_start"))
+        .agg(F.sum("amount_usd").cast(TOTAL).alias("revenue"))
+    )
+
+
 def with_previous_month(monthly: DataFrame) -> DataFrame:
     """Add the revenue of the segment's previous month that has any."""
     of_segment = Window.partitionBy("segment").orderBy(F.asc_nulls_last("month_start"))

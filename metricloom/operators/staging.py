@@ -70,12 +70,39 @@ def fx_rates(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS fx(currency, usd_rate)")
 
 
+def fixed_rate(currency: Column) -> Column:
+    """The fixed rate of a clean currency code, null for an unknown one."""
+    return F.coalesce(
+        *[
+            F.when(currency == code, F.lit(rate).cast(RATE))
+            for code, rate in fixed.USD_RATES.items()
+        ]
+    )
+
+
+# A rate table of up to this many rows is sent to every task; a larger one is joined.
+BROADCAST_RATES = 10_000
+
+
+def _with_rates(cleaned: DataFrame, fx: DataFrame) -> DataFrame:
+    """Rates by a join with a table of one row per currency; anything else is refused."""
+    rates = fx.select(F.col("currency").alias("fx_currency"), "usd_rate")
+    n, n_currencies = rates.agg(F.count("fx_currency"), F.count_distinct("fx_currency")).first()
+    if n != n_currencies:
+        raise ValueError("a currency has more than one rate")
+    rates = F.broadcast(rates) if n <= BROADCAST_RATES else rates
+    return cleaned.join(rates, F.col("currency") == F.col("fx_currency"), "left")
+
+
 def stage_payments(
     raw: DataFrame, fx: DataFrame | None = None, loaded_at: Column | None = None
 ) -> DataFrame:
-    """Payments with their amount in US dollars, null for an unknown currency."""
-    fx = fx_rates(raw.sparkSession) if fx is None else fx
-    rates = fx.select(F.col("currency").alias("fx_currency"), "usd_rate")
+    """Payments with their amount in US dollars, null for an unknown currency.
+
+    The fixed rates are part of the expression: nothing is joined, and a query
+    that does not ask for dollars reads neither amount nor currency. ``fx``
+    (currency, usd_rate) replaces them by a table.
+    """
     cleaned = raw.select(
         F.col("payment_id").cast("string").alias("payment_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
@@ -85,7 +112,11 @@ def stage_payments(
         lower_code("status").alias("status"),
         capitalise("plan").alias("plan"),
     )
-    staged = cleaned.join(rates, F.col("currency") == F.col("fx_currency"), "left").select(
+    if fx is None:
+        rated = cleaned.withColumn("usd_rate", fixed_rate(F.col("currency")))
+    else:
+        rated = _with_rates(cleaned, fx)
+    staged = rated.select(
         "payment_id",
         "customer_id",
         "paid_at",

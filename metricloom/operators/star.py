@@ -10,10 +10,11 @@ from metricloom.functions import event_flag, month_of, surrogate_key, tenure_day
 from metricloom.operators.staging import USD
 
 
-def day_spine(spark: SparkSession, first: str, last: str) -> DataFrame:
+def day_spine(spark: SparkSession, first: str | Column, last: str | Column) -> DataFrame:
     """Every day from ``first`` to ``last``, both included."""
+    first, last = (F.lit(day).cast("date") for day in (first, last))
     bounds = spark.range(0, 1, 1, numPartitions=1).select(
-        F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last")
+        first.alias("first"), last.alias("last")
     )
     return _days_between(bounds)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from metricloom import fixed_values as fixed
 from metricloom.functions import ratio, within_days
-from metricloom.operators import activity, funnel, revenue
+from metricloom.operators import activity, funnel, revenue, star
 
 REVENUE_COLUMNS = [
     "month_start", "segment", "revenue_usd", "paying_customers", "txn_count",
@@ -22,7 +22,6 @@ def with_stickiness(active: DataFrame) -> DataFrame:
 
 def kpi_daily_active_users(
     events: DataFrame,
-    calendar: DataFrame,
     start: str = fixed.REPORT_START,
     end: str | None = None,
     day: str = "event_date",
@@ -32,6 +31,7 @@ def kpi_daily_active_users(
 ) -> DataFrame:
     """Daily, weekly and monthly active users of every calendar day start … end.
 
+    The days are the report's own, so no calendar table can cut them short.
     Only events that some reported window can see are read, so on facts
     partitioned by day the scan is cut to the report's days and one month more.
     On events that are not, name the time behind the day as ``moment`` to prune
@@ -39,7 +39,7 @@ def kpi_daily_active_users(
     """
     first = F.lit(start).cast("date")
     last = F.current_date() if end is None else F.lit(end).cast("date")
-    days = calendar.where(F.col("date_day").between(first, last)).select("date_day")
+    days = star.day_spine(events.sparkSession, first, last)
     earliest = F.date_sub(first, fixed.MONTH_DAYS - 1)
     if moment is None:
         seen = events.where(F.col(day).between(earliest, last))

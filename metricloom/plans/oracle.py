@@ -1,7 +1,9 @@
 """SQL with the same results as the registered queries, for a second engine.
 
 Written the plain way: trailing counts as range joins, aggregates after joins.
-It shares parameters and fixed values with the queries, and no method.
+It shares parameters and fixed values with the queries. Only the synthetic rows
+share more: their digests and the order by digest are part of their definition, so
+the SQL repeats them (with one global sort in place of buckets).
 """
 
 from __future__ import annotations
@@ -9,7 +11,6 @@ from __future__ import annotations
 from metricloom import fixed_values as fixed
 from metricloom.plans import registry as reg
 from metricloom.sources import sample_tables as sample
-from metricloom.sources import synthetic
 
 
 def _text(value) -> str:
@@ -118,6 +119,11 @@ PARTS: dict[str, tuple[list[str], str]] = {
         from generate_series(timestamp '{reg.REPORT_FIRST}', timestamp '{reg.REPORT_LAST}',
                              interval 1 day) as t(d)"""),
     "event_days": (["ev"], "select distinct event_date from ev"),
+    "data_days": (["ev"], """
+        select cast(t.d as date) as date_day
+        from (select min(event_date) as f, max(event_date) as l from ev) b,
+             generate_series(b.f, b.l, interval 1 day) as t(d)"""),
+    "engaged": (["ev"], f"select * from ev where funnel_step >= {reg.ENGAGED_STEP}"),
     "daily": (["ev"], """
         select event_date, count(distinct customer_id) as dau from ev group by event_date"""),
     "weekly": (["ev", "event_days"], f"""
@@ -149,6 +155,18 @@ PARTS: dict[str, tuple[list[str], str]] = {
             from days left join ev
               on event_date > date_day - {fixed.MONTH_DAYS} and event_date <= date_day
             group by date_day)"""),
+    "kpi_users_data": (["data_days", "ev"], f"""
+        select date_day, dau, wau, mau,
+               if(mau = 0, 0, round(cast(dau as double) / mau, 4)) as dau_mau_ratio
+        from (
+            select date_day,
+                   count(distinct customer_id) filter (event_date = date_day) as dau,
+                   count(distinct customer_id) filter (event_date > date_day - {fixed.WEEK_DAYS})
+                       as wau,
+                   count(distinct customer_id) as mau
+            from data_days left join ev
+              on event_date > date_day - {fixed.MONTH_DAYS} and event_date <= date_day
+            group by date_day)"""),
     "paid": (["stg_payments"], "select *, cast(paid_at as date) as payment_date from stg_payments"),
     "monthly": (["pay"], """
         select cast(date_trunc('month', payment_date) as date) as month_start,
@@ -212,8 +230,8 @@ def sql(parts: list[str], select: str) -> str:
 
 
 def _u(seed: int, row: str, draw: int) -> str:
-    digits = f"substr(md5('{seed}.{draw // 4}:' || {row}), {1 + 8 * (draw % 4)}, 8)"
-    return f"(cast('0x' || {digits} as bigint) / cast(4294967296 as double))"
+    digits = f"substr(md5('{seed}.{draw // 2}:' || {row}), {1 + 13 * (draw % 2)}, 13)"
+    return f"(cast('0x' || {digits} as bigint) / cast({1 << 52} as double))"
 
 
 def _whole(u: str, n) -> str:
@@ -265,11 +283,9 @@ SYNTH_CUSTOMERS = f"""
 
 
 def _numbered(source: str, columns: str) -> str:
-    bucket = (
-        f"cast('0x' || substr(md5(customer_id), 1, 8) as bigint) % {synthetic.INDEX_BUCKETS}"
-    )
+    place = "cast('0x' || substr(md5(customer_id), 1, 13) as bigint)"
     return (
-        f"select {columns}, row_number() over (order by {bucket}, customer_id) - 1 as row_index, "
+        f"select {columns}, row_number() over (order by {place}, customer_id) - 1 as row_index, "
         f"count(*) over () as total from ({source})"
     )
 
@@ -317,17 +333,28 @@ def _buyers(anchors: str) -> str:
         group by a.day""")
 
 
+def _engaged(name: str, width: int) -> str:
+    return sql(["engaged"], f"""
+        select a.event_date, count(distinct e.customer_id) as {name}
+        from (select distinct event_date from engaged) a join engaged e
+          on e.event_date > a.event_date - {width} and e.event_date <= a.event_date
+        group by a.event_date""")
+
+
 def _all_order_days() -> str:
     return """select cast(t.d as date) as date_day
         from (select min(cast(o_orderdate as date)) as f, max(cast(o_orderdate as date)) as l
               from orders) b, generate_series(b.f, b.l, interval 1 day) as t(d)"""
 
 
-def _freshness(name: str, table: str, column: str) -> str:
+def _freshness(
+    name: str, table: str, column: str, as_of: str = reg.AS_OF, shown: str = ""
+) -> str:
     warn, error = fixed.FRESHNESS_HOURS[name]
-    hours = f"cast(datediff('microsecond', max({column}), {AS_OF}) as double) / 3600000000"
+    moment = f"timestamp '{as_of}'"
+    hours = f"cast(datediff('microsecond', max({column}), {moment}) as double) / 3600000000"
     return f"""
-        select '{name}' as source_name, max({column}) as max_loaded_at,
+        select '{shown or name}' as source_name, max({column}) as max_loaded_at,
                round({hours}, 4) as age_hours,
                case when max({column}) is null or {hours} > {error} then 'error'
                     when {hours} > {warn} then 'warn' else 'pass' end as status
@@ -440,19 +467,20 @@ ORACLE: dict[str, str] = {
         where payment_date between date '{reg.RANGE_FIRST}' and date '{reg.RANGE_LAST}'"""),
     "distinct_anchor_days": sql(["event_days"], "select * from event_days"),
     "dau": sql(["daily"], "select * from daily"),
-    "wau_rolling": sql(["weekly"], "select * from weekly"),
-    "mau_rolling": sql(["thirty"], "select * from thirty"),
+    "wau_rolling": _engaged("wau", fixed.WEEK_DAYS),
+    "mau_rolling": _engaged("mau", fixed.MONTH_DAYS),
     "dau_mau_joined": sql(["daily", "thirty"], """
         select event_date, dau, mau, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),
     "dau_mau_stickiness": sql(["daily", "thirty"], """
         select event_date, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),
-    "calendar_gap_fill": sql(["days", "stg_events", "paid"], """
-        select date_day, count(event_id) as events, count(distinct customer_id) as users,
-               count(funnel_step) as funnel_events,
-               (select count(*) from paid where payment_date = date_day) as payments
-        from days left join stg_events on cast(event_at as date) = date_day group by date_day"""),
+    "calendar_gap_fill": sql(["paid"], f"""
+        select date_day, count(payment_id) filter (status = 'refunded') as refunds,
+               count(distinct customer_id) filter (status = 'refunded') as customers,
+               count(payment_id) filter (amount_usd is null) as unrated
+        from ({_all_order_days()}) left join paid on payment_date = date_day
+        group by date_day"""),
     "kpi_daily_active_users": sql(["kpi_users"], "select * from kpi_users"),
     "kpi_daily_active_users_calendar": sql(["kpi_users_calendar"],
                                            "select * from kpi_users_calendar"),
@@ -510,15 +538,17 @@ ORACLE: dict[str, str] = {
     "dq_accepted_values": sql(["dim"], f"""
         select 'accepted_values_dim_customers_segment' as check_name, count(*) as failures
         from dim where segment not in ({_words(fixed.SEGMENTS)})"""),
-    "dq_relationships_payments": sql(["pay", "dim", "stg_events"], """
-        select 'relationships_fct_payments_customer_sk__dim_customers_customer_sk' as check_name,
+    "dq_relationships_payments": sql(["stg_payments", "dim", "stg_events"], " union all ".join(
+        f"""
+        select 'relationships_stg_payments_customer_id__{name}_customer_id' as check_name,
                count(*) as failures
-        from pay p where p.customer_sk is not null
-          and not exists (select 1 from dim d where d.customer_sk = p.customer_sk)
-        union all
-        select 'relationships_fct_payments_customer_id__fct_events_customer_id', count(*)
-        from pay p where p.customer_id is not null
-          and not exists (select 1 from stg_events e where e.customer_id = p.customer_id)"""),
+        from stg_payments p where p.customer_id is not null
+          and not exists (select 1 from {parent} x where x.customer_id = p.customer_id)"""
+        for name, parent in {
+            "dim_customers": "dim",
+            "paying_customers": "(select * from dim where is_paying)",
+            "stg_events": "stg_events",
+        }.items())),
     "dq_orphan_event_sk": sql(["stg_events", "dim"], """
         select 'no orphan event customer_sk (all)' as check_name, count(*) as failures
         from stg_events e where not exists (
@@ -530,22 +560,34 @@ ORACLE: dict[str, str] = {
     "source_freshness": sql(
         ["raw_events", "raw_payments"],
         _freshness("events", "raw_events", "event_timestamp")
+        + " union all "
+        + _freshness(
+            "events", "raw_events", "event_timestamp", reg.AS_OF_EARLIER, "events, earlier"
+        )
         + " union all " + _freshness("payments", "raw_payments", "payment_timestamp")),
-    "dq_report": sql(["dim", "pay", "ev"], """
-        select 'unique customer_id' as check_name,
+    "dq_report": sql(["dim", "stg_payments", "stg_events"], f"""
+        select '{fixed.REPORT_LINES["customers"]}' as check_name,
                count(*) - count(distinct customer_id) as failures from dim
-        union all select 'unique payment_id', count(*) - count(distinct payment_id) from pay
-        union all select 'no orphan event customer_sk', count(*) - count(customer_sk) from ev"""),
-    "latest_days_topk": sql(["kpi_users_calendar"], """
-        select * from kpi_users_calendar order by date_day desc limit 30"""),
-    "headline_tiles": sql(["kpi_users_calendar", "monthly"], """
+        union all
+        select '{fixed.REPORT_LINES["payments"]}',
+               count(*) - count(distinct payment_id) from stg_payments
+        union all
+        select '{fixed.REPORT_LINES["events"]}', count(*) from stg_events e
+        where not exists (
+            select 1 from dim d where d.customer_id = e.customer_id and d.is_paying)"""),
+    "latest_days_topk": sql(["kpi_users_data"], """
+        select * from kpi_users_data order by date_day desc limit 30"""),
+    "headline_tiles": sql(["kpi_users_data", "paid"], """
         , newest as (
-            select * from kpi_users_calendar
-            where date_day = (select max(date_day) from kpi_users_calendar))
+            select * from kpi_users_data
+            where date_day = (select max(date_day) from kpi_users_data)),
+        by_month as (
+            select date_trunc('month', payment_date) as month, sum(amount_usd) as revenue
+            from paid where status = 'succeeded' group by all)
         select 'dau' as tile, cast(dau as double) as value from newest
         union all select 'mau', cast(mau as double) from newest
         union all select 'dau_mau_ratio', dau_mau_ratio from newest
         union all
-        select 'revenue_latest_month', cast(sum(revenue) as double) from monthly
-        where month_start = (select max(month_start) from monthly)"""),
+        select 'revenue_latest_month', cast(revenue as double) from by_month
+        where month = (select max(month) from by_month)"""),
 }

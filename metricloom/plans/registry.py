@@ -22,6 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed report parameters; the sample events run over January 2024.
 AS_OF = "2024-01-31 12:00:00"
+AS_OF_EARLIER = "2024-01-31 06:00:00"
+# Steps of the funnel from which on a user counts as engaged.
+ENGAGED_STEP = 4
 REPORT_FIRST = "2023-12-25"
 REPORT_LAST = "2024-02-05"
 RANGE_FIRST, RANGE_LAST = "1997-03-01", "1998-02-28"
@@ -38,8 +41,8 @@ def query(build: Query) -> Query:
     return build
 
 
-def _as_of():
-    return F.lit(AS_OF).cast("timestamp_ntz")
+def _as_of(moment: str = AS_OF):
+    return F.lit(moment).cast("timestamp_ntz")
 
 
 def _plain_money(df: DataFrame) -> DataFrame:
@@ -83,14 +86,9 @@ def _monthly(spark: SparkSession, folder: str) -> DataFrame:
     return revenue.monthly_revenue_of(_payments(spark, folder), _customers(spark, folder))
 
 
-def _report_days(spark: SparkSession) -> DataFrame:
-    return star.day_spine(spark, REPORT_FIRST, REPORT_LAST)
-
-
 def _active_users(spark: SparkSession, folder: str, anchors: str) -> DataFrame:
     return marts.kpi_daily_active_users(
         _dated_events(spark, folder),
-        star.dim_date(spark),
         start=REPORT_FIRST,
         end=REPORT_LAST,
         anchors=anchors,
@@ -165,18 +163,14 @@ def synth_customers(spark, folder):
 def synth_events(spark, folder):
     """Synthetic events of the synthetic customers, thirty for each on average."""
     ids = files.customer_ids(_synthetic_customers(spark, folder))
-    n = ids.count()
-    return synthetic.events(ids, n * EVENTS_PER_CUSTOMER, choices=n)
+    return synthetic.events(ids, per_id=EVENTS_PER_CUSTOMER)
 
 
 @query
 def synth_payments(spark, folder):
     """Synthetic payments of the paying synthetic customers."""
     paying = files.paying_customers(_synthetic_customers(spark, folder))
-    n = paying.count()
-    return _plain_money(
-        synthetic.payments(paying, n * PAYMENTS_PER_PAYING_CUSTOMER, choices=n)
-    )
+    return _plain_money(synthetic.payments(paying, per_id=PAYMENTS_PER_PAYING_CUSTOMER))
 
 
 # --- scalars and staging -------------------------------------------------------
@@ -355,14 +349,20 @@ def _rolling(spark: SparkSession, folder: str, windows: dict[str, int]) -> DataF
     )
 
 
+def _engaged(spark: SparkSession, folder: str, windows: dict[str, int]) -> DataFrame:
+    """Users who activated or upgraded; nearly every sample user does something each week."""
+    engaged = _dated_events(spark, folder).where(F.col("funnel_step") >= ENGAGED_STEP)
+    return activity.rolling_distinct(engaged, "event_date", "customer_id", windows)
+
+
 @query
 def wau_rolling(spark, folder):
-    return _rolling(spark, folder, {"wau": fixed.WEEK_DAYS})
+    return _engaged(spark, folder, {"wau": fixed.WEEK_DAYS})
 
 
 @query
 def mau_rolling(spark, folder):
-    return _rolling(spark, folder, {"mau": fixed.MONTH_DAYS})
+    return _engaged(spark, folder, {"mau": fixed.MONTH_DAYS})
 
 
 @query
@@ -380,24 +380,20 @@ def dau_mau_stickiness(spark, folder):
 
 @query
 def calendar_gap_fill(spark, folder):
-    """Daily measures of events and payments on the report days, missing days as 0."""
-    per_day = (
-        _dated_events(spark, folder)
-        .groupBy("event_date")
-        .agg(
-            F.count("*").alias("events"),
-            F.countDistinct("customer_id").alias("users"),
-            F.count("funnel_step").alias("funnel_events"),
-        )
-    )
-    paid = (
-        _dated_payments(spark, folder)
+    """Refunds, and payments without a dollar rate, on every day of the order dates."""
+    payments = _dated_payments(spark, folder)
+    refunds = (
+        payments.where("status = 'refunded'")
         .groupBy("payment_date")
-        .agg(F.count("*").alias("payments"))
+        .agg(F.count("*").alias("refunds"), F.countDistinct("customer_id").alias("customers"))
     )
-    return activity.fill_calendar(
-        _report_days(spark), [(per_day, "event_date"), (paid, "payment_date")]
+    unrated = (
+        payments.where("amount_usd is null")
+        .groupBy("payment_date")
+        .agg(F.count("*").alias("unrated"))
     )
+    spine = star.day_spine_of(payments, F.col("payment_date"))
+    return activity.fill_calendar(spine, [(refunds, "payment_date"), (unrated, "payment_date")])
 
 
 @query
@@ -423,11 +419,10 @@ def active_buyers(spark, folder):
 @query
 def active_buyers_calendar(spark, folder):
     """The same on every day from the first to the last order."""
-    payments = _dated_payments(spark, folder)
     windows = {"buyers_1d": 1, "buyers_7d": fixed.WEEK_DAYS, "buyers_30d": fixed.MONTH_DAYS}
-    spine = star.day_spine_of(payments, F.col("payment_date"))
     return activity.rolling_distinct(
-        payments, "payment_date", "customer_id", windows, spine, activity.CALENDAR
+        _dated_payments(spark, folder), "payment_date", "customer_id", windows,
+        anchors=activity.CALENDAR,
     )
 
 
@@ -569,15 +564,18 @@ def dq_accepted_values(spark, folder):
 
 @query
 def dq_relationships_payments(spark, folder):
-    """Payments without a customer, and without any event of the customer."""
+    """Payments without a customer, without a paying one, and without any event."""
+    customers = _customers(spark, folder)
     tables = {
-        "fct_payments": _payment_facts(spark, folder),
-        "dim_customers": _customers(spark, folder),
-        "fct_events": _events(spark, folder),
+        "stg_payments": _payments(spark, folder),
+        "dim_customers": customers,
+        "paying_customers": customers.where("is_paying"),
+        "stg_events": _events(spark, folder),
     }
+    parents = ("dim_customers", "paying_customers", "stg_events")
     checks = [
-        quality.Relationship("fct_payments", "customer_sk", "dim_customers", "customer_sk"),
-        quality.Relationship("fct_payments", "customer_id", "fct_events", "customer_id"),
+        quality.Relationship("stg_payments", "customer_id", parent, "customer_id")
+        for parent in parents
     ]
     return quality.run_checks(tables, checks)
 
@@ -598,40 +596,60 @@ def dq_orphan_event_sk(spark, folder):
 
 @query
 def source_freshness(spark, folder):
-    events = quality.source_freshness(
-        sample.raw_events(spark, folder), "events", "event_timestamp",
-        fixed.FRESHNESS_HOURS["events"], _as_of(),
-    )
-    payments = quality.source_freshness(
-        sample.raw_payments(spark, folder), "payments", "payment_timestamp",
-        fixed.FRESHNESS_HOURS["payments"], _as_of(),
+    events, payments = sample.raw_events(spark, folder), sample.raw_payments(spark, folder)
+    late = fixed.FRESHNESS_HOURS
+    return quality.union_all(
+        [
+            quality.source_freshness(
+                events, "events", "event_timestamp", late["events"], _as_of()
+            ),
+            quality.source_freshness(
+                events, "events, earlier", "event_timestamp", late["events"],
+                _as_of(AS_OF_EARLIER),
+            ),
+            quality.source_freshness(
+                payments, "payments", "payment_timestamp", late["payments"], _as_of()
+            ),
+        ]
     )
-    return events.unionByName(payments)
 
 
 @query
 def dq_report(spark, folder):
-    customers, facts = _customers(spark, folder), _payment_facts(spark, folder)
-    events = _events(spark, folder)
+    """The summary lines; events are held against paying customers, so that one line fails."""
+    customers, payments = _customers(spark, folder), _payments(spark, folder)
+    paying = customers.where("is_paying")
     lines = {
-        "unique customer_id": quality.excess_rows(customers, "customer_id"),
-        "unique payment_id": quality.excess_rows(facts, "payment_id"),
-        "no orphan event customer_sk": quality.unmatched_rows(
-            events, "customer_id", customers, "customer_id"
+        "customers": quality.excess_rows(customers, "customer_id"),
+        "payments": quality.excess_rows(payments, "payment_id"),
+        "events": quality.unmatched_rows(
+            _events(spark, folder), "customer_id", paying, "customer_id"
         ),
     }
-    return quality.union_all(quality.report_line(name, df) for name, df in lines.items())
+    return quality.union_all(
+        quality.report_line(fixed.REPORT_LINES[name], df) for name, df in lines.items()
+    )
 
 
 # --- serving --------------------------------------------------------------------------------
 
 
+def _every_data_day(spark: SparkSession, folder: str, windows: dict[str, int]) -> DataFrame:
+    """Trailing users with stickiness, on every day from the first event to the last."""
+    users = activity.rolling_distinct(
+        _dated_events(spark, folder), "event_date", "customer_id", windows,
+        anchors=activity.CALENDAR,
+    )
+    return marts.with_stickiness(users)
+
+
 @query
 def latest_days_topk(spark, folder):
-    return serving.latest_days(_active_users(spark, folder, activity.CALENDAR), 30)
+    windows = {"dau": 1, "wau": fixed.WEEK_DAYS, "mau": fixed.MONTH_DAYS}
+    return serving.latest_days(_every_data_day(spark, folder, windows), 30)
 
 
 @query
 def headline_tiles(spark, folder):
-    active = _active_users(spark, folder, activity.CALENDAR)
-    return serving.headline_tiles(active, _monthly(spark, folder))
+    active = _every_data_day(spark, folder, {"dau": 1, "mau": fixed.MONTH_DAYS})
+    return serving.headline_tiles(active, revenue.revenue_by_month_of(_payments(spark, folder)))

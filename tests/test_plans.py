@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
-from metricloom.operators import activity, funnel, revenue, star
+from metricloom.operators import activity, funnel, quality, revenue, staging, star
+from metricloom.plans.registry import REGISTRY
 from metricloom.sources import files
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,26 +14,26 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_slow_operators(spark, name):
-    text = plan(driver.queries()[name](spark, FOLDER))
+    text = plan(REGISTRY[name](spark, FOLDER))
     for slow in ("CartesianProduct", "NestedLoop", "PythonUDF", "ArrowEval", "InPandas"):
         assert slow not in text
 
 
 def test_scans_read_only_needed_columns(spark):
-    text = plan(driver.queries()["dau"](spark, FOLDER))
+    text = plan(REGISTRY["dau"](spark, FOLDER))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
-    text = plan(driver.queries()["kpi_daily_active_users"](spark, FOLDER))
+    text = plan(REGISTRY["kpi_daily_active_users"](spark, FOLDER))
     assert text.count("FileScan") == 1
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
 
 
 def test_day_ranges_reach_the_files(spark):
-    text = plan(driver.queries()["filter_date_between"](spark, FOLDER))
+    text = plan(REGISTRY["filter_date_between"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_orderdate,1997-03-01T00:00)" in text
     assert "LessThan(o_orderdate,1998-03-01T00:00)" in text
-    text = plan(driver.queries()["kpi_daily_active_users"](spark, FOLDER))
+    text = plan(REGISTRY["kpi_daily_active_users"](spark, FOLDER))
     assert "GreaterThanOrEqual(ts,2023-11-26" in text and "LessThan(ts,2024-02-06" in text
 
 
@@ -43,23 +43,89 @@ def test_one_date_lands_without_a_shuffle(spark, tmp_path):
 
 
 def test_signup_join_goes_away_when_unused(spark):
-    text = plan(driver.queries()["fct_events"](spark, FOLDER))
+    text = plan(REGISTRY["fct_events"](spark, FOLDER))
     assert "orders.parquet" not in text
 
 
 def test_stored_facts_push_filters_down(spark, tmp_path):
-    facts = driver.queries()["fct_payments"](spark, FOLDER)
+    facts = REGISTRY["fct_payments"](spark, FOLDER)
     facts.write.parquet(str(tmp_path / "f"))
     text = plan(revenue.monthly_revenue(spark.read.parquet(str(tmp_path / "f"))))
     assert "EqualTo(is_recognized_revenue,true)" in text
 
 
 def test_payments_are_summed_before_the_join(spark):
-    text = plan(driver.queries()["kpi_revenue_by_segment"](spark, FOLDER))
+    text = plan(REGISTRY["kpi_revenue_by_segment"](spark, FOLDER))
     join = text.index("Join [customer_id")
     assert "partial_sum(amount_usd" in text[join:]
 
 
+@pytest.mark.parametrize(
+    "name", ["dq_unique", "dq_unique_summary", "dq_not_null", "filter_date_between", "stg_payments"]
+)
+def test_rates_need_no_join(spark, name):
+    assert "Join" not in plan(REGISTRY[name](spark, FOLDER))
+
+
+def test_unused_dollars_are_not_read(spark):
+    text = plan(REGISTRY["dq_unique"](spark, FOLDER))
+    assert "ReadSchema: struct<o_custkey:bigint>" in text
+    assert "currency" not in plan(REGISTRY["dq_relationships_payments"](spark, FOLDER))
+
+
+def _executed(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_number_of_scans_and_shuffles(spark):
+    text = _executed(REGISTRY["active_buyers_calendar"](spark, FOLDER))
+    assert text.count("FileScan") == 1
+    text = _executed(REGISTRY["headline_tiles"](spark, FOLDER))
+    assert text.count("FileScan") <= 2
+    assert text.count("Exchange ") - text.count("ReusedExchange ") <= 7
+    text = _executed(REGISTRY["dq_relationships_payments"](spark, FOLDER))
+    assert text.count("FileScan") - text.count("ReusedExchange") <= 4
+
+
+def test_synthetic_rows_are_planned_without_a_job(spark):
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    REGISTRY["synth_events"](spark, FOLDER)
+    REGISTRY["synth_payments"](spark, FOLDER)
+    started = jobs.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Reading the files' schema is a job of its own; counting rows would be a second.
+    assert len(started) <= 2
+
+
+def test_a_table_of_rates_is_checked(spark):
+    payments = spark.range(3).selectExpr(
+        "id as payment_id", "id as customer_id", "'2024-01-01' as payment_timestamp",
+        "'2' as amount", "' eur' as currency", "'x' as status", "'pro' as plan",
+    )
+    good = spark.createDataFrame([("EUR", 2), ("USD", 1)], "currency string, n int").selectExpr(
+        "currency", "cast(n as decimal(5,4)) as usd_rate"
+    )
+    staged = staging.stage_payments(payments, good)
+    assert {str(r.amount_usd) for r in staged.collect()} == {"4.000000"}
+    with pytest.raises(ValueError):
+        staging.stage_payments(payments, good.unionByName(good))
+    assert str(staging.stage_payments(payments).first().amount_usd) == "2.160000"
+
+
+def test_duplicates_are_counted_by_hash_first(spark):
+    ids = spark.range(0, 2000, 1, 4).selectExpr(
+        "case when id % 5 = 0 then null when id < 600 then cast(id % 150 as string)"
+        " else cast(id as string) end as key"
+    )
+    expected = quality.duplicated_values(ids, "key").count()
+    assert expected > 100
+    assert quality.n_duplicated(ids, "key").first()[0] == expected
+    text = plan(quality.n_duplicated(ids, "key"))
+    assert "partial_count" in text.split("keys=[hash")[-1]
+
+
 @pytest.fixture
 def no_broadcast(spark):
     keep = {

@@ -99,8 +99,19 @@ def test_unknown_anchor_rule(spark):
     df = frame(spark, [(0, "a")])
     with pytest.raises(ValueError):
         activity.rolling_distinct(df, "day", "who", {"n": 7}, anchors="weekly")
-    with pytest.raises(ValueError):
-        activity.rolling_distinct(df, "day", "who", {"n": 7}, anchors=activity.CALENDAR)
+
+
+def test_every_day_of_the_data_in_one_pass(spark):
+    pairs = [(d, f"u{d * 7 % 5}") for d in (0, 1, 1, 9, 9, 10, 30, 31, 50)] + [(40, None), (9, "u1")]
+    df = frame(spark, pairs)
+    windows = {"dau": 1, "wau": 7, "mau": 30}
+    spine = star.day_spine(spark, str(on(0)), str(on(50)))
+    expected = activity.rolling_distinct(df, "day", "who", windows, spine, activity.CALENDAR)
+    got = activity.rolling_distinct(df, "day", "who", windows, anchors=activity.CALENDAR)
+    assert result(got) == result(expected) and len(result(got)) == 51
+    assert activity.rolling_distinct(
+        df.limit(0), "day", "who", windows, anchors=activity.CALENDAR
+    ).collect() == []
 
 
 def test_gap_fill_keeps_every_day(spark):

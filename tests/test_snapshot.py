@@ -24,7 +24,7 @@ def tables(spark):
 def test_active_users(spark, tables):
     customers, events, _ = tables
     kpi = marts.kpi_daily_active_users(
-        star.fct_events(events, customers), star.dim_date(spark), "2026-04-26", "2026-04-30"
+        star.fct_events(events, customers), "2026-04-26", "2026-04-30"
     )
     rows = kpi.collect()
     assert len(rows) == 5
