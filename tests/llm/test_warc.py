@@ -83,7 +83,7 @@ def test_damage_costs_only_the_damaged_records():
         edges = [sum(map(len, records[:i])) for i in range(7)]
         whole = b"".join(records)
         cases = {
-            "flipped": (whole[: edges[2] + 60] + bytes([whole[edges[2] + 60] ^ 0x55]) + whole[edges[2] + 61 :], [0, 1, 3, 4, 5]),
+            "flipped": (whole[: edges[3] - 9] + bytes([whole[edges[3] - 9] ^ 0x55]) + whole[edges[3] - 8 :], [0, 1, 3, 4, 5]),
             "cut": (whole[: edges[3] + 20], [0, 1, 2]),
             "junk": (whole[: edges[1]] + b"\x1f\x8b\x08 junk WARC/1.1\r\nContent-Length: x\r\n\r\n" + whole[edges[1] :], [0, 1, 2, 3, 4, 5]),
             "lost": (whole[: edges[4] - 9] + whole[edges[4] :], [0, 1, 2, 4, 5]),
