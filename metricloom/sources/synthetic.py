@@ -119,7 +119,11 @@ def _drawn_rows(
         total = numbered.select(F.max("total")).scalar()
         return numbered.sparkSession.range(1, n + 1).withColumn("total", total)
     steps = F.sequence(F.lit(1), F.lit(per_id))
-    return numbered.select("total", "row_index", F.explode(steps).alias("step")).select(
+    # A fixed number of parts: each numbered row becomes many, so a few small
+    # partitions must not be merged into one task.
+    parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = numbered.select("total", "row_index").repartition(parts, "row_index")
+    return spread.select("total", "row_index", F.explode(steps).alias("step")).select(
         (F.col("row_index") * per_id + F.col("step")).alias("id"), "total"
     )
 
