@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from metricloom.operators import activity, funnel, quality, revenue, staging, star
+from metricloom.operators import activity, funnel, revenue, staging, star
 from metricloom.plans.registry import REGISTRY
 from metricloom.sources import files
 
@@ -114,18 +114,6 @@ def test_a_table_of_rates_is_checked(spark):
     assert str(staging.stage_payments(payments).first().amount_usd) == "2.160000"
 
 
-def test_duplicates_are_counted_by_hash_first(spark):
-    ids = spark.range(0, 2000, 1, 4).selectExpr(
-        "case when id % 5 = 0 then null when id < 600 then cast(id % 150 as string)"
-        " else cast(id as string) end as key"
-    )
-    expected = quality.duplicated_values(ids, "key").count()
-    assert expected > 100
-    assert quality.n_duplicated(ids, "key").first()[0] == expected
-    text = plan(quality.n_duplicated(ids, "key"))
-    assert "partial_count" in text.split("keys=[hash")[-1]
-
-
 @pytest.fixture
 def no_broadcast(spark):
     keep = {
