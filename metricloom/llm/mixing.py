@@ -22,7 +22,7 @@ PERIODS_PER_SOURCE = 4
 BLOCK_DOCUMENTS = 16
 TEMPERATURE = 0.5
 SEED = 17
-ROWS_PER_BUCKET = 10_000
+ROWS_PER_BUCKET = 2_000
 
 
 def whole_weights(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
