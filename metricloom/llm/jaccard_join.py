@@ -51,6 +51,8 @@ EXTRA = 10
 # A query does not ask for tokens that more sets than this look at, up to those extra
 # ones; what it must share with a group is less by as many.
 COMMON = 8
+# Parts into which the rows of a frequent token are dealt.
+SALTS = 64
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -474,23 +476,22 @@ def _needed(n, m, percent: int):
 
 def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """(h, other): class h may link with a member of group other."""
-    same = Window.partitionBy("token")
-    rare = (
-        first.where("not often")
+    # Frequent tokens are kept whatever their count, so their rows need not meet.
+    salt = F.when(F.col("often"), F.pmod("h", F.lit(SALTS))).otherwise(F.lit(0))
+    same = Window.partitionBy("token", "salt")
+    sets = F.when(F.col("often"), F.lit(1 << 62)).otherwise(F.col("rows"))
+    shared = (
+        first.withColumn("salt", salt)
         .withColumn("low", F.min("h").over(same))
         .withColumn("high", F.max("h").over(same))
-        .withColumn("sets", F.count("*").over(same))
-        .where("low <> high")
-        .select("token", "h", "n", "sets")
-    )
-    everywhere = first.where("often").select(
-        "token", "h", "n", F.lit(1 << 62).cast("long").alias("sets")
+        .withColumn("rows", F.count("*").over(same))
+        .where("often or low <> high")
+        .select("token", "h", "n", sets.cast("long").alias("sets"))
     )
     own = Window.partitionBy("h")
     left_out = (F.col("sets") > COMMON) & (F.col("rank") <= F.floor(F.col("n") / EXTRA))
     rows = stored(
-        rare.unionByName(everywhere)
-        .distinct()
+        shared.distinct()
         .join(groups.select("h", "unit", "size", "g"), "h")
         .withColumn("rank", F.row_number().over(own.orderBy(F.desc("sets"), "token")))
         .withColumn("asks", ~left_out)
