@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricloom.llm.storage import new_folder, stored
@@ -36,6 +36,8 @@ SHARED_PAYLOAD_BYTES = 100
 RECORDS_PER_ARCHIVE = 20_000
 MOST_HEADER_BYTES = 1 << 20
 GZIP_LEVEL = 3
+ROWS_PER_BATCH = 256
+BYTES_AT_ONCE = 1 << 14
 WRITTEN_AT = "2024-01-01T00:00:00Z"
 
 
@@ -121,12 +123,17 @@ def write_archives(
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(batch.num_columns)), strict=True):
-                page_id, url, payload, digest, refers_to = (x.as_py() for x in row)
-                record = record_bytes(page_id, url, payload.encode(), digest, refers_to)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([member_bytes(record)[:-1]], pa.binary())], ["member"]
-                )
+            for at in range(0, batch.num_rows, ROWS_PER_BATCH):
+                rows = batch.slice(at, ROWS_PER_BATCH).to_pylist()
+                packed = [
+                    member_bytes(
+                        record_bytes(
+                            r["page_id"], r["url"], r["payload"].encode(), r["digest"], r["refers_to"]
+                        )
+                    )[:-1]
+                    for r in rows
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["member"])
 
     (
         revisits(pages, least_bytes)
@@ -178,32 +185,41 @@ def records_at(data: bytes, at: int) -> tuple[list[dict], int]:
     if not data.startswith(MEMBER, at):
         record, end = plain_record(data, at)
         return [record], end
-    unpacker = zlib.decompressobj(31)
+    # In steps: what follows a member is copied, so it must not be the whole rest.
+    unpacker, parts, fed = zlib.decompressobj(31), [], at
     try:
-        inner = unpacker.decompress(memoryview(data)[at:])
+        while not unpacker.eof and fed < len(data):
+            parts.append(unpacker.decompress(data[fed : fed + BYTES_AT_ONCE]))
+            fed = min(fed + BYTES_AT_ONCE, len(data))
     except zlib.error as bad:
         raise ValueError("gzip") from bad
     if not unpacker.eof:
         raise ValueError("gzip")
-    found, inside = [], 0
+    inner, found, inside = b"".join(parts), [], 0
     while inside < len(inner):
         record, inside = plain_record(inner, inside)
         found.append(record)
-    return found, len(data) - len(unpacker.unused_data)
+    return found, fed - len(unpacker.unused_data)
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
     """(start, end, record) for each good record, (start, end, reason) for each gap, in order."""
     at, gap, reason = 0, None, ""
+    # The next member and version line, looked for again only when passed.
+    member = version = -1
     while at < len(data):
         try:
             found, end = records_at(data, at)
         except ValueError as failed:
             if gap is None:
                 gap, reason = at, str(failed)
-            version = VERSION_LINE.search(data, at + 1)
-            places = (data.find(MEMBER, at + 1), version.start() if version else -1)
-            at = min((p for p in places if p >= 0), default=len(data))
+            if member <= at:
+                member = data.find(MEMBER, at + 1)
+                member = len(data) if member < 0 else member
+            if version <= at:
+                line = VERSION_LINE.search(data, at + 1)
+                version = line.start() if line else len(data)
+            at = min(member, version)
             continue
         if gap is not None:
             yield gap, at, reason
@@ -258,9 +274,6 @@ def _row(archive: str, start: int, end: int, found: dict | str, payloads: bool)
     }
 
 
-ROWS_PER_BATCH = 256
-
-
 def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """Records of all archives in folder, and a row with gap_reason for each quarantined gap.
 
