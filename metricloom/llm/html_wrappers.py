@@ -128,9 +128,11 @@ class Page:
 
     def _start(self, tag: str, rest: str) -> None:
         if tag in INLINE and tag != "br":
-            # An inline element matters only if it is never text.
-            if tag not in VOID and rest and not rest.endswith("/") and _attributes(rest)[1]:
-                path = self.open[-1][1]
+            # An inline element matters only if it is never text, or lies in the same.
+            if tag in VOID or rest.endswith("/"):
+                return
+            outer, path, never = self.open[-1]
+            if (never and outer == tag) or (rest and _attributes(rest)[1]):
                 self.open.append((tag, path, True))
             return
         if tag == "br":
@@ -142,6 +144,11 @@ class Page:
         if tag in VOID:
             return
         name, never = _attributes(rest)
+        if tag in ("html", "body"):
+            never = False
+        elif tag in MAIN_TAGS:
+            # "post comments-open" is an article, "comment-body" is not.
+            never = not NEVER_NAMES.isdisjoint(NAME.findall(name)[:1])
         step = tag + ("." + name if name else "")
         _, path, above = self.open[-1]
         if not above:
@@ -176,10 +183,6 @@ def shape(nodes: list) -> str:
     )
 
 
-def _leaves(nodes: list) -> int:
-    return sum(_leaves(n[1]) if n[0] in "?+" else 1 for n in nodes)
-
-
 def add_texts(into: list, other: list) -> None:
     """Adds the characters of a wrapper of the same shape."""
     for a, b in zip(into, other, strict=True):

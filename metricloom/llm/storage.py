@@ -17,9 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local")) or (
-        spark.sparkContext.master.startswith("local-cluster")
-    ):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="metricloom-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -51,6 +51,16 @@ def test_noise_around_and_inside_an_article(spark):
     assert {i: got[i]["text"] for i in got} == expected
 
 
+def test_names_of_articles_and_of_inline_elements(spark):
+    body = (
+        '<article class="post comments-open"><p>Kept <span class="ad">no <span>no</span> no</span>too</p>'
+        '<ol><li><article class="comment-body"><p>Reader</p></article></li></ol></article>'
+    )
+    page = f'<body class="home sidebar">{body}</body>'
+    got = hw.extract_text(pages(spark, [(1, "http://c.org/", page)])).first()
+    assert got["text"] == "Kept too"
+
+
 def test_without_semantic_tags_the_wrapper_finds_the_text(spark):
     draw, rows, expected = random.Random(2), [], {}
     for i in range(10):
