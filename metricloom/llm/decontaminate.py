@@ -4,13 +4,14 @@ A CGK walk reads a word sequence with a pointer that stays or moves on by a rand
 bit of the step and the word read; two sequences with few edits fall into step
 again, so edit distance becomes Hamming distance between the words read. Items and
 item-sized windows of the documents are walked with the same bits. A repetition
-samples a few steps; a window is a candidate for an item if all sampled words of a
-repetition agree. Candidates are verified exactly: the fewest word edits that turn
-the item into a piece of the document.
+samples a few steps; the windows of an item of which all sampled words of a
+repetition agree are verified first, the other items' windows after them. All are
+verified exactly: the fewest word edits that turn the item into a piece of the
+document. Nothing is lost by the sampling, whatever an item's length.
 
 An item of n words may have n * edits // 100 edits, k. Cut into k + 1 pieces, one of
 them is left whole. So only windows around a place where a piece starts as in the
-item are walked; no window with k edits or fewer is passed over by that.
+item are looked at; no window with k edits or fewer is passed over by that.
 """
 
 from __future__ import annotations
@@ -189,24 +190,40 @@ class Items:
     def leaks(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
         """item -> (edits, end): the fewest edits of each item found, and where.
 
-        An item of which a window agrees in all sampled words of a repetition is
-        looked for in the whole text, once.
+        Items of which a window agrees in all sampled words of a repetition are
+        verified, then those of which none does.
         """
         items, starts = self.windows(codes)
         left = np.arange(len(items))
         found: dict[int, tuple[int, int]] = {}
+
+        def verify(some: np.ndarray) -> None:
+            lows, highs = np.searchsorted(items, some), np.searchsorted(items, some, "right")
+            for t, low, high in zip(some.tolist(), lows, highs, strict=True):
+                edits, end = self._nearest(t, starts[low:high], codes)
+                if edits <= self.edits[t]:
+                    found[t] = edits, end
+
         for r in range(len(self.steps)):
             if not len(left):
                 break
             read = self._walk(r, codes, starts[left], self.steps[r, items[left]])
             agreed = np.unique(items[left[(read == self.read[r, items[left]]).all(axis=1)]])
-            for t in agreed.tolist():
-                edits, end = fewest_edits(self.items[t], codes)
-                if edits <= self.edits[t]:
-                    found[t] = edits, end
+            verify(agreed)
             left = left[~np.isin(items[left], agreed)]
+        verify(np.unique(items[left]))
         return found
 
+    def _nearest(self, item: int, starts: np.ndarray, codes: np.ndarray) -> tuple[int, int]:
+        """(edits, end) of the item in its windows; those that touch are read as one piece."""
+        n = len(self.items[item])
+        best, end = n + 1, 0
+        for part in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
+            edits, at = fewest_edits(self.items[item], codes[part[0] : part[-1] + n])
+            if edits < best:
+                best, end = edits, int(part[0]) + at
+        return best, end
+
     def leaks_in(self, texts: list[str | None]) -> Iterator[tuple[int, dict[int, tuple[int, int]]]]:
         """(place in texts, leaks) for each text with a leak."""
         known = self.vocabulary.get

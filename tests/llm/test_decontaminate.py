@@ -133,3 +133,19 @@ def test_fewest_edits():
         edits, end = dc.fewest_edits(item, np.array(text, np.int64))
         assert edits == fewest_by_hand(item, text)
         assert 0 <= end <= len(text)
+
+
+def test_all_passages_with_the_most_edits_are_found():
+    draw = random.Random(8)
+    for n in (60, 63, 100, 150, 250):
+        items = dc.Items([(i, " ".join(f"i{i}w{j}" for j in range(n))) for i in range(3)])
+        for kinds in (("cut",), ("cut", "swap", "add")):
+            for t in [0, 1, 2] * 4:
+                w = [[x] for x in items.items[t]]
+                for at in draw.sample(range(n), n * 20 // 100):
+                    kind = draw.choice(kinds)
+                    w[at] = {"cut": [], "swap": [0], "add": [*w[at], 0]}[kind]
+                w = [x for xs in w for x in xs]
+                codes = np.array([0] * draw.randint(0, 90) + w + [0] * draw.randint(0, 400) + w[:40], np.int64)
+                found = items.leaks(codes)
+                assert found == {t: dc.fewest_edits(items.items[t], codes)}, (n, kinds)
