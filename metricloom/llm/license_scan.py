@@ -1,10 +1,11 @@
 """Licences in texts by a positional index of rare words.
 
 The index maps each licence word to its places in the templates. A document's
-licence words are ranked by how few documents of the corpus have them; the places
-of its rarest ones vote for a template at a relative position. Where enough votes
+licence words are ranked by how few documents of the corpus have them; each
+template's rarest ones vote for it at a relative position. Where enough votes
 fall together, the words there are compared with the template, and the template's
-mandatory phrases must stand in full.
+mandatory phrases must stand in full. A template that is not found in full is voted
+on by its next words, until all of them have voted.
 """
 
 from __future__ import annotations
@@ -113,6 +114,7 @@ COMMON = frozenset(
 )
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
+# Words of a template that vote at a time, the rarest first.
 RAREST_WORDS = 8
 # Votes of one template this many places apart count together: a word more or less.
 SLACK = 3
@@ -178,32 +180,64 @@ def matches(words: list[str], index: Index, idf: dict[str, float]) -> dict[str,
             at_word[w].append(i)
     if not at_word:
         return {}
-    rarest = sorted(at_word, key=lambda w: (-idf.get(w, math.inf), w))[:RAREST_WORDS]
-    votes: dict[tuple[int, int], set[str]] = defaultdict(set)
-    for w in rarest:
-        for i in at_word[w]:
-            for template, at in index.places[w]:
-                votes[template, (i - at) // SLACK].add(w)
+    # Each template's words in the text, the rarest first.
+    voters: dict[int, list[tuple[str, list[int]]]] = defaultdict(list)
+    for w in sorted(at_word, key=lambda w: (-idf.get(w, math.inf), w)):
+        of_word: dict[int, list[int]] = defaultdict(list)
+        for template, at in index.places[w]:
+            of_word[template].append(at)
+        for template, ats in of_word.items():
+            voters[template].append((w, ats))
     found: dict[str, float] = {}
-    tried = set()
-    for (template, cell), of in votes.items():
-        label, expected, phrases = index.templates[template]
-        together = of | votes.get((template, cell + 1), set())
-        if len(together) < min(2, index.most_votes[template]):
+    for template, ranked in voters.items():
+        label = index.templates[template][0]
+        # Fewer words than this cannot give the votes; a label found in full is settled.
+        if len(ranked) < min(2, index.most_votes[template]) or found.get(label) == 1:
             continue
-        start = max(0, (cell - 1) * SLACK)
-        end = min(len(words), (cell + 2) * SLACK + len(expected) + SLACK)
-        if (template, start, end) in tried:
-            continue
-        tried.add((template, start, end))
-        if not all(places_of(p, words, start, end) for p in phrases):
-            continue
-        score = _common_words(expected, words[start:end]) / len(expected)
+        score = _best_score(words, index, template, ranked, at_word)
         if score >= LEAST_SCORE:
             found[label] = max(score, found.get(label, 0.0))
     return found
 
 
+def _best_score(
+    words: list[str],
+    index: Index,
+    template: int,
+    ranked: list[tuple[str, list[int]]],
+    at_word: dict[str, list[int]],
+) -> float:
+    """The best score of a template, by rounds of votes of its words in the text."""
+    _, expected, phrases = index.templates[template]
+    # A text that lacks a mandatory phrase need not be voted on.
+    if not all(places_of(p, words) for p in phrases):
+        return 0.0
+    least = min(2, index.most_votes[template])
+    votes: dict[int, set[str]] = defaultdict(set)
+    best, tried = 0.0, set()
+    for first in range(0, len(ranked), RAREST_WORDS):
+        touched = set()
+        for w, ats in ranked[first : first + RAREST_WORDS]:
+            for i in at_word[w]:
+                for at in ats:
+                    votes[(i - at) // SLACK].add(w)
+                    touched.add((i - at) // SLACK)
+        for cell in sorted(touched | {c - 1 for c in touched if c - 1 in votes}):
+            if len(votes[cell] | votes.get(cell + 1, set())) < least:
+                continue
+            start = max(0, (cell - 1) * SLACK)
+            end = min(len(words), (cell + 2) * SLACK + len(expected) + SLACK)
+            if (start, end) in tried:
+                continue
+            tried.add((start, end))
+            if not all(places_of(p, words, start, end) for p in phrases):
+                continue
+            best = max(best, _common_words(expected, words[start:end]) / len(expected))
+            if best == 1:
+                return best
+    return best
+
+
 def document_frequencies(docs: DataFrame, index: Index) -> dict[str, float]:
     """Inverse document frequency of each licence word, over all documents.
 

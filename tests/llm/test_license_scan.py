@@ -80,3 +80,21 @@ def test_frequencies_cover_all_documents(spark):
     texts = ["license"] * 7 + ["mit"] + ["nothing"] * 4
     idf = ls.document_frequencies(documents(spark, texts).repartition(3), ls.Index())
     assert idf["mit"] > idf["license"]
+
+
+def test_licences_among_commoner_and_rarer_words(spark):
+    wording = {label: words for label, words, _ in reversed(ls.TEMPLATES)}
+    ordinary = " and then ".join(sorted(ls.Index().places))
+    filler = " of the old house by the river" * 200 + " "
+    three = ["gpl-3", "bsd", "all-rights-reserved"]
+    long = filler.join(["", *(wording[x] for x in three), ordinary])
+    # The rarest words of a template are elsewhere; what is left of it stands in full.
+    mit = wording["mit"] = ls.TEMPLATES[0][1]
+    rare = ["obtaining", "associated", "documentation", "deal", "merge", "publish", "sublicense", "sell"]
+    less = " ".join(w for w in mit.split() if w not in rare) + filler + " and ".join(rare)
+    texts = [long, less, f"{wording['gpl-3']} all rights reserved"]
+    texts += ["All rights reserved. Redistribution of this source code is not permitted", wording["bsd"]] * 30
+    got = by(ls.scan_licenses(documents(spark, texts)), "doc_id")
+    assert set(three) <= set(got[0]["labels"].split(","))
+    assert got[1]["labels"] == "mit" and 0.8 <= got[1]["score"] < 1
+    assert got[2]["labels"] == "all-rights-reserved,gpl-3" and got[2]["score"] == 1
