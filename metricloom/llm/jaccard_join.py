@@ -25,6 +25,7 @@ formed as rows, and of a component's links a spanning forest is enough.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -129,8 +130,16 @@ def set_id(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).view(np.int64))
 
 
+def left_unseen(n: int, percent: int = PERCENT) -> int:
+    """Tokens of a set that are not looked at; never fewer for a larger set.
+
+    At most ceil(percent * n / 100) - 1 - n // EXTRA, which does fall here and there.
+    """
+    return max(0, -(-(percent * EXTRA - 100) * n // (100 * EXTRA)) - 1)
+
+
 def looked_at(n: int, percent: int = PERCENT) -> int:
-    return n - -(-percent * n // 100) + 1 + n // EXTRA
+    return n - left_unseen(n, percent)
 
 
 def links(a: int, b: int, both: int, percent: int = PERCENT) -> bool:
@@ -468,10 +477,30 @@ def _groups(
 
 
 def _needed(n, m, percent: int):
-    """Looked-at tokens that linked sets of n and m share at least."""
-    larger = F.greatest(n, m)
+    """Looked-at tokens that linked sets of n and m share at least.
+
+    Of the two sets' last looked-at tokens one comes first in the order; all that they
+    share, but for tokens that its set leaves unseen, is looked at in both.
+    """
     both = F.ceil(percent * (n + m) / F.lit(100 + percent))
-    return both - F.ceil(percent * larger / F.lit(100)) + 1 + F.floor(larger / EXTRA)
+    unseen = F.ceil((percent * EXTRA - 100) * F.greatest(n, m) / F.lit(100 * EXTRA)) - 1
+    return both - F.greatest(F.lit(0), unseen)
+
+
+def _needed_in_range(n, least, most, percent: int):
+    """The fewest that a set of n needs for any size from least to most.
+
+    Up to n, what is needed never falls with the size. From there on it goes down by
+    ``slope`` a size (or up, if negative), give or take two for rounding.
+    """
+    slope = percent / 100 - 1 / EXTRA - percent / (100 + percent)
+    steps = math.ceil(2 / abs(slope)) + 1 if slope else 0
+    low = F.least(F.greatest(least, n), most)
+    near = [F.greatest(most - j, low) if slope > 0 else F.least(low + j, most) for j in range(steps)]
+    # Where the slope is small, many sizes would have to be tried.
+    if not 0 < steps <= 20:
+        return F.lit(1)
+    return F.least(_needed(n, least, percent), *[_needed(n, m, percent) for m in near])
 
 
 def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -514,7 +543,7 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     )
     near_in_size = (100 * F.col("most") >= percent * n) & (100 * n >= percent * F.col("least"))
     joined_already = (F.col("low") == F.col("g")) & (F.col("high") == F.col("g"))
-    # The bound is least for a member as small or as large as may link.
+    # Sizes of members that may link.
     least = F.greatest(F.col("least"), F.ceil(percent * n / F.lit(100)))
     most = F.least(F.col("most"), F.floor(100 * n / F.lit(percent)))
     return (
@@ -526,8 +555,7 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
             F.count("*").alias("common"), F.min("least").alias("least"), F.max("most").alias("most")
         )
         .where(
-            F.col("common") + F.col("spared")
-            >= F.least(_needed(n, least, percent), _needed(n, most, percent))
+            F.col("common") + F.col("spared") >= _needed_in_range(n, least, most, percent)
         )
         .select("h", "other")
     )

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import SAMPLE, documents, lower, words
 from metricloom.llm import jaccard_join as jj
@@ -194,3 +195,50 @@ def test_block_overlaps():
     for s in sets:
         expected = [i for i, x in enumerate(sets) if jj.links(len(x), len(s), len(np.intersect1d(x, s)))]
         assert block.linked(s, 75).tolist() == expected
+
+
+def linked_sizes(most):
+    """(n, m, tokens both have): the fewest shared by sets of n <= m that link."""
+    for n in range(1, most):
+        for m in range(n, most):
+            both = -(-75 * (n + m) // 175)
+            if both <= n:
+                yield n, m, both
+
+
+def test_no_link_is_ruled_out_when_own_tokens_come_first(spark):
+    rows, groups = [], []
+    pairs = list(linked_sizes(90))
+    for i, (n, m, both) in enumerate(pairs):
+        for h, size in ((2 * i, n), (2 * i + 1, m)):
+            own = [(i << 20) + (h % 2 << 10) + j for j in range(size - both)]
+            shared = [(i << 20) + (1 << 15) + j for j in range(both)]
+            rows += [(t, h, size, False) for t in (own + shared)[: jj.looked_at(size)]]
+            groups.append((h, h, 1, h))
+    first = spark.createDataFrame(rows, "token long, h long, n long, often boolean")
+    units = spark.createDataFrame(groups, "h long, unit long, size long, g long")
+    asked = {(r["h"], r["other"]) for r in jj._askers(first, units, 75).collect()}
+    assert [p for i, p in enumerate(pairs) if (2 * i, 2 * i + 1) not in asked] == []
+
+
+def test_shared_looked_at_tokens_of_all_sizes():
+    for n, m, both in linked_sizes(500):
+        a, b = jj.looked_at(n), jj.looked_at(m)
+        in_both = min(max(0, a - (n - both)), max(0, b - (m - both)), both)
+        assert in_both >= 1 + m // jj.EXTRA and jj.left_unseen(n) <= jj.left_unseen(m)
+
+
+def test_bound_is_the_least_of_all_sizes(spark):
+    pairs = defaultdict(list)
+    for n, m, _ in linked_sizes(130):
+        pairs[n].append(m)
+        pairs[m].append(n)
+    draw, rows = random.Random(2), []
+    for n, sizes in pairs.items():
+        for _ in range(6):
+            low, high = sorted(draw.choices(sizes, k=2))
+            needed = min(-(-75 * (n + m) // 175) - jj.left_unseen(max(n, m)) for m in range(low, high + 1))
+            rows.append((n, low, high, needed))
+    table = spark.createDataFrame(rows, "n long, low long, high long, needed long")
+    bound = jj._needed_in_range(F.col("n"), F.col("low"), F.col("high"), 75)
+    assert table.where(bound != F.col("needed")).collect() == []
