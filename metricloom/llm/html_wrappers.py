@@ -53,6 +53,12 @@ NEVER_NAMES = frozenset(
     " share sharing social related recommended newsletter subscribe popup modal widget widgets"
     " pagination pager login signup search".split()
 )
+# Words that say nothing beside one of these: "site-footer" is a footer, "has-sidebar" is not a sidebar.
+PLAIN_NAMES = frozenset(
+    "site page main global top bottom left right center primary secondary upper lower box block"
+    " bar container wrapper wrap inner outer area section zone list item items entry post article"
+    " link links button buttons icon icons form slot unit thread title text toggle panel".split()
+)
 NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split()
 )
@@ -74,29 +80,48 @@ LONGEST_GROUP = 24
 SHAPES_PER_TASK = 5000
 
 
-def _attributes(rest: str) -> tuple[str, bool]:
-    """The class to know the element by, and whether its names say it is no article text."""
-    name, never = "", False
+# Why an element is never text: its names, which may be wrong, or what it is.
+BY_NAME, BY_KIND = 1, 2
+
+
+def _never_name(name: str) -> bool:
+    """Whether a whole name, not just a word in it, says that it is no article text."""
+    found = NAME.findall(name)
+    return not NEVER_NAMES.isdisjoint(found) and all(
+        w in NEVER_NAMES or w in PLAIN_NAMES or w.isdigit() for w in found
+    )
+
+
+def _attributes(rest: str) -> tuple[str, int]:
+    """The class to know the element by, and why it is no article text: 0, BY_NAME or BY_KIND."""
+    name, never = "", 0
     for kind, *values in NAMED.findall(rest):
         value = "".join(values).lower()
         if kind.lower() == "role":
-            never |= value.strip() in NEVER_ROLES
+            never = max(never, BY_KIND * (value.strip() in NEVER_ROLES))
             continue
-        never |= not NEVER_NAMES.isdisjoint(NAME.findall(value))
+        never = max(never, BY_NAME * any(map(_never_name, value.split())))
         if kind.lower() == "class" and value.split() and not re.search("[0-9]", value):
             name = value.split()[0]
     return name, never
 
 
 class Page:
-    """The blocks of a page as (path, text), and its token stream."""
+    """The blocks of a page as (path, text), and its token stream.
+
+    An article or main is text whatever the names of the elements around it, unless
+    these lie in an article or main themselves. Without ``names``, no block element's
+    names count.
+    """
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, names: bool = True) -> None:
+        self.names, self.named = names, False
         self.blocks: list[tuple[str, str]] = []
         self.stream: list[str] = []
         self.slots: list[int] = []
-        # Open elements: tag, path, whether it is or lies in something never text.
-        self.open: list[tuple[str, str, bool]] = [("", "", False)]
+        # Open elements: tag, path, why it or what it lies in is never text, and whether
+        # the stream has it.
+        self.open: list[tuple[str, str, int, bool]] = [("", "", 0, False)]
         self.pieces: list[str] = []
         for token in TOKEN.finditer(source):
             if token["text"] is not None:
@@ -122,8 +147,8 @@ class Page:
                 self.slots.append(len(text))
 
     def _pop(self) -> None:
-        tag, path, never = self.open.pop()
-        if tag not in INLINE and not self.open[-1][2]:
+        _, path, _, shown = self.open.pop()
+        if shown:
             self.stream.append("/" + path.rpartition("/")[2])
 
     def _start(self, tag: str, rest: str) -> None:
@@ -131,9 +156,9 @@ class Page:
             # An inline element matters only if it is never text, or lies in the same.
             if tag in VOID or rest.endswith("/"):
                 return
-            outer, path, never = self.open[-1]
+            outer, path, never, _ = self.open[-1]
             if (never and outer == tag) or (rest and _attributes(rest)[1]):
-                self.open.append((tag, path, True))
+                self.open.append((tag, path, BY_KIND, False))
             return
         if tag == "br":
             self.pieces.append(" ")
@@ -145,15 +170,24 @@ class Page:
             return
         name, never = _attributes(rest)
         if tag in ("html", "body"):
-            never = False
+            never = 0
         elif tag in MAIN_TAGS:
             # "post comments-open" is an article, "comment-body" is not.
-            never = not NEVER_NAMES.isdisjoint(NAME.findall(name)[:1])
+            never = BY_NAME * (not NEVER_NAMES.isdisjoint(NAME.findall(name)[:1]))
+        if never == BY_NAME:
+            self.named = True
+            never *= self.names
+        if tag in NEVER_TEXT:
+            never = BY_KIND
         step = tag + ("." + name if name else "")
-        _, path, above = self.open[-1]
-        if not above:
-            self.stream.append(step)
-        self.open.append((tag, f"{path}/{step}", above or never or tag in NEVER_TEXT))
+        _, path, above, _ = self.open[-1]
+        if above == BY_NAME and tag in MAIN_TAGS and not never:
+            above = BY_NAME * any(t in MAIN_TAGS and not why for t, _, why, _ in self.open)
+        if above:
+            self.open.append((tag, path, max(above, never), False))
+            return
+        self.stream.append(step)
+        self.open.append((tag, f"{path}/{step}", never, True))
 
     def _imply(self, tag: str) -> None:
         """Ends an open paragraph, or the open item that this one follows."""
@@ -168,7 +202,7 @@ class Page:
                 self._pop()
             return
         self._block()
-        if any(tag == t for t, _, _ in self.open):
+        if any(tag == t for t, *_ in self.open):
             while self.open[-1][0] != tag:
                 self._pop()
             self._pop()
@@ -300,6 +334,12 @@ def _both(a: list, b: list) -> list:
     return ["?", inner_a] if "?" in (a[0], b[0]) else inner_a[0]
 
 
+def page_of(source: str | None) -> Page:
+    """The page; if names leave nothing of it, the page read without them."""
+    page = Page(source or "")
+    return Page(source or "", names=False) if page.named and not page.blocks else page
+
+
 def stream_wrapper(page: Page) -> list:
     slots = iter(page.slots)
     return repeated([["#", next(slots)] if t == "#" else ["t", t] for t in page.stream])
@@ -339,6 +379,7 @@ def slots_of(nodes: list, path: list[str] | None = None) -> list[tuple[str, int]
 def main_path(wrapper: list) -> str:
     """Path of the element that holds the article: article or main, else the one with most text.
 
+    A main is preferred to an article that holds less than half of its text.
     An element has the text of its own slots and of its children's; on the way
     down, a child that holds most of what its parent does is the better choice.
     """
@@ -348,10 +389,16 @@ def main_path(wrapper: list) -> str:
         for n in range(1, len(steps) + 1):
             at = "/" + "/".join(steps[:n])
             held[at] = held.get(at, 0) + characters
-    for tag in MAIN_TAGS:
-        named = [p for p in held if re.split(r"[./]", p.rpartition("/")[2])[0] == tag]
-        if named:
-            return max(named, key=lambda p: (held[p], -len(p)))
+    article, main = (
+        max(
+            (p for p in held if re.split(r"[./]", p.rpartition("/")[2])[0] == tag),
+            key=lambda p: (held[p], -len(p)),
+            default="",
+        )
+        for tag in MAIN_TAGS
+    )
+    if article or main:
+        return article if 2 * held.get(article, 0) >= held.get(main, 0) else main
     best = ""
     while True:
         inner = [p for p in held if p.rpartition("/")[0] == best]
@@ -364,7 +411,7 @@ def main_path(wrapper: list) -> str:
 
 def main_text(source: str | None, main: str | None) -> str:
     """The text blocks in the wrapper's main element, else those in the page's own."""
-    page = Page(source or "")
+    page = page_of(source)
     inside = [t for p, t in page.blocks if main is not None and (p + "/").startswith(main + "/")]
     if not inside and page.blocks:
         own = main_path(stream_wrapper(page))
@@ -388,7 +435,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
         for batch in batches:
             for host, source in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                wrapper = stream_wrapper(Page(source or ""))
+                wrapper = stream_wrapper(page_of(source))
                 at = (host, shape(wrapper))
                 if at in kinds:
                     add_texts(kinds[at], wrapper)

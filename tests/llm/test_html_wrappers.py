@@ -108,3 +108,23 @@ def test_order_of_pages_does_not_change_the_main_element():
         random.Random(3).shuffle(streams)
         again = [nodes(f"nav # /nav article h1 # /h1 {'p # /p ' * n}/article") for n in (2, 1, 4, 3)]
         assert hw.main_path(hw.folded(again)) == "/article"
+
+
+def test_names_of_containers_do_not_drop_the_article(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    outer = [
+        '<div class="content has-sidebar">{}</div>', '<div id="content" class="site-content no-sidebar">{}</div>',
+        '<div class="post with-comments">{}</div>', '<section class="search-engines">{}</section>',
+        '<div class="widget"><div class="x">{}</div></div>',
+    ]
+    side = '<div class="site-footer"><p>Foot</p></div><div id="sidebar-left"><p>Side</p></div><p class="ad-slot">Buy</p>'
+    rows, expected = [], {}
+    for i, around in enumerate(outer):
+        for j, inner in enumerate((f"<p>{text}</p>", f"<article><p>{text}</p></article>")):
+            rows.append((10 * i + j, f"http://h{i}{j}.org/", f"<body>{around.format(inner)}{side}</body>"))
+            expected[10 * i + j] = text
+    teaser = '<div class="related"><article><p>Other</p></article></div>'
+    rows.append((100, "http://k.org/", f'<body><article class="post"><p>{text}</p>{teaser}</article></body>'))
+    rows.append((101, "http://l.org/", f"<body><main><p>{text}</p></main><article><p>Short</p></article></body>"))
+    got = by(hw.extract_text(pages(spark, rows)), "page_id")
+    assert {i: got[i]["text"] for i in got} == expected | {100: text, 101: text}
