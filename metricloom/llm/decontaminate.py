@@ -28,11 +28,18 @@ from pyspark.sql import DataFrame
 from metricloom.llm.storage import stored
 
 WORD = re.compile(r"\w+")
+# Scripts without spaces, of which each character is a word: Thai, Lao, Burmese, Khmer,
+# Japanese and Chinese.
+SPACELESS = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+WORD_OR_SIGN = re.compile(rf"(?=\w)[{SPACELESS}]|[^\W{SPACELESS}]+")
 EDIT_PERCENT = 20
 # Words of a piece that are looked up, at most.
 RUN = 4
-# Shorter items are ordinary phrases: no evidence of a leak, and not searched.
-LEAST_WORDS = 6
+# Items of fewer than five words have no edits allowed: they are found as they are.
+LEAST_WORDS = 1
 REPETITIONS = 24
 SAMPLED = 3
 STEPS_PER_WORD = 1.5
@@ -43,7 +50,8 @@ FACTOR = 0x2545F4914F6CDD1D
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    return (WORD if text.isascii() else WORD_OR_SIGN).findall(text)
 
 
 def fewest_edits(item: list[int], piece: np.ndarray) -> tuple[int, int]:
@@ -274,9 +282,9 @@ def find_leaks(
 ) -> DataFrame:
     """A row per row of docs and item found in it: the columns of LEAK_COLUMNS.
 
-    Words are runs of letters, digits and _, in lower case. Null or empty texts
-    have no leaks and null items are not searched, nor those of fewer than
-    LEAST_WORDS words. Null ids and repeated rows are searched like any other; of
+    Words are runs of letters, digits and _, in lower case, and single characters
+    of scripts without spaces. Null or empty texts have no leaks and null items are
+    not searched, nor those without a word. Null ids and repeated rows are searched like any other; of
     several places the one with fewest edits, then the first, is given.
     """
     texts = docs.select("doc_id", "text")

@@ -149,3 +149,15 @@ def test_all_passages_with_the_most_edits_are_found():
                 codes = np.array([0] * draw.randint(0, 90) + w + [0] * draw.randint(0, 400) + w[:40], np.int64)
                 found = items.leaks(codes)
                 assert found == {t: dc.fewest_edits(items.items[t], codes)}, (n, kinds)
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "今天天气很好我们一起去公园散步然后回家吃饭"
+    items = [(1, "four words are enough"), (2, "five words with one edit"), (3, "yes"), (4, chinese), (5, "...")]
+    texts = [
+        "so four words, are enough here", "four words were enough", "x five words without one edit x", "five words out one",
+        "oh YES", "yesterday", "前" + chinese[:5] + "不" + chinese[6:] + "后", chinese[:9], "",
+    ]
+    found = got(dc.find_leaks(documents(spark, texts), items_table(spark, items)))
+    assert found == {(0, 1): 0, (2, 2): 1, (4, 3): 0, (6, 4): 1}
+    assert dc.words_of("Tea 茶, caféสวน") == ["tea", "茶", "café", "ส", "ว", "น"]
