@@ -21,11 +21,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep, as they are."""
-    docs = docs.select(*COLUMNS)
-    rejected = line_frequency.judge(docs).where("not kept").select("key").distinct()
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text", "source"))
-    return keyed.join(stored(rejected, "rejected"), "key", "left_anti").drop("key")
+    """Documents that the rules keep, without the lines that many of their host's have."""
+    docs = line_frequency.without_boilerplate(docs.select(*COLUMNS))
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

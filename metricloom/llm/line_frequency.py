@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricloom.llm.columns import SPACE, let, lower_ascii, total, words_of
+from metricloom.llm.storage import stored
 
 # Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -159,20 +160,10 @@ def boilerplate(
     )
 
 
-def judge(
-    docs: DataFrame,
-    line_documents: int = LINE_DOCUMENTS,
-    line_percent: float = LINE_PERCENT,
-    depleted_percent: float = DEPLETED_PERCENT,
+def _judged(
+    docs: DataFrame, line_documents: int, line_percent: float, depleted_percent: float
 ) -> DataFrame:
-    """Per row: doc_id, the base counts, base_failed, kept, n_boilerplate_words and key.
-
-    key is a hash of id, text and source, for joining back to docs.
-
-    `source` is the host; a null source is the host without a name. A null or
-    empty text has no words and fails the base rules. Null ids and repeated rows
-    stay rows of their own; other columns are left out.
-    """
+    """The columns of judge, and cut: the places of the boilerplate lines, null without any."""
     docs = docs.select("doc_id", "text", "source")
     removed = (
         spoken_lines(docs)
@@ -185,6 +176,7 @@ def judge(
             "host",
             "copy",
             total(F.transform("lines", lambda x: x["words"].cast("long"))).alias("gone"),
+            F.transform("lines", lambda x: x["at"]).alias("cut"),
         )
     )
     rows = base_counts(docs).select(
@@ -217,4 +209,52 @@ def judge(
         (~F.col("base_failed") & (100 * gone <= depleted_percent * F.col("n_words"))).alias("kept"),
         gone.alias("n_boilerplate_words"),
         "key",
+        "cut",
+    )
+
+
+def judge(
+    docs: DataFrame,
+    line_documents: int = LINE_DOCUMENTS,
+    line_percent: float = LINE_PERCENT,
+    depleted_percent: float = DEPLETED_PERCENT,
+) -> DataFrame:
+    """Per row: doc_id, the base counts, base_failed, kept, n_boilerplate_words and key.
+
+    key is a hash of id, text and source, for joining back to docs.
+
+    `source` is the host; a null source is the host without a name. A null or
+    empty text has no words and fails the base rules. Null ids and repeated rows
+    stay rows of their own; other columns are left out.
+    """
+    return _judged(docs, line_documents, line_percent, depleted_percent).drop("cut")
+
+
+def without_boilerplate(
+    docs: DataFrame,
+    line_documents: int = LINE_DOCUMENTS,
+    line_percent: float = LINE_PERCENT,
+    depleted_percent: float = DEPLETED_PERCENT,
+) -> DataFrame:
+    """The rows of docs that judge keeps, their texts without the boilerplate lines.
+
+    Only marks of rows that change or go are joined back; other columns stay as they are.
+    """
+    marks = (
+        _judged(docs, line_documents, line_percent, depleted_percent)
+        .where("not kept or cut is not null")
+        .select(F.col("key").alias("_key"), F.col("kept").alias("_kept"), F.col("cut").alias("_cut"))
+        .dropDuplicates(["_key"])
+    )
+    left = F.filter(
+        F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
+        lambda x: ~F.array_contains("_cut", x["i"]),
+    )
+    text = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
+    return (
+        docs.withColumn("_key", F.xxhash64("doc_id", "text", "source"))
+        .join(stored(marks, "marks"), "_key", "left")
+        .where(F.coalesce("_kept", F.lit(True)))
+        .withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(text))
+        .select(*docs.columns)
     )

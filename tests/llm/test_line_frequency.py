@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 from helpers import SAMPLE, SPACES, by, dicts, documents, lower, words
 from metricloom.llm import line_frequency
 from metricloom.llm.storage import read
@@ -110,3 +111,28 @@ def test_empty_table_and_extra_columns(spark):
     docs = documents(spark, ["a " * 30]).selectExpr("*", "1 as words", "'x' as key", "2 as copy")
     assert line_frequency.judge(docs).count() == 1
     assert line_frequency.judge(docs.limit(0)).collect() == []
+
+
+def test_lines_above_the_limits_are_taken_out(spark):
+    draw = random.Random(4)
+
+    def line():
+        return " ".join("".join(draw.choices("abcdefgh", k=5)) for _ in range(25))
+
+    menu = "Home News\tContact"
+    rows = [(i, f"{menu}\n{line()}\n\n {menu.upper()} \n{line()}\n", "h1") for i in range(20)]
+    rows += [(30, f"{menu}\n{line()}", "h2"), (31, line(), "h1"), (32, None, "h1"), (33, menu, "h1")]
+    rows += [rows[0], (None, rows[1][1], "h1")]
+    docs = documents(spark, [r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows])
+    got = line_frequency.without_boilerplate(docs)
+    assert got.columns == docs.columns
+    expected = [
+        (i, "\n".join(x for x in text.split("\n") if h != "h1" or normal(x) != normal(menu)))
+        for i, text, h in rows
+        if i not in (32, 33)
+    ]
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(expected, key=str)
+    # The pipeline's first stage hands on the same texts.
+    staged = corpus_pipeline.quality_rules(spark, docs, SAMPLE).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in staged), key=str) == sorted(expected, key=str)
+    assert all(r["n_chars"] == len(r["text"]) for r in staged)
