@@ -154,10 +154,39 @@ OP10 = """
            if(first_id < page_id, first_id, null) as refers_to
     from full_pages p left join firsts f on f.payload = p.payload"""
 
+TERMS = """
+regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')
+"""
+OP13 = f"""
+with terms as (select doc_id, unnest({TERMS}) as term from documents),
+tfs as (select doc_id, term, count(*) as tf from terms group by all),
+sizes as (select doc_id, cast(sum(tf) as bigint) as n from tfs group by doc_id),
+totals as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from sizes),
+weights as (
+    select term, cast(floor(1000 * ln((2.0::double * any_value(n_docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+    from tfs cross join totals group by term),
+lengths as (
+    select doc_id, 100 - 90 + ((90 * n * n_docs) // n_terms) as m from sizes cross join totals),
+asked as (select distinct item_id, unnest({TERMS}) as term from benchmark),
+scores as (
+    select item_id, doc_id,
+           cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+    from asked join tfs using (term) join weights using (term) join lengths using (doc_id)
+    group by all),
+ranked as (
+    select item_id, doc_id, score,
+           cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank
+    from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
 ORACLE = {
     "op2_quality_rules": OP2,
     "op4_line_dedup": OP4,
     "op5_jaccard_join": OP5,
     "op9_url_filter": OP9,
     "op10_warc_round_trip": OP10,
+    "op13_lexical_search": OP13,
 }

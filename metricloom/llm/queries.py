@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from metricloom.llm import (
+    bpe,
     decontaminate,
     html_wrappers,
     jaccard_join,
+    lexical_search,
     license_scan,
     line_frequency,
     line_runs,
     mixing,
     secret_scan,
+    token_alignment,
     url_rules,
     warc,
 )
@@ -81,3 +85,21 @@ def op9_url_filter(spark, folder):
 @query
 def op10_warc_round_trip(spark, folder):
     return warc.round_trip(read(spark, folder, "pages"))
+
+
+@query
+def op11_bpe_round_trip(spark, folder):
+    own = bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.report(read(spark, folder, "documents"), own)
+
+
+@query
+def op12_token_alignment(spark, folder):
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.report(read(spark, folder, "documents"), token_alignment.pair(*paths))
+
+
+@query
+def op13_lexical_search(spark, folder):
+    documents, benchmark = (read(spark, folder, t) for t in ("documents", "benchmark"))
+    return lexical_search.search(documents, benchmark)

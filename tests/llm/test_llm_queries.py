@@ -19,7 +19,7 @@ def con():
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.REGISTRY)
     assert set(queries.REGISTRY) | {"pipeline"} <= set(driver.queries())
 
