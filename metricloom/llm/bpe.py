@@ -34,7 +34,7 @@ BYTE_LEVEL_PATTERN = (
 
 # Words kept with their tokens per task, and the longest that is kept.
 KNOWN_WORDS, KNOWN_LENGTH = 200_000, 64
-KNOWN_PAIRS = 1_000_000
+KNOWN_PAIRS = 500_000
 NEVER = 1 << 60
 
 
@@ -107,7 +107,7 @@ class Vocabulary:
             self.merges[pair] = rank
             if self.rank.setdefault(whole, rank) == rank:
                 self.parts[whole] = pair
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, int] = {}
         texts = {
             id_: symbols(name)
             for name, id_ in vocab.items()
@@ -122,16 +122,21 @@ class Vocabulary:
         self.by_symbols = {text: id_ for id_, text in texts.items()}
         if any(chr(b) not in self.by_symbols for b in range(512 if self.suffix else 256)):
             raise ValueError("the vocabulary lacks a byte")
-        self.length = {id_: len(text) for id_, text in texts.items()}
-        self.shorter: dict[int, int] = {}
+        # Per id: symbols, and the longest token that is a proper prefix (-1: none).
+        self.size = max(vocab.values()) + 1
+        self.length, self.shorter = [0] * self.size, [-1] * self.size
+        self.base: dict[str, int] = {}
+        self.automaton = ahocorasick.Automaton()
         for text, id_ in self.by_symbols.items():
+            self.length[id_] = len(text)
             for end in range(len(text) - 1, 0, -1):
                 if (prefix := self.by_symbols.get(text[:end])) is not None:
                     self.shorter[id_] = prefix
                     break
-        self.automaton = ahocorasick.Automaton()
-        for text, id_ in self.by_symbols.items():
-            self.automaton.add_word(text, (len(text) - 1, id_))
+            if len(text) == 1:
+                self.base[text] = id_
+            else:
+                self.automaton.add_word(text, id_)
         self.automaton.make_automaton()
 
     def _read_names(self, vocab: dict[str, int]) -> None:
@@ -177,50 +182,58 @@ class Vocabulary:
             else:
                 return True
 
-    def compatible(self, pair: tuple[int, int]) -> bool:
-        """_compatible, entered in the table of pairs as they turn up."""
-        if len(self.pairs) >= KNOWN_PAIRS:
-            self.pairs.clear()
-        fits = self.pairs[pair] = self._compatible(*pair)
-        return fits
+    def fitting(self, left: int, token: int) -> int:
+        """The longest of token and its prefixes that is compatible with left; -1: none.
+
+        Entered in the table of pairs, each prefix's own answer too.
+        """
+        tried = []
+        while token >= 0 and (fit := self.fits.get(left * self.size + token)) is None:
+            tried.append(token)
+            if self._compatible(left, token):
+                fit = token
+                break
+            token = self.shorter[token]
+        else:
+            fit = fit if token >= 0 else -1
+        if len(self.fits) >= KNOWN_PAIRS:
+            self.fits.clear()
+        for one in tried:
+            self.fits[left * self.size + one] = fit
+        return fit
 
     def chain(self, symbols: str) -> list[int]:
         """The tokens of one word, given as symbols."""
         whole = self.by_symbols.get(symbols)
         if whole is not None:
             return [whole]
-        size = len(symbols)
-        longest = [0] * size
-        for end, (back, id_) in self.automaton.iter(symbols):
-            longest[end - back] = id_
-        open_ = bytearray(b"\1") * (size + 1)
-        length, shorter = self.length, self.shorter
-        known, compatible = self.pairs.get, self.compatible
+        length, shorter, size = self.length, self.shorter, self.size
+        longest = list(map(self.base.__getitem__, symbols))
+        for end, id_ in self.automaton.iter(symbols):
+            longest[end + 1 - length[id_]] = id_
+        known, total = self.fits.get, len(symbols)
+        closed: set[int] = set()
         tokens: list[int] = []
-        at, token = 0, longest[0]
+        at, last, token = 0, -1, longest[0]
         while True:
-            end = at + length[token]
-            if open_[end]:
-                if tokens:
-                    pair = (tokens[-1], token)
-                    fits = known(pair)
-                    if fits is None:
-                        fits = compatible(pair)
-                else:
-                    fits = True
-                if fits:
+            if last >= 0:
+                fit = known(last * size + token)
+                token = self.fitting(last, token) if fit is None else fit
+            if token >= 0:
+                end = at + length[token]
+                if end not in closed:
                     tokens.append(token)
-                    if end == size:
+                    if end == total:
                         return tokens
-                    at, token = end, longest[end]
+                    at, last, token = end, token, longest[end]
                     continue
-            prefix = shorter.get(token)
-            while prefix is None:
-                open_[at] = 0
-                last = tokens.pop()
-                at -= length[last]
-                prefix = shorter.get(last)
-            token = prefix
+                token = shorter[token]
+            while token < 0:
+                closed.add(at)
+                token = tokens.pop()
+                at -= length[token]
+                last = tokens[-1] if tokens else -1
+                token = shorter[token]
 
     def word(self, word: str) -> tuple[int, ...]:
         raw = word.encode("utf-8", "surrogatepass").decode("latin-1")
