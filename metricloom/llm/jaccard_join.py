@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from metricloom.llm.storage import stored
+from metricloom.llm.storage import discard, stored
 
 WORDS = 5
 PERCENT = 75
@@ -410,15 +410,19 @@ def components(edges: DataFrame) -> DataFrame:
             .where("v <> m")
             .unionByName(lowest.select(F.col("u").alias("v"), "m"))
         )
+        last = now
         now = stored(
             small.select(F.least("v", "m").alias("a"), F.greatest("v", "m").alias("b")).distinct(),
             "edges",
         )
+        discard(last, least, large, lowest)
     labels = now.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
     roots = now.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct()
-    return stored(
+    labels = stored(
         labels.unionByName(roots).groupBy("node").agg(F.min("label").alias("label")), "labels"
     )
+    discard(now)
+    return labels
 
 
 # --- the join -------------------------------------------------------------------
@@ -472,8 +476,11 @@ def _groups(
         )
     )
     joined = stored(joined, "members")
+    discard(shared, placed, labels)
     sizes = joined.groupBy("unit").agg(F.count("*").alias("size"))
-    return joined.join(sizes, "unit"), texts
+    groups = stored(joined.join(sizes, "unit"), "groups")
+    discard(joined)
+    return groups, texts
 
 
 def _needed(n, m, percent: int):
@@ -546,7 +553,7 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     # Sizes of members that may link.
     least = F.greatest(F.col("least"), F.ceil(percent * n / F.lit(100)))
     most = F.least(F.col("most"), F.floor(100 * n / F.lit(percent)))
-    return (
+    askers = (
         rows.where("asks")
         .join(matrix, "token")
         .where(smaller & near_in_size & ~joined_already)
@@ -559,6 +566,9 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         )
         .select("h", "other")
     )
+    askers = stored(askers, "askers")
+    discard(rows, matrix)
+    return askers
 
 
 def _opened(
@@ -568,9 +578,11 @@ def _opened(
     askers: DataFrame,
     words: int,
     percent: int,
-) -> DataFrame:
+) -> tuple[DataFrame, list[DataFrame]]:
     """(a, b): components that a link joins, by opening the groups that were not ruled out.
 
+    Also the stored tables that the links are read from.
+
     ``texts`` has the texts picked out before; only others are looked for in docs.
     """
     parts = stored(
@@ -604,7 +616,8 @@ def _opened(
         .repartition("group", "part")
         .sortWithinPartitions("group", "part", "asks")
     )
-    return read.mapInArrow(_linked_to_groups(words, percent), EDGE_COLUMNS)
+    links = read.mapInArrow(_linked_to_groups(words, percent), EDGE_COLUMNS)
+    return links, [parts, roles, missing]
 
 
 def near_duplicates(
@@ -621,6 +634,16 @@ def near_duplicates(
     ids do not count as smallest while there is another; repeated rows are rows of
     the same class. r is a hash of id and text, for joining back to docs.
     """
+    return near_duplicates_and_tables(docs, words, percent, frequent_share)[0]
+
+
+def near_duplicates_and_tables(
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = PERCENT,
+    frequent_share: float = FREQUENT_SHARE,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of near_duplicates, and the stored tables that they are read from."""
     spark = docs.sparkSession
     docs = docs.select(
         F.xxhash64("doc_id", "text").alias("r"), F.col("doc_id").cast("long").alias("doc_id"), "text"
@@ -649,19 +672,21 @@ def near_duplicates(
     )
     often = np.array([r[0] for r in frequent.collect()], np.int64).view(np.uint64)
     groups, texts = _groups(docs.select("r", "text"), classes, words, percent)
-    groups = stored(groups, "groups")
     first = docs.select("text").mapInArrow(
         _first_tokens(words, percent, np.sort(often)), "token long, h long, n long, often boolean"
     )
-    askers = stored(_askers(first, groups, percent), "askers")
-    joined = components(_opened(docs.select("r", "text"), texts, groups, askers, words, percent))
+    askers = _askers(first, groups, percent)
+    links, opened = _opened(docs.select("r", "text"), texts, groups, askers, words, percent)
+    joined = components(links)
+    discard(texts, askers, *opened)
     labels = groups.select("h", "g").join(joined, F.col("g") == F.col("node"), "left").select(
         "h", F.coalesce("label", "g").alias("component")
     )
     placed = stored(classes.select("h", "first_id").join(labels, "h"), "components")
     firsts = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
     ids = stored(placed.join(firsts, "component").select("h", "component_id"), "component-ids")
-    return (
+    discard(groups, classes, joined, placed)
+    marks = (
         rows.drop("keys")
         .join(ids, "h", "left")
         .select(
@@ -673,6 +698,7 @@ def near_duplicates(
             "r",
         )
     )
+    return marks, [profiles, ids]
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -680,7 +706,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
 
     Rows that are equal in id and text are one document, of which one row stays.
     """
-    marks = near_duplicates(docs, words, percent).select(
+    marks, tables = near_duplicates_and_tables(docs, words, percent)
+    marks = marks.select(
         F.col("r").alias("_r"), F.col("doc_id").alias("_id"), "component_id", "n_shingles"
     )
     # Texts without words are no copies of each other; of others the component decides.
@@ -692,6 +719,8 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
         .agg(F.min_by("_r", F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_r")).alias("_r"))
         .select("_r")
     )
+    chosen = stored(chosen, "kept")
+    discard(*tables)
     keyed = docs.withColumn("_r", F.xxhash64("doc_id", "text"))
-    kept = keyed.join(stored(chosen, "kept"), "_r", "left_semi")
+    kept = keyed.join(chosen, "_r", "left_semi")
     return kept.dropDuplicates(["_r"]).drop("_r")

@@ -29,8 +29,35 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read back, so that a lost executor costs no lineage."""
-    folder = new_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    """The rows written to the shared folder and read back, so that a lost executor costs no lineage.
+
+    The write's shuffle files go as soon as it is done; nothing reads them again.
+    """
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(folder)
+    table.stored_in = folder
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that no later step reads. Other tables are left alone."""
+    for table in tables:
+        if not hasattr(table, "stored_in"):
+            continue
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_in)
+        conf = table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path.getFileSystem(conf).delete(path, True)
