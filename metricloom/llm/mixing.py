@@ -1,75 +1,75 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Time is cut into slots of one block. A source with weight w (slots out of a period
-of Q) must have its block i in the window [floor(i Q / w), ceil((i + 1) Q / w)):
-release time and deadline. Earliest deadline first over released blocks keeps every
-window when the weights add up to Q, so after any number of slots each source is
-less than one block from its target. The schedule repeats after Q slots, so it is
-worked out for one period, a table of Q rows whatever the corpus; blocks then find
-their slots by a join.
+Time is cut into slots of one block. A source with weight w, an exact fraction of the
+whole, must have its block i in the window [floor(i / w), ceil((i + 1) / w)): release
+time and deadline. Earliest deadline first over released blocks keeps every window as
+the weights add up to one, so after any number of slots each source is less than one
+block from its target. The schedule repeats after as many slots as the weights' common
+denominator. The driver works it out for so many slots, or up to the last slot that a
+block of the corpus needs if that comes first; blocks find their slots by a join.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PERIOD = 1000
-PERIODS_PER_SOURCE = 4
 BLOCK_DOCUMENTS = 16
 TEMPERATURE = 0.5
 SEED = 17
 ROWS_PER_BUCKET = 2_000
 
 
-def whole_weights(weights: Mapping[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Weights as whole slots that add up to the period: largest remainders, at least one each."""
-    period = max(period, PERIODS_PER_SOURCE * len(weights))
-    share = sum(weights.values())
-    if share <= 0 or min(weights.values()) < 0:
+def exact_weights(weights: Mapping[str, float | str | Fraction]) -> dict[str, Fraction]:
+    """Each weight's exact share of their sum; a float counts as the decimal it is written as."""
+    exact = {n: Fraction(str(w)) for n, w in weights.items()}
+    if not exact or min(exact.values()) <= 0:
         raise ValueError("weights must be positive")
-    names = sorted(weights)
-    spare = period - len(names)
-    exact = {n: 1 + spare * weights[n] / share for n in names}
-    slots = {n: int(exact[n]) for n in names}
-    rest = sorted(names, key=lambda n: (slots[n] - exact[n], n))
-    for n in rest[: period - sum(slots.values())]:
-        slots[n] += 1
-    return slots
+    total = sum(exact.values())
+    return {n: w / total for n, w in exact.items()}
 
 
-def one_period(slots: Mapping[str, int]) -> list[str]:
+def period_of(shares: Mapping[str, Fraction]) -> int:
+    """Slots after which the schedule repeats."""
+    return math.lcm(*(w.denominator for w in shares.values()))
+
+
+def schedule(shares: Mapping[str, Fraction], length: int) -> list[str]:
     """The source of each slot: earliest deadline first among released blocks."""
-    period = sum(slots.values())
-    waiting = [(0, n, 0) for n in sorted(slots)]
+    parts = {n: (w.numerator, w.denominator) for n, w in shares.items()}
+    waiting = [(0, n, 0) for n in sorted(shares)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     order = []
-    for now in range(period):
+    for now in range(length):
         while waiting and waiting[0][0] <= now:
             _, n, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * period // slots[n]), n, i))
+            up, down = parts[n]
+            heapq.heappush(ready, (-(-(i + 1) * down // up), n, i))
         _, n, i = heapq.heappop(ready)
         order.append(n)
-        heapq.heappush(waiting, ((i + 1) * period // slots[n], n, i + 1))
+        up, down = parts[n]
+        heapq.heappush(waiting, ((i + 1) * down // up, n, i + 1))
     return order
 
 
 def mix(
     docs: DataFrame,
-    weights: Mapping[str, float] | None = None,
-    period: int = PERIOD,
+    weights: Mapping[str, float | str | Fraction] | None = None,
     block_documents: int = BLOCK_DOCUMENTS,
     temperature: float = TEMPERATURE,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """docs with block, slot, place and on_target; training order is (slot, place).
 
-    Without weights a source's weight is its number of documents to the power
-    `temperature`. Within a source the order is that of a hash of id and text, cut
+    Weights are met exactly as given (0.7 is seven tenths), up to a common factor, and
+    must be above 0. Without weights a source's weight is its number of documents to the
+    power `temperature`, rounded up to a whole number. Within a source the order is that of a hash of id and text, cut
     into blocks of `block_documents`. No row is dropped: a source's slots stay
     empty once it has run out, and on_target tells the rows before the first such
     slot, where the weights hold exactly. A null source is the source without a
@@ -93,26 +93,28 @@ def mix(
     if not sizes:
         sizes = {"": 0}
     if weights is None:
-        weights = {s: max(n, 1) ** temperature for s, n in sizes.items()}
+        weights = {s: math.ceil(max(n, 1) ** temperature) for s, n in sizes.items()}
     elif missing := sorted(set(sizes) - set(weights)):
         raise ValueError(f"no weight for {missing}")
-    slots = whole_weights(weights, period)
-    order = one_period(slots)
-    total = len(order)
-    seen: dict[str, int] = dict.fromkeys(slots, 0)
-    placed: dict[str, list[int]] = {s: [] for s in slots}
-    turns = []
+    shares = exact_weights(weights)
+    blocks = {s: -(-sizes.get(s, 0) // block_documents) for s in shares}
+    # The deadline of the block after a source's last is beyond its first empty slot.
+    needed = max(math.ceil((blocks[s] + 1) / w) for s, w in shares.items())
+    total = period_of(shares)
+    order = schedule(shares, min(total, needed))
+    placed: dict[str, list[int]] = {s: [] for s in shares}
     for at, s in enumerate(order):
-        turns.append((s, seen[s], at))
         placed[s].append(at)
-        seen[s] += 1
+    # Blocks of a source per period; one that is cut short before its end is never gone through.
+    slots = {s: int(w * total) if total <= needed else blocks[s] + 1 for s, w in shares.items()}
 
     def first_empty(s: str) -> int:
-        cycle, turn = divmod(-(-sizes.get(s, 0) // block_documents), slots[s])
+        cycle, turn = divmod(blocks[s], slots[s])
         return cycle * total + placed[s][turn]
 
-    horizon = min(first_empty(s) for s in slots)
-    schedule = spark.createDataFrame(turns, "_source string, _turn bigint, _at bigint")
+    horizon = min(first_empty(s) for s in shares)
+    turns = [(s, turn, at) for s, ats in placed.items() for turn, at in enumerate(ats)]
+    slots_of = spark.createDataFrame(turns, "_source string, _turn bigint, _at bigint")
     parts = spark.createDataFrame(
         [(s, -(-n // rows_per_bucket) or 1, slots[s]) for s, n in sizes.items()],
         "_source string, _buckets bigint, _slots bigint",
@@ -141,7 +143,7 @@ def mix(
     return (
         ranked.withColumn("_block", block)
         .withColumn("_turn", F.col("_block") % F.col("_slots"))
-        .join(F.broadcast(schedule), ["_source", "_turn"])
+        .join(slots_of, ["_source", "_turn"])
         .withColumn(
             "_slot",
             F.floor(F.col("_block") / F.col("_slots")).cast("long") * total + F.col("_at"),

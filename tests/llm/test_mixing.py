@@ -1,7 +1,9 @@
 """Mixing: Pfair windows, exact shares, whole results."""
 
+import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 
@@ -10,23 +12,45 @@ from metricloom.llm import mixing
 from metricloom.llm.storage import read
 
 
-def test_less_than_one_block_from_target_after_every_slot():
-    draw = random.Random(9)
-    for n in (1, 2, 7, 40, 300):
-        slots = mixing.whole_weights({f"s{i}": draw.random() ** 3 + 1e-6 for i in range(n)})
-        order, period, seen = mixing.one_period(slots), sum(slots.values()), Counter()
-        assert len(order) == period
-        for t, s in enumerate(order, 1):
-            seen[s] += 1
-            assert all(abs(seen[x] * period - slots[x] * t) < period for x in slots)
-        assert seen == Counter(slots)
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40, 300])
+def test_less_than_one_block_from_the_given_weights_after_every_slot(n):
+    draw = random.Random(n)
+    given = {f"s{i}": round(draw.random() ** 3 + 1e-4, 5) for i in range(n)}
+    whole = sum(Fraction(str(w)) for w in given.values())
+    shares = mixing.exact_weights(given)
+    assert shares == {s: Fraction(str(w)) / whole for s, w in given.items()}
+    seen = Counter()
+    for t, s in enumerate(mixing.schedule(shares, 20_000), 1):
+        seen[s] += 1
+        if n <= 40 or t % 97 == 0:
+            assert all(abs(seen[x] - w * t) < 1 for x, w in shares.items())
 
 
-def test_whole_weights():
-    assert sum(mixing.whole_weights({"a": 1, "b": 0}).values()) == mixing.PERIOD
-    assert mixing.whole_weights({"a": 3, "b": 1}, 1000)["a"] == pytest.approx(750, abs=1)
-    with pytest.raises(ValueError):
-        mixing.whole_weights({"a": -1, "b": 2})
+def test_given_weights_are_met_exactly():
+    for weights in ({"a": 0.7, "b": 0.2, "c": 0.1}, {"a": 7, "b": 2, "c": 1}):
+        shares = mixing.exact_weights(weights)
+        assert mixing.period_of(shares) == 10
+        assert Counter(mixing.schedule(shares, 20_000)) == {"a": 14_000, "b": 4_000, "c": 2_000}
+    thirds = mixing.exact_weights({s: 1 / 3 for s in "abc"})
+    assert mixing.period_of(thirds) == 3
+    for bad in ({"a": -1, "b": 2}, {"a": 0, "b": 2}, {}):
+        with pytest.raises(ValueError):
+            mixing.exact_weights(bad)
+
+
+def test_repeated_and_cut_short_periods(spark):
+    docs = documents(spark, [f"t{i}" for i in range(400)], sources=["ab"[i % 4 == 0] for i in range(400)])
+    for weights in ({"a": 3, "b": 1}, {"a": "0.70001", "b": "0.29999"}, {"a": 1, "b": 9}):
+        rows = dicts(mixing.mix(docs, weights, block_documents=4))
+        assert len({r["doc_id"] for r in rows}) == len(rows) == 400
+        turns, length = check(rows, 4)
+        shares = mixing.exact_weights(weights)
+        for s, at in turns.items():
+            for t in range(1, length + 1):
+                assert abs(sum(x < t for x in at) - shares[s] * t) < 1
+        slots = sorted({r["slot"] for r in rows})
+        expected = mixing.schedule(shares, slots[-1] + 1)
+        assert all(expected[r["slot"]] == r["source"] for r in rows)
 
 
 def check(rows, block):
@@ -49,13 +73,12 @@ def test_sample_is_whole_and_on_target(spark):
     rows = dicts(mixing.mix_report(docs))
     assert Counter(r["doc_id"] for r in rows) == Counter(r["doc_id"] for r in docs.collect())
     sizes = Counter(r["source"] for r in rows)
-    weights = mixing.whole_weights({s: n**0.5 for s, n in sizes.items()})
+    weights = mixing.exact_weights({s: math.ceil(n**0.5) for s, n in sizes.items()})
     turns, length = check(rows, mixing.BLOCK_DOCUMENTS)
-    period = sum(weights.values())
     assert length > 10
     for s, at in turns.items():
         for t in range(1, length + 1):
-            assert abs(sum(x < t for x in at) * period - weights[s] * t) < period
+            assert abs(sum(x < t for x in at) - weights[s] * t) < 1
 
 
 def test_order_does_not_depend_on_partitions_or_buckets(spark):
