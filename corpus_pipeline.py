@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricloom.llm import decontaminate, jaccard_join, line_frequency, line_runs, mixing
-from metricloom.llm.storage import read, stored
+from metricloom.llm.storage import discard, read, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -60,8 +60,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written and read again."""
+    """The stages over documents, each written and read again; the last one's texts then go."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        last, docs = docs, stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(last)
     return docs
