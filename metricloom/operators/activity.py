@@ -26,10 +26,13 @@ def rolling_distinct(
     windows: dict[str, int],
     calendar: DataFrame | None = None,
     anchors: str = EVENT_DAYS,
+    only: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Distinct keys active in the trailing ``n`` days, for every window at once.
 
     ``windows`` maps an output column to its width; width 1 is the daily count.
+    ``only`` maps some of these columns to a condition on the rows: they count keys
+    with such a row in the window, from the same pass over the same pairs.
     Without a calendar the result has one row per day of the data
     (``anchors='event_days'``) or per day from the first to the last day of the
     data (``anchors='calendar'``), found in the same pass. With one (a DataFrame
@@ -49,7 +52,7 @@ def rolling_distinct(
     if anchors not in (EVENT_DAYS, CALENDAR):
         raise ValueError(f"anchors must be {EVENT_DAYS!r} or {CALENDAR!r}, not {anchors!r}")
 
-    counters = _daily_counters(df, day, key, windows)
+    counters = _daily_counters(df, day, key, windows, only or {})
     changes = counters.select(F.explode(_changes(windows)).alias("change")).select("change.*")
     if calendar is not None:
         changes = changes.unionByName(_quiet_days(calendar, windows))
@@ -97,31 +100,57 @@ def _named(columns: dict[str, Column]) -> list[Column]:
     return [column.alias(name) for name, column in columns.items()]
 
 
-def _daily_counters(df: DataFrame, day: str, key: str, windows: dict[str, int]) -> DataFrame:
-    """Per day and window: keys that start and keys that end a covered stretch."""
-    active = (
-        df.select(F.col(day).alias("on_day"), F.col(key).alias("key"))
-        .where(F.col("on_day").isNotNull())
-        .distinct()
-    )
+def active_pairs(
+    df: DataFrame, day: str, key: str, flags: dict[str, Column] | None = None
+) -> DataFrame:
+    """(on_day, key): the distinct pairs of the data; each flag holds if it does in some row."""
+    pairs = df.select(
+        F.col(day).alias("on_day"),
+        F.col(key).alias("key"),
+        *[F.coalesce(flag, F.lit(False)).alias(name) for name, flag in (flags or {}).items()],
+    ).where(F.col("on_day").isNotNull())
+    if not flags:
+        return pairs.distinct()
+    return pairs.groupBy("on_day", "key").agg(*[F.max(name).alias(name) for name in flags])
+
+
+def _daily_counters(
+    df: DataFrame, day: str, key: str, windows: dict[str, int], only: dict[str, Column]
+) -> DataFrame:
+    """Per day and window: keys that start and keys that end a covered stretch.
+
+    For a window with a condition, the days before and after are those that meet it:
+    lag and lead pass over the others, in the same sort.
+    """
+    active = active_pairs(df, day, key, {f"only_{name}": flag for name, flag in only.items()})
     of_key = Window.partitionBy("key").orderBy("on_day")
     today = F.col("on_day")
+    in_order = "IGNORE NULLS OVER (PARTITION BY key ORDER BY on_day)"
     # A null key is never counted, but its days still are days with data.
     gaps = active.select(
         "on_day",
         F.col("key").isNotNull().alias("counted"),
         F.datediff(today, F.lag(today).over(of_key)).alias("since"),
         F.datediff(F.lead(today).over(of_key), today).alias("until"),
+        *[F.col(f"only_{name}") for name in only],
+        *[
+            F.expr(f"abs(datediff(on_day, {step}(if(only_{name}, on_day, null)) {in_order}))").alias(
+                f"{gap}_{name}"
+            )
+            for name in only
+            for gap, step in (("since", "lag"), ("until", "lead"))
+        ],
     )
 
-    def outside(gap: str, width: int) -> Column:
-        return F.count_if(
-            F.col("counted") & (F.col(gap).isNull() | (F.col(gap) >= F.lit(width)))
-        )
+    def outside(gap: str, name: str, width: int) -> Column:
+        counted = F.col("counted")
+        if name in only:
+            gap, counted = f"{gap}_{name}", counted & F.col(f"only_{name}")
+        return F.count_if(counted & (F.col(gap).isNull() | (F.col(gap) >= F.lit(width))))
 
     return gaps.groupBy("on_day").agg(
-        *[outside("since", n).alias(f"enter_{name}") for name, n in windows.items()],
-        *[outside("until", n).alias(f"leave_{name}") for name, n in windows.items()],
+        *[outside("since", name, n).alias(f"enter_{name}") for name, n in windows.items()],
+        *[outside("until", name, n).alias(f"leave_{name}") for name, n in windows.items()],
     )
 
 

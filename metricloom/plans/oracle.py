@@ -123,7 +123,6 @@ PARTS: dict[str, tuple[list[str], str]] = {
         select cast(t.d as date) as date_day
         from (select min(event_date) as f, max(event_date) as l from ev) b,
              generate_series(b.f, b.l, interval 1 day) as t(d)"""),
-    "engaged": (["ev"], f"select * from ev where funnel_step >= {reg.ENGAGED_STEP}"),
     "daily": (["ev"], """
         select event_date, count(distinct customer_id) as dau from ev group by event_date"""),
     "weekly": (["ev", "event_days"], f"""
@@ -333,10 +332,12 @@ def _buyers(anchors: str) -> str:
         group by a.day""")
 
 
-def _engaged(name: str, width: int) -> str:
-    return sql(["engaged"], f"""
-        select a.event_date, count(distinct e.customer_id) as {name}
-        from (select distinct event_date from engaged) a join engaged e
+def _with_engaged(name: str, width: int) -> str:
+    return sql(["ev", "event_days"], f"""
+        select a.event_date, count(distinct e.customer_id) as {name},
+               count(distinct e.customer_id) filter (e.funnel_step >= {reg.ENGAGED_STEP})
+                   as engaged_{name}
+        from event_days a join ev e
           on e.event_date > a.event_date - {width} and e.event_date <= a.event_date
         group by a.event_date""")
 
@@ -467,8 +468,13 @@ ORACLE: dict[str, str] = {
         where payment_date between date '{reg.RANGE_FIRST}' and date '{reg.RANGE_LAST}'"""),
     "distinct_anchor_days": sql(["event_days"], "select * from event_days"),
     "dau": sql(["daily"], "select * from daily"),
-    "wau_rolling": _engaged("wau", fixed.WEEK_DAYS),
-    "mau_rolling": _engaged("mau", fixed.MONTH_DAYS),
+    "wau_rolling": _with_engaged("wau", fixed.WEEK_DAYS),
+    "mau_rolling": _with_engaged("mau", fixed.MONTH_DAYS),
+    "active_users_folded": f"""
+        select event_date, dau, w.wau, m.mau, engaged_wau, engaged_mau
+        from ({sql(["daily"], "select * from daily")}) d
+        join ({_with_engaged("wau", fixed.WEEK_DAYS)}) w using (event_date)
+        join ({_with_engaged("mau", fixed.MONTH_DAYS)}) m using (event_date)""",
     "dau_mau_joined": sql(["daily", "thirty"], """
         select event_date, dau, mau, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),

@@ -10,16 +10,31 @@ for SQL. Nothing is copied to publish.
 from __future__ import annotations
 
 import datetime
+import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHARED_FOLDER = "spark.checkpoint.dir"
+
 LAYERS = ("staging", "core", "kpi")
 LOG_COLUMNS = "position long, accepted_at string, run_id string"
 
 
+def new_root(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors see; only a local session may do without the setting."""
+    shared = spark.conf.get(SHARED_FOLDER, None)
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{SHARED_FOLDER} must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="metricloom-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_layers(spark: SparkSession) -> None:
     """One namespace per layer."""
     for layer in LAYERS:
