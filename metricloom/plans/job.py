@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from metricloom import fixed_values as fixed
 from metricloom.operators import activity, quality, staging, star
 from metricloom.plans import marts
-from metricloom.sources import files, schemas
+from metricloom.sources import files, quarantine, schemas
 from metricloom.sources import tables as store
 
 RAW_CHECKS: list[quality.Check] = [
@@ -59,14 +60,17 @@ EXTRA_CHECKS: list[quality.Check] = [
 TAGS = {"kpi": ["dashboard", "executive"]}
 
 
-def load_raw(spark: SparkSession, folder: str, root: str, ds: str) -> dict[str, DataFrame]:
+def load_raw(
+    spark: SparkSession, folder: str, root: str, ds: str, keep_bad: bool = False
+) -> dict[str, DataFrame]:
     """Land one run date's CSV extracts as Parquet and read them back.
 
     The text is parsed and typed once; staging, checks and freshness then read
-    only the columns they need, and the newest time is in the files' statistics.
+    only the columns they need. ``keep_bad`` lands rows that do not parse as well, for
+    a run that sets bad rows apart.
     """
     raw = {}
-    for name, df in files.read_raw(spark, folder).items():
+    for name, df in files.read_raw(spark, folder, keep_bad).items():
         path = f"{root.rstrip('/')}/raw/{name}"
         files.land(files.typed(df, schemas.TYPES[name]), path, ds)
         raw[name] = files.read_landed(spark, path, ds, ds).drop("ds")
@@ -99,9 +103,14 @@ def run(
     anchors: str = activity.EVENT_DAYS,
     strict_segments: bool = False,
     freshness: bool = True,
+    max_rejected_share: float | None = None,
 ) -> DataFrame:
     """Build, check and publish every table; returns the check report.
 
+    A raw value without a typed form stops the run. With ``max_rejected_share`` such rows
+    are set apart in ``raw_rejected.<source>`` with their reasons and the run goes on with
+    the others, unless they are a larger share of a source; the report has their number.
+
     ``root`` is a folder that all executors share. ``as_of`` stands for now; with
     a zone it is turned into UTC, in which all times are.
     """
@@ -117,6 +126,10 @@ def run(
     def write(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         return store.write_run_table(df, root, run_id, name, partition_by)
 
+    rejected = None
+    if max_rejected_share is not None:
+        raw, rejected = set_apart(spark, raw, max_rejected_share, write)
+
     customers = staging.stage_customers(raw["raw_crm_customers"], strict_segments, moment)
     events = staging.stage_events(raw["raw_app_events"], moment)
     payments = staging.stage_payments(raw["raw_payments"], loaded_at=moment)
@@ -163,7 +176,10 @@ def run(
         for check in RAW_CHECKS + MODEL_CHECKS
         if not isinstance(check, quality.Typed) or check.text in raw[check.table].columns
     ]
-    report = write(quality.run_checks(checked, gating + EXTRA_CHECKS), "checks")
+    lines = quality.run_checks(checked, gating + EXTRA_CHECKS)
+    if rejected is not None:
+        lines = lines.unionByName(rejected)
+    report = write(lines, "checks")
     quality.require_no_failures(
         report.where(F.col("check_name").isin([check.name for check in gating]))
     )
@@ -172,6 +188,35 @@ def run(
     return report
 
 
+def set_apart(
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    max_share: float,
+    write: Callable[[DataFrame, str], DataFrame],
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The sources without their bad rows, and a report line for each with their number.
+
+    Bad rows are written first and counted from there. A source of which more than
+    ``max_share`` is bad stops the run.
+    """
+    if not 0 <= max_share <= 1:
+        raise ValueError(f"a share is between 0 and 1: {max_share!r}")
+    kept, counts, above = dict(raw), [], []
+    for name, types in schemas.TYPES.items():
+        source = raw[name]
+        if not quarantine.can_reject(source, types):
+            continue
+        bad = write(quarantine.rejected_rows(source, types), f"raw_rejected.{name}")
+        n_bad, n = bad.count(), source.count()
+        counts.append((f"rejected_{name}", n_bad))
+        if n_bad > max_share * n:
+            above.append(f"{name}: {n_bad} of {n}")
+        kept[name] = quarantine.accepted_rows(source, types)
+    if above:
+        raise quality.QualityError(f"too many rejected rows: {', '.join(above)}")
+    return kept, spark.createDataFrame(counts, "check_name string, failures long")
+
+
 def utc(moment: datetime.datetime) -> datetime.datetime:
     """A moment without zone, in UTC."""
     if moment.tzinfo is None:

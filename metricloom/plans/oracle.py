@@ -342,6 +342,23 @@ def _with_engaged(name: str, width: int) -> str:
         group by a.event_date""")
 
 
+def _payment_texts() -> str:
+    price = "cast(cast(o_totalprice as decimal(12,2)) as varchar)"
+    return f"""
+        select cast(o_orderkey as varchar) as payment_id,
+               case when o_orderkey % {sample.NO_SUCH_DAY} = 0 then '2024-13-45'
+                    when o_orderkey % {sample.EMPTY_TIME} = 0 then ''
+                    else strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as payment_timestamp,
+               case when o_orderkey % {sample.NO_AMOUNT} = 0 then 'n/a'
+                    when o_orderkey % {sample.AMOUNT_WITH_UNIT} = 0 then {price} || ' EUR'
+                    else {price} end as amount
+        from orders"""
+
+
+_BAD_TIME = "(payment_timestamp is not null and try_cast(payment_timestamp as timestamp) is null)"
+_BAD_AMOUNT = "(amount is not null and try_cast(amount as decimal(12,2)) is null)"
+
+
 def _all_order_days() -> str:
     return """select cast(t.d as date) as date_day
         from (select min(cast(o_orderdate as date)) as f, max(cast(o_orderdate as date)) as l
@@ -481,6 +498,16 @@ ORACLE: dict[str, str] = {
     "dau_mau_stickiness": sql(["daily", "thirty"], """
         select event_date, round(cast(dau as double) / mau, 4) as dau_mau_ratio
         from daily join thirty using (event_date)"""),
+    "quarantine_accepted": f"""
+        select payment_id, cast(payment_timestamp as timestamp) as payment_timestamp,
+               cast(cast(amount as decimal(12,2)) as double) as amount
+        from ({_payment_texts()}) where not {_BAD_TIME} and not {_BAD_AMOUNT}""",
+    "quarantine_rejected": f"""
+        select payment_id, if({_BAD_TIME}, payment_timestamp, null) as payment_timestamp_text,
+               if({_BAD_AMOUNT}, amount, null) as amount_text,
+               concat_ws(',', if({_BAD_AMOUNT}, 'amount', null),
+                         if({_BAD_TIME}, 'payment_timestamp', null)) as reasons
+        from ({_payment_texts()}) where {_BAD_TIME} or {_BAD_AMOUNT}""",
     "calendar_gap_fill": sql(["paid"], f"""
         select date_day, count(payment_id) filter (status = 'refunded') as refunds,
                count(distinct customer_id) filter (status = 'refunded') as customers,

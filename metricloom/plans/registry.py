@@ -16,7 +16,7 @@ from metricloom import fixed_values as fixed
 from metricloom import functions as fn
 from metricloom.operators import activity, funnel, quality, revenue, staging, star
 from metricloom.plans import daily_users, marts, serving
-from metricloom.sources import files, synthetic
+from metricloom.sources import files, quarantine, schemas, synthetic
 from metricloom.sources import sample_tables as sample
 from metricloom.sources import tables as store
 
@@ -332,6 +332,34 @@ def filter_date_between(spark, folder):
     )
 
 
+# --- quarantine ---------------------------------------------------------------------
+
+
+def _typed_payments(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, str]]:
+    types = schemas.TYPES["raw_payments"]
+    return files.typed(sample.payment_texts(spark, folder), types), types
+
+
+@query
+def quarantine_accepted(spark, folder):
+    """Payments of which every text has a typed value."""
+    return quarantine.accepted_rows(*_typed_payments(spark, folder)).withColumn(
+        "amount", F.col("amount").cast("double")
+    )
+
+
+@query
+def quarantine_rejected(spark, folder):
+    """The others, with the texts that have none and the columns they stand in."""
+    rejected = quarantine.rejected_rows(*_typed_payments(spark, folder))
+    return rejected.select(
+        "payment_id",
+        "payment_timestamp_text",
+        "amount_text",
+        F.array_join("reasons", ",").alias("reasons"),
+    )
+
+
 # --- activity ----------------------------------------------------------------------
 
 

@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricloom import fixed_values as fixed
-from metricloom.sources import schemas
+from metricloom.sources import quarantine, schemas
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headed CSV with a declared schema; a wrong header or row is an error.
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, keep_bad: bool = False
+) -> DataFrame:
+    """Headed CSV with a declared schema; a wrong header is an error, and a wrong row too.
 
-    A file is split between tasks at its line ends, so a value may not hold one.
+    With ``keep_bad`` a row with too few or too many values is kept, its text in a
+    further column. A file is split between tasks at its line ends, so a value may not
+    hold one.
     """
-    return (
-        spark.read.schema(schema)
-        .options(**_CSV, enforceSchema=False, mode="FAILFAST")
-        .csv(path)
-    )
+    mode = {"mode": "FAILFAST"}
+    if keep_bad:
+        schema = T.StructType([*schema.fields, T.StructField(quarantine.BAD_ROW, T.StringType())])
+        mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": quarantine.BAD_ROW}
+    return spark.read.schema(schema).options(**_CSV, enforceSchema=False, **mode).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -38,10 +42,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def read_raw(
+    spark: SparkSession, folder: str, keep_bad: bool = False
+) -> dict[str, DataFrame]:
     """The three raw sources from ``<folder>/<name>.csv``."""
     return {
-        name: read_csv(spark, f"{folder}/{name}.csv", schema)
+        name: read_csv(spark, f"{folder}/{name}.csv", schema, keep_bad)
         for name, schema in schemas.RAW.items()
     }
 

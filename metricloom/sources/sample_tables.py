@@ -101,3 +101,21 @@ def raw_payments(spark: SparkSession, folder: str) -> DataFrame:
         f"{_lookup('o_orderstatus', STATUS_TEXT)} AS status",
         "substr(o_orderpriority, 3) AS plan",
     )
+
+
+# Order numbers that these divide have an amount or a time that is none.
+NO_AMOUNT, AMOUNT_WITH_UNIT, NO_SUCH_DAY, EMPTY_TIME = 41, 43, 47, 53
+
+
+def payment_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments as an extract's texts, some of them without a typed value; one per order."""
+    price = "cast(cast(o_totalprice AS decimal(12,2)) AS string)"
+    return table(spark, folder, "orders").selectExpr(
+        "cast(o_orderkey AS string) AS payment_id",
+        f"CASE WHEN o_orderkey % {NO_SUCH_DAY} = 0 THEN '2024-13-45'"
+        f" WHEN o_orderkey % {EMPTY_TIME} = 0 THEN ''"
+        " ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS payment_timestamp",
+        f"CASE WHEN o_orderkey % {NO_AMOUNT} = 0 THEN 'n/a'"
+        f" WHEN o_orderkey % {AMOUNT_WITH_UNIT} = 0 THEN concat({price}, ' EUR')"
+        f" ELSE {price} END AS amount",
+    )
