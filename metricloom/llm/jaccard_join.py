@@ -516,13 +516,15 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     salt = F.when(F.col("often"), F.pmod("h", F.lit(SALTS))).otherwise(F.lit(0))
     same = Window.partitionBy("token", "salt")
     sets = F.when(F.col("often"), F.lit(1 << 62)).otherwise(F.col("rows"))
-    shared = (
+    # Written by itself: the moved tokens, most of them of one class, go before the rest moves.
+    shared = stored(
         first.withColumn("salt", salt)
         .withColumn("low", F.min("h").over(same))
         .withColumn("high", F.max("h").over(same))
         .withColumn("rows", F.count("*").over(same))
         .where("often or low <> high")
-        .select("token", "h", "n", sets.cast("long").alias("sets"))
+        .select("token", "h", "n", sets.cast("long").alias("sets")),
+        "shared-tokens",
     )
     own = Window.partitionBy("h")
     left_out = (F.col("sets") > COMMON) & (F.col("rank") <= F.floor(F.col("n") / EXTRA))
@@ -535,6 +537,7 @@ def _askers(first: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         .select("token", "h", "n", "unit", "size", "g", "asks", "spared"),
         "matrix-rows",
     )
+    discard(shared)
     matrix = stored(
         rows.groupBy("token", F.col("unit").alias("other"), F.col("size").alias("other_size")).agg(
             F.min("n").alias("least"),
