@@ -49,6 +49,23 @@ def running_totals(numbers: Column) -> Column:
     return let(numbers, summed)
 
 
+def without_places(items: Column, places: Column) -> Column:
+    """The items, in order, that are not at one of the places; linear in both."""
+    every = F.filter(F.sequence(F.lit(0), F.size(items)), lambda i: i < F.size(items))
+    return F.transform(F.array_except(every, places), lambda i: F.get(items, i))
+
+
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted names, lengthened until no column has them (names differ in more than case)."""
+    have, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricloom.llm.columns import SPACE, let, lower_ascii, total, words_of
+from metricloom.llm.columns import SPACE, free_names, let, lower_ascii, total, without_places, words_of
 from metricloom.llm.storage import stored
 
 # Fixed values of the base rules.
@@ -240,21 +240,18 @@ def without_boilerplate(
 
     Only marks of rows that change or go are joined back; other columns stay as they are.
     """
+    key, kept, cut = free_names(docs.columns, "key", "kept", "cut")
     marks = (
         _judged(docs, line_documents, line_percent, depleted_percent)
         .where("not kept or cut is not null")
-        .select(F.col("key").alias("_key"), F.col("kept").alias("_kept"), F.col("cut").alias("_cut"))
-        .dropDuplicates(["_key"])
+        .select(F.col("key").alias(key), F.col("kept").alias(kept), F.col("cut").alias(cut))
+        .dropDuplicates([key])
     )
-    left = F.filter(
-        F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("i"), line.alias("line"))),
-        lambda x: ~F.array_contains("_cut", x["i"]),
-    )
-    text = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
+    left = let(F.split("text", "\n", -1), lambda lines: without_places(lines, F.col(cut)))
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return (
-        docs.withColumn("_key", F.xxhash64("doc_id", "text", "source"))
-        .join(stored(marks, "marks"), "_key", "left")
-        .where(F.coalesce("_kept", F.lit(True)))
-        .withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(text))
-        .select(*docs.columns)
+        docs.withColumn(key, F.xxhash64("doc_id", "text", "source"))
+        .join(stored(marks, "marks"), key, "left")
+        .where(F.coalesce(kept, F.lit(True)))
+        .select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
     )

@@ -17,8 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricloom.llm.columns import lower_ascii
-from metricloom.llm.storage import new_folder, stored
+from metricloom.llm.columns import free_names, let, lower_ascii, without_places
+from metricloom.llm.storage import discard, new_folder, stored
 
 STRIPPED = " \t\n\x0b\x0c\r"
 LEAST_CHARS = 1
@@ -42,15 +42,51 @@ def hash_of(key: Column) -> Column:
 
 
 def key_hashes(text: Column, least_chars: int = LEAST_CHARS) -> Column:
-    """The distinct hashes of a text's keys."""
+    """The hashes of a text's distinct keys."""
     keys = F.filter(
         F.transform(lines_of(text), key_of), lambda k: F.length(k) >= least_chars
     )
-    return F.array_distinct(F.transform(keys, hash_of))
+    # Distinct by key, which Spark looks up by hash; structs it would compare in pairs.
+    return F.transform(F.array_distinct(keys), hash_of)
+
+
+def placed_hashes(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """(id, copy, at, h1, h2): each line with a key that counts, by its place in the text."""
+    line = F.transform(
+        lines_of(F.col("text")),
+        lambda x: let(key_of(x), lambda k: F.when(F.length(k) >= least_chars, hash_of(k))),
+    )
+    return (
+        docs.select(
+            F.col("doc_id").alias("id"),
+            F.xxhash64("text").alias("copy"),
+            F.posexplode(line).alias("at", "h"),
+        )
+        .where("h is not null")
+        .select("id", "copy", "at", "h.h1", "h.h2")
+    )
+
+
+def counted(
+    docs: DataFrame, least_chars: int = LEAST_CHARS, copies_once: bool = False, *groups: Column
+) -> DataFrame:
+    """(groups, h1, h2, documents, owner): in how many documents each line is."""
+    copy = F.xxhash64("text")
+    documents = F.count_distinct("copy") if copies_once else F.count("*")
+    hashes = F.explode(key_hashes(F.col("text"), least_chars)).alias("h")
+    rows = docs.select(*groups, copy.alias("copy"), hashes)
+    names = [c for c in rows.columns if c not in ("copy", "h")]
+    return rows.groupBy(*names, "h.h1", "h.h2").agg(
+        documents.alias("documents"), F.min("copy").alias("owner")
+    )
 
 
 class LineRuns:
-    """Runs in levels; `limit` is the number of documents at which a line is full."""
+    """Runs in levels; `limit` is the number of documents at which a line is full.
+
+    With `levels`, the names of stored runs by level, the runs of an earlier session
+    are gone on with; `buckets` must be theirs. A run is a file per bucket.
+    """
 
     def __init__(
         self,
@@ -58,10 +94,11 @@ class LineRuns:
         limit: int = DOCUMENT_LIMIT,
         fanout: int = FANOUT,
         buckets: int | None = None,
+        levels: list[list[str]] | None = None,
     ) -> None:
         self.spark, self.limit, self.fanout = spark, limit, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[str]] = []
+        self.levels = [list(names) for names in levels or []]
 
     def _write(self, run: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -100,6 +137,8 @@ class LineRuns:
         """counts: (h1, h2, documents, owner) of one batch, one row per hash."""
         most = F.lit(self.limit).cast("long")
         fresh = counts.select("h1", "h2", F.least(most, "documents").alias("documents"), "owner")
+        # Laid out as the runs are: the anti joins move nothing more, a task writes one bucket.
+        fresh = fresh.repartition(self.buckets, "h1", "h2")
         for name in self.names():
             full = self.spark.table(name).where(F.col("documents") >= self.limit)
             fresh = fresh.join(full.select("h1", "h2"), ["h1", "h2"], "left_anti")
@@ -144,23 +183,14 @@ def repeated_lines(
 ) -> DataFrame:
     """(h1, h2, owner) of lines in `limit` documents or more; all of docs, batched by text hash."""
     spark = docs.sparkSession
-    copy = F.xxhash64("text")
-    documents = F.count_distinct("copy") if copies_once else F.count("*")
-    counts = stored(
-        docs.select(
-            F.pmod(copy, F.lit(batches)).alias("batch"),
-            copy.alias("copy"),
-            F.explode(key_hashes(F.col("text"), least_chars)).alias("h"),
-        )
-        .groupBy("batch", "h.h1", "h.h2")
-        .agg(documents.alias("documents"), F.min("copy").alias("owner")),
-        "line-counts",
-    )
+    batch = F.pmod(F.xxhash64("text"), F.lit(batches)).alias("batch")
+    counts = stored(counted(docs, least_chars, copies_once, batch), "line-counts")
     runs = LineRuns(spark, limit, fanout)
     for i in range(batches):
         runs.add(counts.where(F.col("batch") == i))
     full = stored(runs.full_lines(), "full-lines")
     runs.forget()
+    discard(counts)
     return full
 
 
@@ -178,42 +208,36 @@ def dedup_lines(
     keep_first exact copies count as one document, and a line's owner (a text and
     its copies) keeps it, so that no line is lost. A null or empty text is one
     empty line, which is never dropped; its kept text is empty. Null ids, repeated
-    rows and further columns stay as they are (columns called n_lines, n_dropped,
-    full, full_id or copy are replaced or left out). Texts move once, by id, to
-    meet the list of their own full lines.
+    rows and further columns stay as they are (columns called n_lines or n_dropped
+    are replaced). Lines are dropped by their places, so a text's cost grows with its
+    lines alone. Texts move once, by id, to meet the list of their own places.
     """
     full = repeated_lines(docs, limit, least_chars, batches, fanout, copies_once=keep_first)
-    copy = F.xxhash64("text")
-    own = (
-        docs.select(
-            "doc_id",
-            copy.alias("copy"),
-            F.explode(key_hashes(F.col("text"), least_chars)).alias("full"),
-        )
-        .select("doc_id", "copy", "full", "full.h1", "full.h2")
-        .join(full, ["h1", "h2"])
-    )
+    own = placed_hashes(docs, least_chars).join(full, ["h1", "h2"])
     if keep_first:
         own = own.where("owner <> copy")
-    own = own.groupBy(F.col("doc_id").alias("full_id"), F.col("copy").alias("full_copy")).agg(
-        F.collect_set("full").alias("full")
+    plain = docs.drop("n_lines", "n_dropped")
+    # A set: rows that repeat a document bring the same places again.
+    mark, of_id, of_copy, cut = free_names(
+        [*plain.columns, "left", "n_lines", "n_dropped"], "copy", "of_id", "of_copy", "cut"
     )
-    plain = docs.drop("n_lines", "n_dropped", "full", "full_id", "full_copy", "copy")
-    lines = lines_of(F.col("text"))
-    kept = F.filter(
-        lines, lambda line: ~F.array_contains(F.col("full"), hash_of(key_of(line)))
+    own = own.groupBy(F.col("id").alias(of_id), F.col("copy").alias(of_copy)).agg(
+        F.collect_set("at").alias(cut)
     )
-    keyed = plain.withColumn("copy", copy)
-    same = keyed["doc_id"].eqNullSafe(own["full_id"]) & (keyed["copy"] == own["full_copy"])
-    left = F.when(F.col("full").isNull(), lines).otherwise(kept)
+    keyed = plain.withColumn(mark, F.xxhash64("text"))
+    same = keyed["doc_id"].eqNullSafe(own[of_id]) & (keyed[mark] == own[of_copy])
     columns = [F.col(f"`{c}`") for c in plain.columns if c != "text"]
+    lines = lines_of(F.col("text"))
+    left = F.when(F.col(cut).isNull(), lines).otherwise(
+        let(lines, lambda ls: without_places(ls, F.col(cut)))
+    )
     done = keyed.join(own, same, "left").select(
-        *columns,
+        F.struct(*columns).alias("row") if columns else F.lit(None).alias("row"),
         left.alias("left"),
         F.size(lines).cast("long").alias("n_lines"),
     )
     return done.select(
-        *columns,
+        *[F.col("row").getField(c).alias(c) for c in plain.columns if c != "text"],
         F.array_join("left", "\n").alias("text"),
         "n_lines",
         (F.col("n_lines") - F.size("left")).alias("n_dropped"),

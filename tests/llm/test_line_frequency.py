@@ -124,6 +124,8 @@ def test_lines_above_the_limits_are_taken_out(spark):
     rows += [(30, f"{menu}\n{line()}", "h2"), (31, line(), "h1"), (32, None, "h1"), (33, menu, "h1")]
     rows += [rows[0], (None, rows[1][1], "h1")]
     docs = documents(spark, [r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows])
+    clashing = docs.selectExpr("*", "1 as cut", "2 as KEY", "3 as `a.b`")
+    assert line_frequency.without_boilerplate(clashing).columns == clashing.columns
     got = line_frequency.without_boilerplate(docs)
     assert got.columns == docs.columns
     expected = [

@@ -82,6 +82,29 @@ def test_keep_first_leaves_one_holder_and_its_copies(spark):
 
 
 def test_columns_are_kept_and_clashing_ones_replaced(spark):
-    docs = documents(spark, ["a\nb"]).withColumn("full", F.lit(1)).withColumn("n_lines", F.lit(9))
-    out = line_runs.dedup_lines(docs.withColumn("a.b", F.lit(2)))
-    assert out.first()["n_lines"] == 2 and out.first()["a.b"] == 2 and out.first()["lang"] == "en"
+    docs = documents(spark, ["a\nb"]).withColumn("cut", F.lit(1)).withColumn("n_lines", F.lit(9))
+    out = line_runs.dedup_lines(docs.withColumn("a.b", F.lit(2)).withColumn("copy", F.lit(3)))
+    row = out.first()
+    assert row["n_lines"] == 2 and row["a.b"] == 2 and row["cut"] == 1 and row["copy"] == 3
+    assert row["text"] == "a\nb" and row["lang"] == "en"
+
+
+def test_a_text_of_very_many_shared_lines(spark):
+    shared = "\n".join(f"line {i % 9000} of all" for i in range(12_000))
+    rows = [(i, f"{shared}\nown {i}") for i in range(11)] + [(3, f"{shared}\nown 3")]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    assert got(line_runs.dedup_report(docs)) == by_hand(rows)
+
+
+def test_a_run_has_a_file_per_bucket_and_a_later_session_goes_on_with_it(spark):
+    names = "h1 bigint, h2 bigint, documents bigint, owner bigint"
+    batch = spark.createDataFrame([(i, 0, 1, i) for i in range(500)], names).repartition(16)
+    runs = line_runs.LineRuns(spark, limit=2, buckets=3)
+    runs.add(batch)
+    files = spark.table(runs.names()[0]).select(F.input_file_name().alias("f")).distinct()
+    assert files.count() == 3
+    later = line_runs.LineRuns(spark, limit=2, buckets=3, levels=runs.levels)
+    later.add(line_runs.counted(documents(spark, ["a\nB", "b"])))
+    later.add(batch.where("h1 < 7"))
+    assert later.full_lines().count() == 1 + 7
+    later.forget()
