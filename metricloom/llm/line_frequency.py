@@ -3,7 +3,7 @@
 A line is normalised (ends stripped, white space runs made one space, A-Z in lower
 case) and hashed to 128 bits. Per host the distinct documents with a line are
 counted; exact copies are one document, so a popular text does not count against
-itself. Lines above the limits are taken out, and a document left with too small
+itself. Lines above the limit are taken out, and a document left with too small
 a share of its words is rejected as depleted. Counts and hashes are shuffled, texts
 never.
 """
@@ -23,9 +23,8 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED_PERCENT = 30
 
-# A line is boilerplate in a host if more documents have it than both limits say.
+# A line is boilerplate in a host, whatever its size, if more documents than this have it.
 LINE_DOCUMENTS = 10
-LINE_PERCENT = 5
 # Depleted: boilerplate holds more than this share of the words.
 DEPLETED_PERCENT = 75
 
@@ -138,36 +137,23 @@ def spoken_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def boilerplate(
-    docs: DataFrame,
-    line_documents: int = LINE_DOCUMENTS,
-    line_percent: float = LINE_PERCENT,
-) -> DataFrame:
-    """(host, h1, h2) of the lines above both limits."""
-    lines = spoken_lines(docs)
-    counted = (
-        lines.groupBy("host", "h1", "h2")
+def boilerplate(docs: DataFrame, line_documents: int = LINE_DOCUMENTS) -> DataFrame:
+    """(host, h1, h2) of the lines above the limit."""
+    return (
+        spoken_lines(docs)
+        .groupBy("host", "h1", "h2")
         .agg(F.count_distinct("copy").alias("documents"))
         .where(F.col("documents") > line_documents)
-    )
-    hosts = docs.groupBy(F.coalesce("source", F.lit("")).alias("host")).agg(
-        F.count_distinct(F.xxhash64("text")).alias("host_documents")
-    )
-    return (
-        counted.join(hosts, "host")
-        .where(100 * F.col("documents") > line_percent * F.col("host_documents"))
         .select("host", "h1", "h2")
     )
 
 
-def _judged(
-    docs: DataFrame, line_documents: int, line_percent: float, depleted_percent: float
-) -> DataFrame:
+def _judged(docs: DataFrame, line_documents: int, depleted_percent: float) -> DataFrame:
     """The columns of judge, and cut: the places of the boilerplate lines, null without any."""
     docs = docs.select("doc_id", "text", "source")
     removed = (
         spoken_lines(docs)
-        .join(boilerplate(docs, line_documents, line_percent), ["host", "h1", "h2"])
+        .join(boilerplate(docs, line_documents), ["host", "h1", "h2"])
         .groupBy("id", "host", "copy")
         # A set: rows that repeat a document bring the same lines again.
         .agg(F.collect_set(F.struct("at", "words")).alias("lines"))
@@ -216,7 +202,6 @@ def _judged(
 def judge(
     docs: DataFrame,
     line_documents: int = LINE_DOCUMENTS,
-    line_percent: float = LINE_PERCENT,
     depleted_percent: float = DEPLETED_PERCENT,
 ) -> DataFrame:
     """Per row: doc_id, the base counts, base_failed, kept, n_boilerplate_words and key.
@@ -227,13 +212,12 @@ def judge(
     empty text has no words and fails the base rules. Null ids and repeated rows
     stay rows of their own; other columns are left out.
     """
-    return _judged(docs, line_documents, line_percent, depleted_percent).drop("cut")
+    return _judged(docs, line_documents, depleted_percent).drop("cut")
 
 
 def without_boilerplate(
     docs: DataFrame,
     line_documents: int = LINE_DOCUMENTS,
-    line_percent: float = LINE_PERCENT,
     depleted_percent: float = DEPLETED_PERCENT,
 ) -> DataFrame:
     """The rows of docs that judge keeps, their texts without the boilerplate lines.
@@ -242,7 +226,7 @@ def without_boilerplate(
     """
     key, kept, cut = free_names(docs.columns, "key", "kept", "cut")
     marks = (
-        _judged(docs, line_documents, line_percent, depleted_percent)
+        _judged(docs, line_documents, depleted_percent)
         .where("not kept or cut is not null")
         .select(F.col("key").alias(key), F.col("kept").alias(kept), F.col("cut").alias(cut))
         .dropDuplicates([key])

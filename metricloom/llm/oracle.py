@@ -55,11 +55,8 @@ OP2 = f"""
         select *, {lower(f"regexp_replace(trim(line, {ENDS}), '{WS}+', ' ', 'g')")} as key
         from l),
     frequent as (
-        select host, key from normal
-        join (select host, count(distinct text) as texts from docs group by host) using (host)
-        group by host, key, texts
-        having count(distinct text) > {line_frequency.LINE_DOCUMENTS}
-           and 100 * count(distinct text) > {line_frequency.LINE_PERCENT} * texts),
+        select host, key from normal group by host, key
+        having count(distinct text) > {line_frequency.LINE_DOCUMENTS}),
     gone as (
         select doc_id, cast(sum(len(regexp_extract_all(key, '{WORD}'))) as bigint) as n
         from normal join frequent using (host, key) group by doc_id),

@@ -31,11 +31,10 @@ def normal(line):
     return lower(" ".join(words(line)))
 
 
-def judged_by_hand(rows, line_documents, line_percent, depleted_percent):
+def judged_by_hand(rows, line_documents, depleted_percent):
     """rows: (id, text, host). Words in lines that too many different texts of a host have."""
-    having, texts = defaultdict(set), defaultdict(set)
+    having = defaultdict(set)
     for _, text, host in rows:
-        texts[host].add(text)
         for line in (text or "").split("\n"):
             having[host, normal(line)].add(text)
     out = []
@@ -45,7 +44,6 @@ def judged_by_hand(rows, line_documents, line_percent, depleted_percent):
             len(words(line))
             for line in (text or "").split("\n")
             if len(having[host, normal(line)]) > line_documents
-            and 100 * len(having[host, normal(line)]) > line_percent * len(texts[host])
         )
         kept = not base["base_failed"] and 100 * gone <= depleted_percent * base["n_words"]
         out.append({"doc_id": i, **base, "n_boilerplate_words": gone, "kept": kept})
@@ -84,7 +82,7 @@ def test_judge_on_the_sample(spark):
     docs = read(spark, SAMPLE, "documents")
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     got = plain(dicts(line_frequency.judge(docs)))
-    assert got == plain(judged_by_hand(rows, 10, 5, 75))
+    assert got == plain(judged_by_hand(rows, 10, 75))
 
 
 def test_depleted_documents_go_and_copies_do_not_count_against_themselves(spark):
@@ -101,12 +99,23 @@ def test_depleted_documents_go_and_copies_do_not_count_against_themselves(spark)
     rows += [(None, rows[0][1], "h1"), (None, None, None), (5, rows[5][1], "h1")]
     docs = documents(spark, [r[1] for r in rows], [r[0] for r in rows], [r[2] for r in rows])
     got = plain(dicts(line_frequency.judge(docs)))
-    expected = judged_by_hand([(i, t, h or "") for i, t, h in rows], 10, 5, 75)
+    expected = judged_by_hand([(i, t, h or "") for i, t, h in rows], 10, 75)
     assert got == plain(expected)
     kept = {r["doc_id"]: r["kept"] for r in expected}
     assert not kept[100] and kept[200] and kept[0] and kept[339]
 
 
+def test_the_limit_is_the_same_in_a_large_host(spark):
+    menu = "home news contact about us"
+    body = " ".join(f"word{i}" for i in range(30))
+    for others in (0, 600):
+        rows = [(i, f"{menu}\n{body} {i}", "h") for i in range(11)]
+        rows += [(100 + i, f"{body} {i} other", "h") for i in range(others)]
+        docs = documents(spark, [r[1] for r in rows], [r[0] for r in rows], ["h"] * len(rows))
+        got = by(line_frequency.judge(docs), "doc_id")
+        assert {i for i in got if got[i]["n_boilerplate_words"] == 5} == set(range(11))
+
+
 def test_empty_table_and_extra_columns(spark):
     docs = documents(spark, ["a " * 30]).selectExpr("*", "1 as words", "'x' as key", "2 as copy")
     assert line_frequency.judge(docs).count() == 1

@@ -17,7 +17,7 @@ def test_each_stage_on_the_sample(spark):
     (_, rules), (_, lines), (_, near), (_, leaks), (_, mixing) = corpus_pipeline.STAGES
 
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
-    kept = {r["doc_id"] for r in judged_by_hand(rows, 10, 5, 75) if r["kept"]}
+    kept = {r["doc_id"] for r in judged_by_hand(rows, 10, 75) if r["kept"]}
     docs = stored(rules(spark, docs, SAMPLE), "test")
     assert docs.columns == NAMES and {r["doc_id"] for r in docs.collect()} == kept
 
