@@ -9,11 +9,13 @@ after a larger one comes an empty member.
 The reader takes members or plain records as they come. Where a check fails (gzip
 checksum, header, length, digest) it looks for the next member or version line
 that passes all checks, goes on from there, and logs the bytes between as a gap.
+A round trip counts what it reads: pages that were written and not read are an error.
 """
 
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 import uuid
 import zlib
@@ -33,8 +35,7 @@ BREAK = b"\r\n\r\n"
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 SHARED_PAYLOAD_BYTES = 100
-RECORDS_PER_ARCHIVE = 20_000
-MOST_HEADER_BYTES = 1 << 20
+ARCHIVE_BYTES = 256 << 20
 GZIP_LEVEL = 3
 ROWS_PER_BATCH = 256
 BYTES_AT_ONCE = 1 << 14
@@ -117,11 +118,17 @@ def write_archives(
     pages: DataFrame,
     folder: str,
     least_bytes: int = SHARED_PAYLOAD_BYTES,
-    records_per_archive: int = RECORDS_PER_ARCHIVE,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """pages (page_id, url, html) as archives in folder; a null html is an empty payload."""
+    """pages (page_id, url, html) as archives in folder; a null html is an empty payload.
+
+    Each task cuts its members into archives by their bytes: one is closed with the
+    member that takes it to `archive_bytes`, so it is larger by one member at most.
+    White space and control characters in a url are written percent-encoded.
+    """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        archive = filled = 0
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_PER_BATCH):
                 rows = batch.slice(at, ROWS_PER_BATCH).to_pylist()
@@ -133,14 +140,22 @@ def write_archives(
                     )[:-1]
                     for r in rows
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], ["member"])
+                into = []
+                for member in packed:
+                    into.append(archive)
+                    filled += len(member) + 1
+                    if filled >= archive_bytes:
+                        archive, filled = archive + 1, 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(into, pa.int32()), pa.array(packed, pa.binary())], ["archive", "member"]
+                )
 
     (
         revisits(pages, least_bytes)
-        .mapInArrow(members, "member binary")
-        .select(F.col("member").cast("string").alias("value"))
+        .mapInArrow(members, "archive int, member binary")
+        .select("archive", F.col("member").cast("string").alias("value"))
         .write.option("lineSep", "\0")
-        .option("maxRecordsPerFile", records_per_archive)
+        .partitionBy("archive")
         .text(folder)
     )
 
@@ -151,12 +166,25 @@ def _fields(head: bytes) -> dict[str, str]:
     return {name.strip().lower(): value.strip() for name, colon, value in pairs if colon}
 
 
-def plain_record(data: bytes, at: int) -> tuple[dict, int]:
+class Breaks:
+    """The next end of a header after a place; bytes without one are searched once."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data, self.since, self.found = data, 0, -1
+
+    def after(self, at: int) -> int:
+        if not self.since <= at <= self.found:
+            found = self.data.find(BREAK, at)
+            self.since, self.found = at, len(self.data) if found < 0 else found
+        return self.found
+
+
+def plain_record(data: bytes, at: int, breaks: Breaks | None = None) -> tuple[dict, int]:
     """The record at this place and where it ends; ValueError says which check failed."""
     if not VERSION_LINE.match(data, at):
         raise ValueError("version")
-    end = data.find(BREAK, at, at + MOST_HEADER_BYTES)
-    if end < 0:
+    end = (breaks or Breaks(data)).after(at)
+    if end == len(data):
         raise ValueError("header")
     fields = _fields(data[at:end])
     if not re.fullmatch("[0-9]{1,18}", fields.get("content-length", "")):
@@ -180,10 +208,10 @@ def plain_record(data: bytes, at: int) -> tuple[dict, int]:
     return record, stop + len(BREAK)
 
 
-def records_at(data: bytes, at: int) -> tuple[list[dict], int]:
+def records_at(data: bytes, at: int, breaks: Breaks | None = None) -> tuple[list[dict], int]:
     """The records of the member at this place, or the plain record there, and where it ends."""
     if not data.startswith(MEMBER, at):
-        record, end = plain_record(data, at)
+        record, end = plain_record(data, at, breaks)
         return [record], end
     # In steps: what follows a member is copied, so it must not be the whole rest.
     unpacker, parts, fed = zlib.decompressobj(31), [], at
@@ -207,9 +235,10 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | str]]:
     at, gap, reason = 0, None, ""
     # The next member and version line, looked for again only when passed.
     member = version = -1
+    breaks = Breaks(data)
     while at < len(data):
         try:
-            found, end = records_at(data, at)
+            found, end = records_at(data, at, breaks)
         except ValueError as failed:
             if gap is None:
                 gap, reason = at, str(failed)
@@ -297,17 +326,45 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
     return archives.select("path", "content").mapInArrow(opened, READ_COLUMNS)
 
 
+class PagesLost(Exception):
+    """Pages that were written and not read back."""
+
+
+def read_back(spark: SparkSession, folder: str, written: int) -> DataFrame:
+    """The records of the archives in folder, without payloads; PagesLost if not `written` are read.
+
+    The gaps are logged: their number and bytes here, each as a row of the table
+    whose folder the message names.
+    """
+    found = stored(read_archives(spark, folder, payloads=False), "archive-log")
+    gap = F.col("gap_reason").isNotNull()
+    seen = found.agg(
+        F.count_if(~gap).alias("records"),
+        F.count_if(gap).alias("gaps"),
+        F.coalesce(F.sum(F.when(gap, F.col("end") - F.col("start"))), F.lit(0)).alias("bytes"),
+    ).first()
+    told = (
+        f"{seen['records']} of {written} records read from {folder}; {seen['gaps']} gaps of"
+        f" {seen['bytes']} bytes are listed in {found.stored_in}"
+    )
+    if seen["records"] != written:
+        raise PagesLost(told)
+    if seen["gaps"]:
+        logging.getLogger(__name__).warning(told)
+    return found.where(~gap)
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """pages written and read back: page_id, payload_bytes, payload_digest, record_type, refers_to.
 
     Null ids come back as null, repeated rows as rows of their own; columns other
-    than page_id, url and html are not archived.
+    than page_id, url and html are not archived, and urls are archived with white
+    space and control characters percent-encoded. A page that is not read back is
+    an error (PagesLost); what was skipped is logged.
     """
     spark = pages.sparkSession
     folder = new_folder(spark, "archives")
     write_archives(pages, folder)
-    return (
-        read_archives(spark, folder, payloads=False)
-        .where(F.col("gap_reason").isNull())
-        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_back(spark, folder, pages.count()).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
