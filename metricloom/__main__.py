@@ -37,8 +37,11 @@ def generate(spark: SparkSession, folder: str, customers: int, events: int, paym
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     as_of = job.utc(args.as_of or datetime.datetime.now(datetime.timezone.utc))
-    share = args.max_rejected_share
-    raw = job.load_raw(spark, args.csv, args.root, as_of.date().isoformat(), share is not None)
+    share = getattr(args, "max_rejected_share", None)
+    raw = job.load_raw(
+        spark, args.csv, args.root, as_of.date().isoformat(), share is not None,
+        getattr(args, "quoted_line_ends", False),
+    )
     report = job.run(
         spark, raw, args.root, args.run_id, as_of, args.start, args.anchors,
         args.strict_segments, not args.skip_freshness, share,
@@ -106,6 +109,7 @@ def main() -> None:
     sub.add_argument("--strict-segments", action="store_true")
     sub.add_argument("--skip-freshness", action="store_true")
     sub.add_argument("--max-rejected-share", type=float)
+    sub.add_argument("--quoted-line-ends", action="store_true")
     sub = commands.add_parser("show")
     sub.add_argument("--root", required=True)
     sub.add_argument("--run-id")

@@ -61,16 +61,21 @@ TAGS = {"kpi": ["dashboard", "executive"]}
 
 
 def load_raw(
-    spark: SparkSession, folder: str, root: str, ds: str, keep_bad: bool = False
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    ds: str,
+    keep_bad: bool = False,
+    quoted_line_ends: bool = False,
 ) -> dict[str, DataFrame]:
     """Land one run date's CSV extracts as Parquet and read them back.
 
     The text is parsed and typed once; staging, checks and freshness then read
     only the columns they need. ``keep_bad`` lands rows that do not parse as well, for
-    a run that sets bad rows apart.
+    a run that sets bad rows apart; ``quoted_line_ends`` takes values that hold line ends.
     """
     raw = {}
-    for name, df in files.read_raw(spark, folder, keep_bad).items():
+    for name, df in files.read_raw(spark, folder, keep_bad, quoted_line_ends).items():
         path = f"{root.rstrip('/')}/raw/{name}"
         files.land(files.typed(df, schemas.TYPES[name]), path, ds)
         raw[name] = files.read_landed(spark, path, ds, ds).drop("ds")

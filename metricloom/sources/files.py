@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricloom import fixed_values as fixed
-from metricloom.sources import quarantine, schemas
+from metricloom.sources import quarantine, quoted_csv, schemas
 
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 
@@ -19,7 +19,7 @@ def read_csv(
 
     With ``keep_bad`` a row with too few or too many values is kept, its text in a
     further column. A file is split between tasks at its line ends, so a value may not
-    hold one.
+    hold one; ``quoted_csv`` reads files in which some do.
     """
     mode = {"mode": "FAILFAST"}
     if keep_bad:
@@ -43,11 +43,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_raw(
-    spark: SparkSession, folder: str, keep_bad: bool = False
+    spark: SparkSession, folder: str, keep_bad: bool = False, quoted_line_ends: bool = False
 ) -> dict[str, DataFrame]:
     """The three raw sources from ``<folder>/<name>.csv``."""
+    read = quoted_csv.read_quoted_csv if quoted_line_ends else read_csv
     return {
-        name: read_csv(spark, f"{folder}/{name}.csv", schema, keep_bad)
+        name: read(spark, f"{folder}/{name}.csv", schema, keep_bad)
         for name, schema in schemas.RAW.items()
     }
 
