@@ -138,7 +138,7 @@ def test_fewest_edits():
 def test_all_passages_with_the_most_edits_are_found():
     draw = random.Random(8)
     for n in (60, 63, 100, 150, 250):
-        items = dc.Items([(i, " ".join(f"i{i}w{j}" for j in range(n))) for i in range(3)])
+        items = dc.Items([(i, " ".join(f"i{i}w{j}" for j in range(n))) for i in range(3)], exact=True)
         for kinds in (("cut",), ("cut", "swap", "add")):
             for t in [0, 1, 2] * 4:
                 w = [[x] for x in items.items[t]]
@@ -161,3 +161,54 @@ def test_short_items_and_scripts_without_spaces(spark):
     found = got(dc.find_leaks(documents(spark, texts), items_table(spark, items)))
     assert found == {(0, 1): 0, (2, 2): 1, (4, 3): 0, (6, 4): 1}
     assert dc.words_of("Tea 茶, caféสวน") == ["tea", "茶", "café", "ส", "ว", "น"]
+
+
+def edited(draw, item, kinds):
+    """A passage with as many edits as an item may have, all of them of these kinds."""
+    w = [[x] for x in item]
+    for at in draw.sample(range(len(item)), len(item) * dc.EDIT_PERCENT // 100):
+        w[at] = {"cut": [], "swap": [0], "add": [w[at][0], 0]}[draw.choice(kinds)]
+    return [x for xs in w for x in xs]
+
+
+def passages(draw, items, n, kinds, times):
+    for _ in range(times):
+        w = edited(draw, items.items[0], kinds)
+        yield np.array([0] * draw.randint(0, 90) + w + [0] * draw.randint(0, 90), np.int64)
+
+
+def test_recall_at_the_most_edits_by_length_and_kind():
+    draw = random.Random(12)
+    for n, times in ((5, 80), (20, 80), (60, 60), (150, 40), (250, 25)):
+        text = " ".join(f"w{j}" for j in range(n))
+        items, exact = dc.Items([(0, text)]), dc.Items([(0, text)], exact=True)
+        for kinds in (("cut",), ("add",), ("swap",), ("cut", "swap", "add")):
+            both = [(items.leaks(c), exact.leaks(c)) for c in passages(draw, items, n, kinds, times)]
+            assert all(e for _, e in both) and all(f in ({}, e) for f, e in both)
+            assert sum(bool(f) for f, _ in both) >= 0.95 * times, (n, kinds)
+
+
+def test_the_walks_choose_the_candidates():
+    draw = random.Random(13)
+    n = 100
+    items = dc.Items([(0, " ".join(f"w{j}" for j in range(n)))])
+    # Passages share one piece of the item only: all have windows, few are verified.
+    starts = [i * n // (items.edits[0] + 1) for i in range(items.edits[0] + 1)]
+    pieces = [np.array([0] * 120 + items.items[0][at : at + 4] + [0] * 120) for at in starts]
+    windows = [items.windows(c) for c in pieces]
+    assert all(len(t) for t, _ in windows)
+    chosen = [len(items.candidates(c, *w)) for c, w in zip(pieces, windows, strict=True)]
+    assert sum(chosen) <= 0.7 * len(pieces)
+    # Without repetitions nothing is chosen; a lower recall takes fewer and chooses less.
+    whole = [*passages(draw, items, n, ("cut", "swap", "add"), 60)]
+    low = dc.Items([(0, " ".join(f"w{j}" for j in range(n)))], recall=0.3)
+    assert low.repetitions[0] < items.repetitions[0]
+    assert sum(bool(low.leaks(c)) for c in whole) < sum(bool(items.leaks(c)) for c in whole)
+    items.sampled_items = []
+    assert not any(items.leaks(c) for c in whole)
+
+
+def test_exact_finds_all_of_the_sample(spark):
+    items, texts = planted(5, 20, 4)
+    found = got(dc.find_leaks(documents(spark, texts), items_table(spark, items), exact=True))
+    assert found == by_hand(list(enumerate(texts)), items)
