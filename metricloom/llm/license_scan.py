@@ -1,11 +1,11 @@
 """Licences in texts by a positional index of rare words.
 
-The index maps each licence word to its places in the templates. A document's
-licence words are ranked by how few documents of the corpus have them; each
-template's rarest ones vote for it at a relative position. Where enough votes
-fall together, the words there are compared with the template, and the template's
-mandatory phrases must stand in full. A template that is not found in full is voted
-on by its next words, until all of them have voted.
+The index maps each licence word to its places in the templates. A text is read in
+stretches; of each the licence words that the fewest documents of the corpus have are
+looked up, and each template's own rarest words wherever they stand. A word votes for
+the place where the template would start. Where two words agree on a place, to a few
+words, the template is a candidate there: its mandatory phrases must stand in full and
+most of its words in order. What no rare words point at is not looked at.
 """
 
 from __future__ import annotations
@@ -106,23 +106,135 @@ TEMPLATES = (
     ),
     ("cc-by", "licensed under cc by 4 0", ("cc by 4 0",)),
     ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
-)
-# Words too common to point at a licence.
-COMMON = frozenset(
-    "a above all any and are as at be by can copy except files for forms free in including is it"
-    " may not of or person source terms that the this to use with without work you 0 2 3 4 v".split()
+    (
+        "mit",
+        "the above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the software the software is provided as is without warranty of"
+        " any kind express or implied including but not limited to the warranties of"
+        " merchantability fitness for a particular purpose and noninfringement in no event shall"
+        " the authors or copyright holders be liable for any claim damages or other liability",
+        ("substantial portions of the software",),
+    ),
+    (
+        "apache-2",
+        "unless required by applicable law or agreed to in writing software distributed under the"
+        " license is distributed on an as is basis without warranties or conditions of any kind"
+        " either express or implied see the license for the specific language governing"
+        " permissions and limitations under the license",
+        ("unless required by applicable law", "specific language governing"),
+    ),
+    (
+        "bsd",
+        "redistributions of source code must retain the above copyright notice this list of"
+        " conditions and the following disclaimer 2 redistributions in binary form must reproduce"
+        " the above copyright notice this list of conditions and the following disclaimer in the"
+        " documentation and or other materials provided with the distribution",
+        ("redistributions of source code must retain", "redistributions in binary form"),
+    ),
+    (
+        "bsd-3",
+        "neither the name of the copyright holder nor the names of its contributors may be used to"
+        " endorse or promote products derived from this software without specific prior written"
+        " permission",
+        ("neither the name", "endorse or promote products"),
+    ),
+    (
+        "agpl-3",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu affero general public license as published by the free software foundation"
+        " either version 3 of the license or at your option any later version",
+        ("gnu affero general public license", "version 3"),
+    ),
+    (
+        "gpl-2",
+        "this program is free software you can redistribute it and or modify it under the terms"
+        " of the gnu general public license as published by the free software foundation either"
+        " version 2 of the license or at your option any later version",
+        ("gnu general public license", "version 2"),
+    ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms"
+        " of the gnu lesser general public license as published by the free software foundation"
+        " either version 2 1 of the license or at your option any later version",
+        ("gnu lesser general public license",),
+    ),
+    (
+        "epl-2",
+        "this program and the accompanying materials are made available under the terms of the"
+        " eclipse public license 2 0 which is available at",
+        ("eclipse public license",),
+    ),
+    (
+        "cddl",
+        "the contents of this file are subject to the terms of the common development and"
+        " distribution license you may not use this file except in compliance with the license",
+        ("common development and distribution license",),
+    ),
+    (
+        "cc0",
+        "to the extent possible under law the author s have dedicated all copyright and related"
+        " and neighboring rights to this software to the public domain worldwide",
+        ("copyright and related and neighboring rights", "public domain"),
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will"
+        " the authors be held liable for any damages arising from the use of this software"
+        " permission is granted to anyone to use this software for any purpose including"
+        " commercial applications and to alter it and redistribute it freely",
+        ("damages arising from the use of this software", "including commercial applications"),
+    ),
+    (
+        "bsl-1",
+        "permission is hereby granted free of charge to any person or organization obtaining a"
+        " copy of the software and accompanying documentation covered by this license the"
+        " software to use reproduce display distribute execute and transmit the software",
+        ("any person or organization", "reproduce display distribute execute"),
+    ),
+    (
+        "ofl-1",
+        "this font software is licensed under the sil open font license version 1 1",
+        ("sil open font license",),
+    ),
+    (
+        "postgresql",
+        "permission to use copy modify and distribute this software and its documentation for any"
+        " purpose without fee and without a written agreement is hereby granted provided that the"
+        " above copyright notice and this paragraph and the following two paragraphs appear in all"
+        " copies",
+        ("without a written agreement",),
+    ),
+    (
+        "wtfpl",
+        "everyone is permitted to copy and distribute verbatim or modified copies of this license"
+        " document and changing it is allowed as long as the name is changed",
+        ("verbatim or modified copies of this license document",),
+    ),
+    (
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software either"
+        " in source code form or as a compiled binary for any purpose commercial or non commercial"
+        " and by any means",
+        ("anyone is free to copy modify publish",),
+    ),
 )
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
-# Words of a template that vote at a time, the rarest first.
+# Words of a stretch, and how many of its licence words are looked up, the rarest first.
+STRETCH = 24
 RAREST_WORDS = 8
+# Words of each template that are looked up in every stretch, its rarest.
+KEY_WORDS = 3
 # Votes of one template this many places apart count together: a word more or less.
 SLACK = 3
 LEAST_SCORE = 0.8
+# Cells between two templates' votes: more than a text has words, before and after.
+CELLS = 1 << 40
 
 
 class Index:
-    """Templates as words, and places of each licence word that may point at them."""
+    """Templates as words, and places of each licence word in them."""
 
     def __init__(self, templates=TEMPLATES) -> None:
         self.templates = [
@@ -132,12 +244,64 @@ class Index:
         self.places: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for n, (_, words, _) in enumerate(self.templates):
             for at, word in enumerate(words):
-                if word not in COMMON:
-                    self.places[word].append((n, at))
-        # "all rights reserved" and the like: as many votes as the template can give.
-        self.most_votes = [
-            len({w for w in words if w not in COMMON}) for _, words, _ in self.templates
-        ]
+                self.places[word].append((n, at))
+
+
+class Lookup:
+    """The index as it is looked up in a corpus: words ranked by how few documents have them.
+
+    A vote is one whole number: the template's base and the place in the text where it
+    would start, in cells of SLACK words.
+    """
+
+    def __init__(self, index: Index, idf: dict[str, float]) -> None:
+        self.index = index
+        ranked = sorted(index.places, key=lambda w: (-idf.get(w, math.inf), w))
+        self.rank = {w: i for i, w in enumerate(ranked)}
+        self.offsets = {
+            w: [n * CELLS * SLACK - at for n, at in places] for w, places in index.places.items()
+        }
+        # A word's places in the templates of which it is one of the rarest.
+        self.keys: dict[str, list[int]] = defaultdict(list)
+        self.one_word = set()
+        for n, (_, words, _) in enumerate(index.templates):
+            own = sorted(set(words), key=self.rank.get)
+            if len(own) == 1:
+                self.one_word.add(n)
+            for w in own[:KEY_WORDS]:
+                self.keys[w] += [n * CELLS * SLACK - at for at, x in enumerate(words) if x == w]
+
+    def candidates(self, words: list[str]) -> dict[int, list[int]]:
+        """template -> cells in which two of the looked-up words agree, in order."""
+        rank = self.rank
+        stretches: dict[int, dict[str, list[int]]] = {}
+        for i, w in enumerate(words):
+            if w in rank:
+                stretches.setdefault(i // STRETCH, {}).setdefault(w, []).append(i)
+        agreed: set[int] = set()
+        last, before = -2, set()
+        for number, found in stretches.items():
+            # Words on both sides of a stretch's end agree too.
+            earlier = before if number == last + 1 else set()
+            seen: set[int] = set()
+            rarest = set(sorted(found, key=rank.get)[:RAREST_WORDS])
+            for w, at in found.items():
+                offsets = self.offsets[w] if w in rarest else self.keys.get(w)
+                if not offsets:
+                    continue
+                votes = {(i + x) // SLACK for i in at for x in offsets}
+                votes |= {v + 1 for v in votes}
+                agreed |= votes & seen
+                agreed |= votes & earlier
+                seen |= votes
+                if self.one_word:
+                    agreed |= {v for v in votes if (v + CELLS // 2) // CELLS in self.one_word}
+            last, before = number, seen
+        by_template: dict[int, list[int]] = defaultdict(list)
+        for v in sorted(agreed):
+            template = (v + CELLS // 2) // CELLS
+            by_template[template].append(v - template * CELLS)
+        return by_template
 
 
 def lowered(text: str) -> str:
@@ -172,70 +336,27 @@ def _common_words(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-def matches(words: list[str], index: Index, idf: dict[str, float]) -> dict[str, float]:
+def matches(words: list[str], lookup: Lookup) -> dict[str, float]:
     """label -> best score of its templates, for those that hold."""
-    at_word: dict[str, list[int]] = defaultdict(list)
-    for i, w in enumerate(words):
-        if w in index.places:
-            at_word[w].append(i)
-    if not at_word:
-        return {}
-    # Each template's words in the text, the rarest first.
-    voters: dict[int, list[tuple[str, list[int]]]] = defaultdict(list)
-    for w in sorted(at_word, key=lambda w: (-idf.get(w, math.inf), w)):
-        of_word: dict[int, list[int]] = defaultdict(list)
-        for template, at in index.places[w]:
-            of_word[template].append(at)
-        for template, ats in of_word.items():
-            voters[template].append((w, ats))
     found: dict[str, float] = {}
-    for template, ranked in voters.items():
-        label = index.templates[template][0]
-        # Fewer words than this cannot give the votes; a label found in full is settled.
-        if len(ranked) < min(2, index.most_votes[template]) or found.get(label) == 1:
-            continue
-        score = _best_score(words, index, template, ranked, at_word)
-        if score >= LEAST_SCORE:
-            found[label] = max(score, found.get(label, 0.0))
-    return found
-
-
-def _best_score(
-    words: list[str],
-    index: Index,
-    template: int,
-    ranked: list[tuple[str, list[int]]],
-    at_word: dict[str, list[int]],
-) -> float:
-    """The best score of a template, by rounds of votes of its words in the text."""
-    _, expected, phrases = index.templates[template]
-    # A text that lacks a mandatory phrase need not be voted on.
-    if not all(places_of(p, words) for p in phrases):
-        return 0.0
-    least = min(2, index.most_votes[template])
-    votes: dict[int, set[str]] = defaultdict(set)
-    best, tried = 0.0, set()
-    for first in range(0, len(ranked), RAREST_WORDS):
-        touched = set()
-        for w, ats in ranked[first : first + RAREST_WORDS]:
-            for i in at_word[w]:
-                for at in ats:
-                    votes[(i - at) // SLACK].add(w)
-                    touched.add((i - at) // SLACK)
-        for cell in sorted(touched | {c - 1 for c in touched if c - 1 in votes}):
-            if len(votes[cell] | votes.get(cell + 1, set())) < least:
+    for template, cells in lookup.candidates(words).items():
+        label, expected, phrases = lookup.index.templates[template]
+        best, passed = found.get(label, 0.0), None
+        for cell in cells:
+            if best == 1:
+                break
+            # The cell before covers this one's places.
+            if passed == cell - 1:
+                passed = None
                 continue
-            start = max(0, (cell - 1) * SLACK)
+            passed = cell
+            start = max(0, (cell - 2) * SLACK)
             end = min(len(words), (cell + 2) * SLACK + len(expected) + SLACK)
-            if (start, end) in tried:
-                continue
-            tried.add((start, end))
-            if not all(places_of(p, words, start, end) for p in phrases):
-                continue
-            best = max(best, _common_words(expected, words[start:end]) / len(expected))
-            if best == 1:
-                return best
-    return best
+            if all(places_of(p, words, start, end) for p in phrases):
+                best = max(best, _common_words(expected, words[start:end]) / len(expected))
+        if best >= LEAST_SCORE:
+            found[label] = best
+    return found
 
 
 def document_frequencies(docs: DataFrame, index: Index) -> dict[str, float]:
@@ -266,14 +387,14 @@ def document_frequencies(docs: DataFrame, index: Index) -> dict[str, float]:
     return {w: math.log((n + 1) / (df + 1)) for w, df in seen.items()}
 
 
-def _judged(text: str | None, index: Index, idf: dict[str, float], base: list) -> dict:
+def _judged(text: str | None, lookup: Lookup, base: list) -> dict:
     words = words_of(text)
     places, base_labels = [], set()
     for phrase, label in base:
         if at := places_of(phrase, words):
             places += at
             base_labels.add(label)
-    found = matches(words, index, idf)
+    found = matches(words, lookup)
     return {
         "n_words": len(words),
         "n_base": len(places),
@@ -311,13 +432,13 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     1 with a base phrase, else the best template's share of words found in order.
     """
     index = Index(templates)
-    idf = document_frequencies(docs, index)
+    lookup = Lookup(index, document_frequencies(docs, index))
     base = [(phrase.split(), label) for phrase, label in BASE]
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                {"doc_id": doc_id, **_judged(text, index, idf, base)}
+                {"doc_id": doc_id, **_judged(text, lookup, base)}
                 for doc_id, text in zip(
                     batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
                 )

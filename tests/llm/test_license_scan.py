@@ -1,5 +1,6 @@
 """Licences: base places against plain search, and templates with small changes."""
 
+import random
 import re
 
 from helpers import SAMPLE, by, dicts, documents, lower
@@ -98,3 +99,70 @@ def test_licences_among_commoner_and_rarer_words(spark):
     assert set(three) <= set(got[0]["labels"].split(","))
     assert got[1]["labels"] == "mit" and 0.8 <= got[1]["score"] < 1
     assert got[2]["labels"] == "all-rights-reserved,gpl-3" and got[2]["score"] == 1
+
+
+def by_every_place(words, index):
+    """Labels and scores of all templates at all places of a text."""
+    found = {}
+    for label, expected, phrases in index.templates:
+        for at in range(-len(expected), len(words)):
+            part = words[max(0, at) : at + len(expected) + 2 * ls.SLACK]
+            if all(ls.places_of(p, part) for p in phrases):
+                score = ls._common_words(expected, part) / len(expected)
+                if score >= ls.LEAST_SCORE:
+                    found[label] = max(score, found.get(label, 0))
+    return found
+
+
+def licensed_texts(seed, n):
+    """Prose with licences of which some words are changed, cut or added."""
+    draw = random.Random(seed)
+    prose = "the of and to in a is that it this software code you may use license any free rights".split()
+    texts = []
+    for _ in range(n):
+        words = [draw.choice(prose) for _ in range(draw.randint(0, 60))]
+        for _ in range(draw.randint(0, 3)):
+            text = draw.choice(ls.TEMPLATES)[1].split()
+            for _ in range(draw.randint(0, len(text) // 12)):
+                at = draw.randrange(len(text))
+                text[at : at + 1] = draw.choice(([], ["new"], [text[at], "new"]))
+            words += text + [draw.choice(prose) for _ in range(draw.randint(0, 60))]
+        texts.append(words)
+    return texts
+
+
+def frequencies(texts):
+    index = ls.Index()
+    n_of = {w: sum(w in t for t in map(set, texts)) for w in index.places}
+    return index, {w: ls.math.log((len(texts) + 1) / (n + 1)) for w, n in n_of.items()}
+
+
+def test_rare_words_find_what_every_place_gives():
+    texts = licensed_texts(1, 250)
+    index, idf = frequencies(texts)
+    lookup = ls.Lookup(index, idf)
+    expected = [by_every_place(t, index) for t in texts]
+    got = [ls.matches(t, lookup) for t in texts]
+    n = sum(map(len, expected))
+    assert n > 300
+    missed = [(i, x) for i, e in enumerate(expected) for x in e if x not in got[i]]
+    assert len(missed) <= 0.01 * n, missed
+    # A candidate's piece is a little longer than the template, so a word more may agree.
+    assert all(got[i][x] >= e[x] for i, e in enumerate(expected) for x in e if x in got[i])
+
+
+def test_frequencies_decide_what_is_looked_at():
+    texts = licensed_texts(2, 200)
+    index, idf = frequencies(texts)
+    ranked, turned = ls.Lookup(index, idf), ls.Lookup(index, {w: -x for w, x in idf.items()})
+    places = [[x.candidates(t) for t in texts] for x in (ranked, turned)]
+    assert places[0] != places[1]
+    looked_at = [sum(len(cells) for found in x for cells in found.values()) for x in places]
+    assert looked_at[0] < 0.8 * looked_at[1]
+
+
+def test_a_template_of_one_word(spark):
+    templates = [("own", "proprietary", ("proprietary",)), *ls.TEMPLATES]
+    texts = ["this is proprietary", "this is not", "proprietary"]
+    got = by(ls.scan_licenses(documents(spark, texts), templates), "doc_id")
+    assert [got[i]["labels"] for i in range(3)] == ["own", "", "own"]
