@@ -222,8 +222,8 @@ TEMPLATES = (
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 # Words of a stretch, and how many of its licence words are looked up, the rarest first.
-STRETCH = 24
-RAREST_WORDS = 8
+STRETCH = 32
+RAREST_WORDS = 3
 # Words of each template that are looked up in every stretch, its rarest.
 KEY_WORDS = 3
 # Votes of one template this many places apart count together: a word more or less.
@@ -273,30 +273,34 @@ class Lookup:
 
     def candidates(self, words: list[str]) -> dict[int, list[int]]:
         """template -> cells in which two of the looked-up words agree, in order."""
-        rank = self.rank
+        rank, most = self.rank, RAREST_WORDS
         stretches: dict[int, dict[str, list[int]]] = {}
         for i, w in enumerate(words):
             if w in rank:
                 stretches.setdefault(i // STRETCH, {}).setdefault(w, []).append(i)
         agreed: set[int] = set()
-        last, before = -2, set()
+        last, near = -2, set()
         for number, found in stretches.items():
             # Words on both sides of a stretch's end agree too.
-            earlier = before if number == last + 1 else set()
+            if number != last + 1:
+                near = set()
+            looked_up = [
+                (self.offsets[w] if n < most else self.keys[w], found[w])
+                for n, w in enumerate(sorted(found, key=rank.get))
+                if n < most or w in self.keys
+            ]
+            # Few places first: the many are only compared with cells beside those seen.
+            looked_up.sort(key=lambda x: len(x[0]) * len(x[1]))
             seen: set[int] = set()
-            rarest = set(sorted(found, key=rank.get)[:RAREST_WORDS])
-            for w, at in found.items():
-                offsets = self.offsets[w] if w in rarest else self.keys.get(w)
-                if not offsets:
-                    continue
+            for offsets, at in looked_up:
                 votes = {(i + x) // SLACK for i in at for x in offsets}
-                votes |= {v + 1 for v in votes}
-                agreed |= votes & seen
-                agreed |= votes & earlier
-                seen |= votes
+                agreed |= votes & near
                 if self.one_word:
                     agreed |= {v for v in votes if (v + CELLS // 2) // CELLS in self.one_word}
-            last, before = number, seen
+                beside = votes | {v + 1 for v in votes} | {v - 1 for v in votes}
+                near = near | beside
+                seen |= beside
+            last, near = number, seen
         by_template: dict[int, list[int]] = defaultdict(list)
         for v in sorted(agreed):
             template = (v + CELLS // 2) // CELLS
@@ -351,7 +355,7 @@ def matches(words: list[str], lookup: Lookup) -> dict[str, float]:
                 continue
             passed = cell
             start = max(0, (cell - 2) * SLACK)
-            end = min(len(words), (cell + 2) * SLACK + len(expected) + SLACK)
+            end = min(len(words), (cell + 3) * SLACK + len(expected) + SLACK)
             if all(places_of(p, words, start, end) for p in phrases):
                 best = max(best, _common_words(expected, words[start:end]) / len(expected))
         if best >= LEAST_SCORE:
