@@ -1,27 +1,31 @@
 """Main text of web pages by wrappers inferred per host.
 
-A page's token stream has its block elements and text slots. A wrapper is a
-union-free regular expression over such streams: tokens, text slots, optional
-groups and repeated groups. Streams of the same host are aligned one after the
-other; what does not align becomes optional, what comes again becomes a repeated
-group. Each task first folds its own pages per host, then the partial wrappers of
-a host are folded, so a host with a third of all pages sends a few rows.
-
-The wrapper's text slots, with how much text went through each, tell which element
-holds the article; each page's text is what lies in that element, without the
-parts that are never article text.
+A page's token stream has its block elements and texts. A wrapper is a union-free
+regular expression over such streams: elements, text slots, optional groups and
+repeated groups, each from a start tag to its end tag. Streams of a host are aligned
+element by element: the same tag and class under aligned parents is the same element.
+What a parent lacks becomes optional, what comes again under one parent becomes a
+repeated group. A text that all pages of the host have at a place is part of the
+template; where pages differ there is a slot. All of this is counts, so wrappers are
+summed in any order and a host with a third of all pages sends a row per element and
+text of a task.
+
+The slots, with how much text went through each, tell which element holds the article.
+A page's text is what lies in that element, without the template's texts and the parts
+that are never article text.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricloom.llm.storage import stored
@@ -43,7 +47,7 @@ ENDS_PARAGRAPH = frozenset(
 )
 ENDS_SAME = frozenset("p li dt dd tr td th option".split())
 NEVER_TEXT = frozenset(
-    "nav header footer aside form button select option head object svg canvas dialog menu"
+    "nav header footer aside button select option head object svg canvas dialog menu"
     " template script style noscript iframe textarea title".split()
 )
 NEVER_NAMES = frozenset(
@@ -51,13 +55,14 @@ NEVER_NAMES = frozenset(
     " cookie cookies consent notice notices comment comments commentlist disqus reply replies"
     " respond sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead"
     " share sharing social related recommended newsletter subscribe popup modal widget widgets"
-    " pagination pager login signup search".split()
+    " pagination pager login signup search feedback teaser teasers".split()
 )
 # Words that say nothing beside one of these: "site-footer" is a footer, "has-sidebar" is not a sidebar.
 PLAIN_NAMES = frozenset(
     "site page main global top bottom left right center primary secondary upper lower box block"
     " bar container wrapper wrap inner outer area section zone list item items entry post article"
-    " link links button buttons icon icons form slot unit thread title text toggle panel".split()
+    " link links button buttons icon icons form slot unit thread title text toggle panel user users"
+    " reader readers visitor visitors".split()
 )
 NEVER_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split()
@@ -76,8 +81,10 @@ TOKEN = re.compile(
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[a-z0-9]+")
-LONGEST_GROUP = 24
-SHAPES_PER_TASK = 5000
+# A text at a place is the template's if all of so many pages or more have it there.
+LEAST_PAGES = 10
+# Elements and texts that a task counts before it sends them.
+ROWS_AT_ONCE = 200_000
 
 
 # Why an element is never text: its names, which may be wrong, or what it is.
@@ -106,26 +113,80 @@ def _attributes(rest: str) -> tuple[str, int]:
     return name, never
 
 
+ROOT, SLOT = 0, "#"
+# An element of a page or wrapper: its parent, tag and class, pages that have it, how often
+# it comes, parents that have it, most under one parent, sum over pages of its place among
+# its parent's elements, characters in it.
+PARENT, STEP, PAGES, TIMES, PARENTS, MOST, PLACE, HELD = range(8)
+
+
+def child(node: int, step: str) -> int:
+    """The number of an element or text in a node; the same on every page."""
+    n = xxhash.xxh64_intdigest(step, seed=node & (1 << 64) - 1)
+    return n - (1 << 64) if n >> 63 else n
+
+
+class Tree:
+    """The elements of one page that hold text, aligned with each other."""
+
+    def __init__(self) -> None:
+        self.nodes: dict[int, list] = {}
+        self.texts: dict[int, tuple[int, int]] = {}
+        self.open: list[tuple[int, dict[int, int]]] = [(ROOT, {})]
+
+    def start(self, step: str) -> int:
+        parent, inside = self.open[-1]
+        at = child(parent, step)
+        if at not in self.nodes:
+            self.nodes[at] = [parent, step, 1, 0, 0, 0, len(inside), 0]
+        n = inside[at] = inside.get(at, 0) + 1
+        node = self.nodes[at]
+        node[TIMES] += 1
+        node[PARENTS] += n == 1
+        node[MOST] = max(node[MOST], n)
+        self.open.append((at, {}))
+        return at
+
+    def end(self) -> None:
+        self.open.pop()
+
+    def text(self, text: str) -> int:
+        """Adds a text to the innermost open element, and returns that."""
+        at = self.open[-1][0]
+        self.nodes[self.start(SLOT)][HELD] += len(text)
+        self.end()
+        self.texts[child(at, text)] = at, len(text)
+        return at
+
+    def holding(self) -> dict[int, list]:
+        """The elements that hold text, with how much."""
+        held = {at: node[HELD] for at, node in self.nodes.items()}
+        # A parent comes before what is in it.
+        for at, node in reversed(self.nodes.items()):
+            if node[PARENT] != ROOT:
+                held[node[PARENT]] += held[at]
+        return {at: [*n[:HELD], held[at]] for at, n in self.nodes.items() if held[at]}
+
+
 class Page:
-    """The blocks of a page as (path, text), and its token stream.
+    """The blocks of a page as (element, text), and its tree.
 
-    An article or main is text whatever the names of the elements around it, unless
-    these lie in an article or main themselves. Without ``names``, no block element's
-    names count.
+    An article or main is text whatever the names of the elements around it, and in a
+    form, unless these lie in an article or main themselves. Without ``names``, no
+    block element's names count, and forms are like other elements.
     """
 
     def __init__(self, source: str, names: bool = True) -> None:
         self.names, self.named = names, False
-        self.blocks: list[tuple[str, str]] = []
-        self.stream: list[str] = []
-        self.slots: list[int] = []
-        # Open elements: tag, path, why it or what it lies in is never text, and whether
-        # the stream has it.
-        self.open: list[tuple[str, str, int, bool]] = [("", "", 0, False)]
+        self.blocks: list[tuple[int, str]] = []
+        self.tree = Tree()
+        # Open elements: tag, why it or what it lies in is never text, and whether the
+        # tree has it.
+        self.open: list[tuple[str, int, bool]] = [("", 0, False)]
         self.pieces: list[str] = []
         for token in TOKEN.finditer(source):
             if token["text"] is not None:
-                if not self.open[-1][2]:
+                if not self.open[-1][1]:
                     self.pieces.append(token["text"])
             elif tag := token["tag"] or token["tag2"]:
                 rest = token["rest"] if token["tag"] else token["rest2"]
@@ -142,23 +203,20 @@ class Page:
             text = " ".join(html.unescape("".join(self.pieces)).split())
             self.pieces = []
             if text:
-                self.blocks.append((self.open[-1][1], text))
-                self.stream.append("#")
-                self.slots.append(len(text))
+                self.blocks.append((self.tree.text(text), text))
 
     def _pop(self) -> None:
-        _, path, _, shown = self.open.pop()
-        if shown:
-            self.stream.append("/" + path.rpartition("/")[2])
+        if self.open.pop()[2]:
+            self.tree.end()
 
     def _start(self, tag: str, rest: str) -> None:
         if tag in INLINE and tag != "br":
             # An inline element matters only if it is never text, or lies in the same.
             if tag in VOID or rest.endswith("/"):
                 return
-            outer, path, never, _ = self.open[-1]
+            outer, never, _ = self.open[-1]
             if (never and outer == tag) or (rest and _attributes(rest)[1]):
-                self.open.append((tag, path, BY_KIND, False))
+                self.open.append((tag, BY_KIND, False))
             return
         if tag == "br":
             self.pieces.append(" ")
@@ -174,20 +232,22 @@ class Page:
         elif tag in MAIN_TAGS:
             # "post comments-open" is an article, "comment-body" is not.
             never = BY_NAME * (not NEVER_NAMES.isdisjoint(NAME.findall(name)[:1]))
+        elif tag == "form":
+            never = max(never, BY_NAME)
         if never == BY_NAME:
             self.named = True
             never *= self.names
         if tag in NEVER_TEXT:
             never = BY_KIND
         step = tag + ("." + name if name else "")
-        _, path, above, _ = self.open[-1]
+        above = self.open[-1][1]
         if above == BY_NAME and tag in MAIN_TAGS and not never:
-            above = BY_NAME * any(t in MAIN_TAGS and not why for t, _, why, _ in self.open)
+            above = BY_NAME * any(t in MAIN_TAGS and not why for t, why, _ in self.open)
         if above:
-            self.open.append((tag, path, max(above, never), False))
+            self.open.append((tag, max(above, never), False))
             return
-        self.stream.append(step)
-        self.open.append((tag, f"{path}/{step}", never, True))
+        self.tree.start(step)
+        self.open.append((tag, never, True))
 
     def _imply(self, tag: str) -> None:
         """Ends an open paragraph, or the open item that this one follows."""
@@ -208,254 +268,243 @@ class Page:
             self._pop()
 
 
-# A wrapper is a list of nodes: ["t", token], ["#", characters], ["?", nodes], ["+", nodes].
-
-
-def shape(nodes: list) -> str:
-    return " ".join(
-        n[1] if n[0] == "t" else "#" if n[0] == "#" else f"({shape(n[1])}){n[0]}" for n in nodes
-    )
-
-
-def add_texts(into: list, other: list) -> None:
-    """Adds the characters of a wrapper of the same shape."""
-    for a, b in zip(into, other, strict=True):
-        if a[0] == "#":
-            a[1] += b[1]
-        elif a[0] in "?+":
-            add_texts(a[1], b[1])
-
-
-def repeated(nodes: list) -> list:
-    """Neighbouring groups of the same shape become one repeated group, short groups first."""
-    for size in range(1, LONGEST_GROUP + 1):
-        shapes = [shape([n]) for n in nodes]
-        out, at = [], 0
-        while at < len(nodes):
-            end = at + size
-            while end + size <= len(nodes) and shapes[at : at + size] == shapes[end : end + size]:
-                end += size
-            if end > at + size and (size > 1 or nodes[at][0] != "+"):
-                group = nodes[at : at + size]
-                for more in range(at + size, end, size):
-                    add_texts(group, nodes[more : more + size])
-                out.append(["+", group])
-                at = end
-            else:
-                out.append(nodes[at])
-                at += 1
-        nodes = out
-        if size > len(nodes):
-            break
-    return nodes
-
-
-def _groups(nodes: list) -> dict[str, int]:
-    """Shapes of the repeated groups, with their lengths."""
-    found = {}
-    for n in nodes:
-        if n[0] == "+":
-            found[shape(n[1])] = len(n[1])
-        if n[0] in "?+":
-            found |= _groups(n[1])
-    return found
-
-
-def once_is_repeated(nodes: list, groups: dict[str, int]) -> list:
-    """A single occurrence of a group that elsewhere repeats becomes that group."""
-    for text, size in sorted(groups.items(), key=lambda g: (g[1], g[0])):
-        out, at = [], 0
-        while at < len(nodes):
-            part = nodes[at : at + size]
-            if len(part) == size and shape(part) == text:
-                out.append(["+", part])
-                at += size
-            else:
-                out.append(nodes[at])
-                at += 1
-        nodes = out
-    return nodes
-
-
-def aligned(a: list, b: list) -> list:
-    """The wrapper of two: longest common alignment, the rest optional."""
-    groups = _groups(a) | _groups(b)
-    a, b = once_is_repeated(a, groups), once_is_repeated(b, groups)
-
-    def key(n: list) -> str:
-        inner = n
-        while inner[0] == "?":
-            if len(inner[1]) != 1:
-                return shape(inner[1])
-            inner = inner[1][0]
-        return shape([inner])
-
-    ka, kb = [key(n) for n in a], [key(n) for n in b]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = (
-                best[i + 1][j + 1] + 1
-                if ka[i] == kb[j]
-                else max(best[i + 1][j], best[i][j + 1])
-            )
-    out: list = []
-
-    def optional(n: list) -> None:
-        if n[0] == "?":
-            out.append(n)
-        elif out and out[-1][0] == "?" and out[-1][2:] == ["open"]:
-            out[-1][1].append(n)
-        else:
-            out.append(["?", [n], "open"])
-
-    i = j = 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and ka[i] == kb[j]:
-            out.append(_both(a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif j == len(b) or (i < len(a) and best[i + 1][j] >= best[i][j + 1]):
-            optional(a[i])
-            i += 1
-        else:
-            optional(b[j])
-            j += 1
-    return [n[:2] for n in out]
-
-
-def _both(a: list, b: list) -> list:
-    """Two nodes with the same key: optional if one of them is."""
-    inner_a, inner_b = (n[1] if n[0] == "?" else [n] for n in (a, b))
-    while len(inner_a) == 1 and inner_a[0][0] == "?":
-        inner_a = inner_a[0][1]
-    while len(inner_b) == 1 and inner_b[0][0] == "?":
-        inner_b = inner_b[0][1]
-    add_texts(inner_a, inner_b)
-    return ["?", inner_a] if "?" in (a[0], b[0]) else inner_a[0]
-
-
 def page_of(source: str | None) -> Page:
     """The page; if names leave nothing of it, the page read without them."""
     page = Page(source or "")
     return Page(source or "", names=False) if page.named and not page.blocks else page
 
 
-def stream_wrapper(page: Page) -> list:
-    slots = iter(page.slots)
-    return repeated([["#", next(slots)] if t == "#" else ["t", t] for t in page.stream])
+def add(into: dict[int, list], nodes: dict[int, list]) -> None:
+    """Aligns a page's or wrapper's elements with a wrapper's."""
+    for at, node in nodes.items():
+        if (known := into.get(at)) is None:
+            into[at] = list(node)
+            continue
+        for i in (PAGES, TIMES, PARENTS, PLACE, HELD):
+            known[i] += node[i]
+        known[MOST] = max(known[MOST], node[MOST])
+
+
+def _children(nodes: dict[int, list]) -> dict[int, list[int]]:
+    """Each element's own, in the order in which most pages have them."""
+    inside: dict[int, list[int]] = defaultdict(list)
+    for at, node in sorted(nodes.items(), key=lambda x: (x[1][PLACE] / x[1][PAGES], x[1][STEP])):
+        inside[node[PARENT]].append(at)
+    return inside
+
+
+def expression(nodes: dict[int, list]) -> str:
+    """The wrapper as a regular expression: ? optional, + repeated, * both, # a text."""
+    inside, out = _children(nodes), []
+    left: list[int | str] = list(reversed(inside[ROOT]))
+    while left:
+        at = left.pop()
+        if isinstance(at, str):
+            out.append(at)
+            continue
+        parent, step, *_ = node = nodes[at]
+        optional = parent in nodes and node[PARENTS] < nodes[parent][TIMES]
+        again = node[MOST] > 1
+        mark = "*" if optional and again else "+" if again else "?" if optional else ""
+        start, end = "(" * bool(mark), ")" * bool(mark) + mark
+        if step == SLOT:
+            out.append(start + step + end)
+        else:
+            out.append(start + step)
+            left.append(f"/{step}{end}")
+            left += reversed(inside[at])
+    return " ".join(out)
 
 
-def folded(wrappers: list[list]) -> list:
-    """One wrapper for all: the same shapes added up, then aligned, the most text first."""
-    kinds: dict[str, list] = {}
-    for w in wrappers:
-        if (s := shape(w)) in kinds:
-            add_texts(kinds[s], w)
-        else:
-            kinds[s] = w
-    order = sorted(kinds.items(), key=lambda k: (-sum(c for _, c in slots_of(k[1])), k[0]))
-    out: list = []
-    for _, w in order:
-        out = repeated(aligned(out, w)) if out else w
-    return out
-
-
-def slots_of(nodes: list, path: list[str] | None = None) -> list[tuple[str, int]]:
-    """(path, characters) of each text slot."""
-    path, found = [] if path is None else path, []
-    for n in nodes:
-        if n[0] == "#":
-            found.append(("/" + "/".join(path), n[1]))
-        elif n[0] in "?+":
-            found += slots_of(n[1], path)
-        elif n[1].startswith("/"):
-            if path:
-                path.pop()
-        else:
-            path.append(n[1])
-    return found
+def path_of(nodes: dict[int, list], at: int) -> str:
+    steps = []
+    while at != ROOT:
+        steps.append(nodes[at][STEP])
+        at = nodes[at][PARENT]
+    return "".join("/" + step for step in reversed(steps))
 
 
-def main_path(wrapper: list) -> str:
-    """Path of the element that holds the article: article or main, else the one with most text.
+def main_element(nodes: dict[int, list], fixed: dict[int, int] | None = None) -> int:
+    """The element that holds the article: article or main, else the one with most text.
 
-    A main is preferred to an article that holds less than half of its text.
-    An element has the text of its own slots and of its children's; on the way
-    down, a child that holds most of what its parent does is the better choice.
+    ``fixed`` has the characters of the template's texts by element; they do not count
+    where others are left. A main is preferred to an article that holds less than half
+    of its text. On the way down, an element that holds most of what its parent does is
+    the better choice.
     """
-    held: dict[str, int] = {}
-    for path, characters in slots_of(wrapper):
-        steps = path.split("/")[1:]
-        for n in range(1, len(steps) + 1):
-            at = "/" + "/".join(steps[:n])
-            held[at] = held.get(at, 0) + characters
+    held = {at: node[HELD] for at, node in nodes.items() if node[STEP] != SLOT}
+    for at, characters in (fixed or {}).items():
+        while at != ROOT:
+            held[at] -= characters
+            at = nodes[at][PARENT]
+    held = {at: n for at, n in held.items() if n > 0}
+    if not held:
+        return main_element(nodes) if fixed else ROOT
+    depth: dict[int, int] = {ROOT: 0}
+    inside: dict[int, list[int]] = defaultdict(list)
+    for at in held:
+        way = [at]
+        while way[-1] not in depth:
+            way.append(nodes[way[-1]][PARENT])
+        for outer, inner in zip(way[:0:-1], way[-2::-1], strict=True):
+            depth[inner] = depth[outer] + 1
+        inside[nodes[at][PARENT]].append(at)
     article, main = (
         max(
-            (p for p in held if re.split(r"[./]", p.rpartition("/")[2])[0] == tag),
-            key=lambda p: (held[p], -len(p)),
-            default="",
+            (at for at in held if nodes[at][STEP].partition(".")[0] == tag),
+            key=lambda at: (held[at], -depth[at], at),
+            default=ROOT,
         )
         for tag in MAIN_TAGS
     )
     if article or main:
         return article if 2 * held.get(article, 0) >= held.get(main, 0) else main
-    best = ""
-    while True:
-        inner = [p for p in held if p.rpartition("/")[0] == best]
-        top = max(inner, key=lambda p: (held[p], p), default=None)
-        deeper = top and any(p.startswith(top + "/") for p in held)
-        if not top or not deeper or 2 * held[top] < held.get(best, held[top]):
-            return best
+    best = ROOT
+    while inside[best]:
+        top = max(inside[best], key=lambda at: (held[at], nodes[at][STEP]))
+        if not inside[top] or 2 * held[top] < held.get(best, held[top]):
+            break
         best = top
+    return best
+
 
+def main_text(source: str | None, main: int | None, fixed: list[int] | None = None) -> str:
+    """The text blocks in the wrapper's main element, else those in the page's own.
 
-def main_text(source: str | None, main: str | None) -> str:
-    """The text blocks in the wrapper's main element, else those in the page's own."""
+    Blocks of the template's texts go, unless they are most of the text: then the page is
+    one of few articles that the host has many copies of.
+    """
     page = page_of(source)
-    inside = [t for p, t in page.blocks if main is not None and (p + "/").startswith(main + "/")]
-    if not inside and page.blocks:
-        own = main_path(stream_wrapper(page))
-        inside = [t for p, t in page.blocks if (p + "/").startswith(own + "/")]
-    return "\n".join(inside)
+    if not page.blocks:
+        return ""
+    holds = {ROOT: main == ROOT}
+
+    def inside(at: int) -> bool:
+        way = []
+        while at not in holds and at != main:
+            way.append(at)
+            at = page.tree.nodes[at][PARENT]
+        within = at == main or holds[at]
+        holds.update(dict.fromkeys(way, within))
+        return within
+
+    found = [(at, t) for at, t in page.blocks if inside(at)] if main is not None else []
+    if not found:
+        main = main_element(page.tree.holding())
+        holds = {ROOT: main == ROOT}
+        found = [(at, t) for at, t in page.blocks if inside(at)]
+    elif fixed:
+        template = set(fixed)
+        own = [(at, t) for at, t in found if child(at, t) not in template]
+        if 2 * sum(len(t) for _, t in own) >= sum(len(t) for _, t in found):
+            found = own
+    return "\n".join(t for _, t in found)
+
+
+COUNTED = (
+    "host string, node long, key long, parent long, step string, pages long, times long,"
+    " parents long, most long, place long, held long"
+)
 
 
-def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, main): wrapper as JSON, from all pages of the host."""
+def _counted(pages: DataFrame) -> DataFrame:
+    """Rows of elements (key null) and of their texts, summed by host."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: dict[tuple[str, str], list] = {}
+        hosts: dict[str | None, dict[int, list]] = defaultdict(dict)
+        texts: dict[tuple, list[int]] = {}
+        n = 0
 
         def rows() -> pa.RecordBatch:
-            hosts: dict[str, list] = {}
-            for (host, _), wrapper in kinds.items():
-                hosts.setdefault(host, []).append(wrapper)
-            made = {host: json.dumps(folded(ws)) for host, ws in hosts.items()}
-            kinds.clear()
-            return pa.RecordBatch.from_pydict({"host": list(made), "wrapper": list(made.values())})
+            found = [(h, at, None, *node) for h, nodes in hosts.items() for at, node in nodes.items()]
+            found += [(h, at, key, None, None, times, 0, 0, 0, 0, size) for (h, key), (at, times, size) in texts.items()]
+            hosts.clear()
+            texts.clear()
+            names = [c.split()[0] for c in COUNTED.split(",")]
+            kinds = [pa.string() if c.endswith("string") else pa.int64() for c in COUNTED.split(",")]
+            columns = list(zip(*found, strict=True))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
+            )
 
         for batch in batches:
             for host, source in zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True):
-                wrapper = stream_wrapper(page_of(source))
-                at = (host, shape(wrapper))
-                if at in kinds:
-                    add_texts(kinds[at], wrapper)
-                else:
-                    kinds[at] = wrapper
-                if len(kinds) >= SHAPES_PER_TASK:
-                    yield rows()
-        if kinds:
+                tree = page_of(source).tree
+                add(hosts[host], tree.holding())
+                for key, (at, size) in tree.texts.items():
+                    row = texts.setdefault((host, key), [at, 0, 0])
+                    row[1] += 1
+                    row[2] += size
+                n += len(tree.texts) + len(tree.nodes)
+                if n >= ROWS_AT_ONCE:
+                    n = 0
+                    if any(hosts.values()):
+                        yield rows()
+        if any(hosts.values()):
             yield rows()
 
+    summed = ("pages", "times", "parents", "place", "held")
+    return (
+        pages.select(host_of(F.col("url")).alias("host"), "html")
+        .mapInArrow(partial, COUNTED)
+        .groupBy("host", "node", "key")
+        .agg(
+            F.first("parent").alias("parent"),
+            F.first("step").alias("step"),
+            F.max("most").alias("most"),
+            *[F.sum(c).alias(c) for c in summed],
+        )
+    )
+
+
+def infer_wrappers(pages: DataFrame) -> DataFrame:
+    """(host, wrapper, main, main_node, fixed), from all pages of the host.
+
+    The wrapper is written as a regular expression, main is the path of its main element
+    and fixed has the template's texts in it, by number. A host's row is made from its
+    distinct elements and template texts.
+    """
+
     def whole(part: pd.DataFrame) -> pd.DataFrame:
-        wrapper = folded([json.loads(w) for w in sorted(part["wrapper"])])
+        is_node = part["key"].isna()
+        columns = ["parent", "step", "pages", "times", "parents", "most", "place", "held"]
+        nodes = {
+            int(at): [int(row[0]), row[1], *map(int, row[2:])]
+            for at, *row in part.loc[is_node, ["node", *columns]].itertuples(index=False)
+        }
+        fixed: dict[int, int] = defaultdict(int)
+        keys = []
+        for at, key, held in part.loc[~is_node, ["node", "text_key", "held"]].itertuples(index=False):
+            fixed[int(at)] += int(held)
+            keys.append(int(key))
+        main = main_element(nodes, dict(fixed))
         return pd.DataFrame(
-            {"host": [part["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "main": [main_path(wrapper)]}
+            {
+                "host": [part["host"].iloc[0]],
+                "wrapper": [expression(nodes)],
+                "main": [path_of(nodes, main)],
+                "main_node": [main],
+                "fixed": [sorted(keys)],
+            }
         )
 
-    partials = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        partial, "host string, wrapper string"
+    counted = _counted(pages).where(F.col("key").isNull() | (F.col("pages") >= LEAST_PAGES))
+    # A text directly in the page has no element; it is held against all that are.
+    of_element = F.max(F.when(F.col("key").isNull(), F.col("pages"))).over(
+        Window.partitionBy("host", "node")
+    )
+    # Numbers of texts as strings: they must not pass through floating point beside nulls.
+    kept = (
+        counted.withColumn("of_element", of_element)
+        .where(F.col("key").isNull() | (F.col("pages") == F.col("of_element")))
+        .withColumn("text_key", F.col("key").cast("string"))
+        .withColumn("key", F.col("text_key"))
+        .withColumn("parent", F.coalesce("parent", F.lit(ROOT)))
+        .drop("of_element")
+    )
+    return kept.groupBy("host").applyInPandas(
+        whole, "host string, wrapper string, main string, main_node long, fixed array<long>"
     )
-    return partials.groupBy("host").applyInPandas(whole, "host string, wrapper string, main string")
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -471,20 +520,16 @@ def extract_text(pages: DataFrame) -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, urls = batch.column(0), batch.column(1)
-            found = [
-                main_text(source, main)
-                for source, main in zip(
-                    batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True
-                )
-            ]
+            rest = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            found = [main_text(*row) for row in zip(*rest, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [ids, urls, pa.array(found, pa.string())], ["page_id", "url", "text"]
             )
 
     placed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     return (
-        placed.join(wrappers.select("host", "main"), "host", "left")
-        .select("page_id", "url", "html", "main")
+        placed.join(wrappers.select("host", "main_node", "fixed"), "host", "left")
+        .select("page_id", "url", "html", "main_node", "fixed")
         .mapInArrow(texts, "page_id long, url string, text string")
         .withColumn("n_chars", F.length("text").cast("long"))
     )

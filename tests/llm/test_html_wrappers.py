@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 from helpers import SAMPLE, by, pages
 from metricloom.llm import html_wrappers as hw
@@ -91,23 +92,110 @@ def test_edge_pages(spark):
 
 
 def nodes(stream):
-    return hw.repeated([["#", 1] if t == "#" else ["t", t] for t in stream.split()])
+    tree = hw.Tree()
+    for t in stream.split():
+        if t == "#":
+            tree.text("x")
+        elif t[0] == "/":
+            tree.end()
+        else:
+            tree.start(t)
+    return tree.holding()
+
+
+def folded(streams):
+    out = {}
+    for s in streams:
+        hw.add(out, s)
+    return out
 
 
 def test_alignment_makes_groups_and_options():
     one = nodes("div p # /p p # /p /div")
-    assert hw.shape(one) == "div (p # /p)+ /div"
-    both = hw.folded([one, nodes("div h1 # /h1 p # /p /div"), nodes("div p # /p ul li # /li li # /li /ul /div")])
-    assert hw.shape(both) == "div (h1 # /h1)? (p # /p)+ (ul (li # /li)+ /ul)? /div"
-    assert sum(c for _, c in hw.slots_of(both)) == 7
+    assert hw.expression(one) == "div (p # /p)+ /div"
+    streams = [one, nodes("div h1 # /h1 p # /p /div"), nodes("div p # /p ul li # /li li # /li /ul /div")]
+    both = folded(streams)
+    assert hw.expression(both) == "div (h1 # /h1)? (p # /p)+ (ul (li # /li)+ /ul)? /div"
+    assert sum(n[hw.HELD] for n in both.values() if n[hw.STEP] == "#") == 7
+    some = folded([nodes("div p # /p p # /p /div"), nodes("div # /div")])
+    assert hw.expression(some) == "div (#)? (p # /p)* /div"
+    for order in ((2, 0, 1), (1, 2, 0), (2, 1, 0)):
+        parts = [folded([streams[i]]) for i in order]
+        assert folded([folded(parts[:2]), parts[2]]) == folded([parts[0], folded(parts[1:])]) == both
 
 
 def test_order_of_pages_does_not_change_the_main_element():
     streams = [nodes(f"nav # /nav article h1 # /h1 {'p # /p ' * n}/article") for n in range(1, 5)]
-    for _ in range(5):
-        random.Random(3).shuffle(streams)
-        again = [nodes(f"nav # /nav article h1 # /h1 {'p # /p ' * n}/article") for n in (2, 1, 4, 3)]
-        assert hw.main_path(hw.folded(again)) == "/article"
+    for seed in range(5):
+        random.Random(seed).shuffle(streams)
+        wrapper = folded(streams)
+        assert hw.path_of(wrapper, hw.main_element(wrapper)) == "/article"
+
+
+def varying_pages(draw, n, notice="All texts here are under our house rules and may not be sold on."):
+    """Pages of one host with two divs in varying order and a text that all have."""
+    rows, expected = [], {}
+    for i in range(n):
+        text = article(draw, draw.randint(1, 5))
+        body = "<div class=y>" + "".join(f"<p>{t}</p>" for t in text) + f"<p>{notice}</p></div>"
+        long = f"<div class=x><p>{'Read our terms before you go on. ' * 60}</p></div>"
+        parts = [body, long] if draw.random() < 0.5 else [long, body]
+        rows.append((i, "http://v.org/p", f"<body><div class=c>{''.join(parts)}</div></body>"))
+        expected[i] = "\n".join(text)
+    return rows, expected
+
+
+def test_the_wrapper_finds_what_a_page_alone_does_not(spark):
+    rows, expected = varying_pages(random.Random(4), 40)
+    for parts in (1, 2, 8):
+        table = pages(spark, rows).repartition(parts)
+        [found] = hw.infer_wrappers(table).collect()
+        assert found["main"] == "/body/div.c/div.y" and len(found["fixed"]) == 2
+        assert found["wrapper"] == "body div.c div.x p # /p /div.x div.y (p # /p)+ /div.y /div.c /body" or (
+            found["wrapper"] == "body div.c div.y (p # /p)+ /div.y div.x p # /p /div.x /div.c /body"
+        )
+        got = by(hw.extract_text(table), "page_id")
+        assert {i: got[i]["text"] for i in got} == expected
+    alone = {i: hw.main_text(source, None) for i, _, source in rows}
+    assert all(alone[i] != expected[i] for i in alone)
+    # The main element is in each page.
+    at = found["main_node"]
+    assert all(at in hw.page_of(source).tree.nodes for _, _, source in rows)
+
+
+def test_copies_of_an_article_are_not_taken_for_the_template(spark):
+    text = article(random.Random(5), 4)
+    page = "<article>" + "".join(f"<p>{t}</p>" for t in text) + "</article>"
+    rows = [(i, "http://w.org/", page + f"<p>{i}</p>") for i in range(12)]
+    rows.append((12, "http://w.org/", page.replace(text[0], "changed")))
+    got = by(hw.extract_text(pages(spark, rows)), "page_id")
+    assert all(got[i]["text"] == "\n".join(text) for i in range(12))
+    assert got[12]["text"] == "\n".join(["changed", *text[1:]])
+
+
+def test_articles_in_forms_and_readers_comments(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    fields = "<p>Name <input name=n></p><button>Go</button><select><option>A</option></select>"
+    comments = '<div class="user-feedback"><p>Nice</p></div>'
+    bodies = [
+        f"<form id=f><div><article><p>{text}</p>{comments}</article></div></form>",
+        f"<article><p>{text}</p><form>{fields}</form>{comments}</article>",
+        f"<main><p>{text}</p></main><form><article><p>{text} too</p></article></form>",
+    ]
+    rows = [(i, f"http://f{i}.org/", f"<body>{b}</body>") for i, b in enumerate(bodies)]
+    rows.append((3, "http://f3.org/", f"<body><form action=x><div><p>{text}</p><button>Go</button></div></form></body>"))
+    got = by(hw.extract_text(pages(spark, rows)), "page_id")
+    assert [got[i]["text"] for i in range(4)] == [text, text, f"{text} too", text]
+
+
+def test_long_pages_are_aligned_in_linear_time():
+    draw = random.Random(6)
+    sources = ["<article>" + "".join(f"<{t}>{i}</{t}>" for i, t in enumerate(draw.choices(["p", "h2", "pre"], k=2000))) + "</article>" for _ in range(2)]
+    trees = [hw.page_of(x).tree.holding() for x in sources]
+    start = time.perf_counter()
+    wrapper = folded(trees)
+    assert hw.path_of(wrapper, hw.main_element(wrapper)) == "/article"
+    assert time.perf_counter() - start < 0.2
 
 
 def test_names_of_containers_do_not_drop_the_article(spark):
