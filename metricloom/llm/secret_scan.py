@@ -1,15 +1,23 @@
-"""Secrets in texts: fixed patterns, and strings that no randomness test tells from random.
-
-A candidate is a run of encoding characters. Its encoding is the smallest
-alphabet that holds it; a run without a digit or without a letter is a word or a
-number. Three tests ask whether it could be uniform over that alphabet:
-chi-squared over equal cells (so many that each expects five characters) and
-over digits against the rest, runs above and below the middle, and lag-one serial
-correlation. The smallest of the p-values, times their number, is the candidate's. Within each encoding and length
-band, all candidates of the corpus together decide which are too regular
-(Benjamini-Hochberg on a fixed grid of p-values, so one small table of counts).
-What is left and carries enough bits is reported: long strings are judged among
-long ones, and short ones never pass for lack of power.
+"""Secrets in texts: fixed patterns, and strings that are random and not natural.
+
+A candidate is a run of 16 encoding characters or more. Its encoding is the smallest
+alphabet that holds it. Two questions are asked of it.
+
+Is it natural? Shorter runs, of all texts, give the frequency of each character after
+each other one. If natural strings follow these, the ratio of the two likelihoods,
+natural to uniform over the encoding, is a p-value for any length: a natural string has
+a ratio of p or less with probability p at most. Within each length band, all candidates
+of the corpus together decide which are reported (Benjamini-Hochberg): of the reported
+strings, a share of ``false_discovery`` is natural at most, in expectation.
+
+Is it regular? Of strings that may be reported, three tests ask whether they could be
+uniform over the alphabet: chi-squared over equal cells (so many that each expects five
+characters) and over digits against the rest, runs above and below the middle, and
+lag-one serial correlation. The smallest of the p-values, times their number, is the
+string's; within each encoding and length band, Benjamini-Hochberg again decides which
+are too regular to be random.
+
+Both decisions are made on a fixed grid of p-values, so on one small table of counts.
 """
 
 from __future__ import annotations
@@ -20,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricloom.llm.columns import let, running_totals, total
+from metricloom.llm.storage import stored
 
 # The kinds of secrets with a known form, in order.
 ASSIGN = (
@@ -31,8 +40,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_VALUE_LEAST = 6
 
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
-LEAST_BITS = 120.0
+LEAST_CHARACTERS = 16
+CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST_CHARACTERS},}}"
 FALSE_DISCOVERY = 0.05
 # Grid of p-values: tenths of decades from 1 to 1e-30.
 GRID_PER_DECADE, GRID_LAST = 10, 300
@@ -49,7 +58,15 @@ ENCODINGS = {
     "base62": DIGITS + LOWER.upper() + LOWER,
     "base64": LOWER.upper() + LOWER + DIGITS + "+/",
     "base64url": LOWER.upper() + LOWER + DIGITS + "-_",
+    "mixed": LOWER.upper() + LOWER + DIGITS + "+/-_",
 }
+SYMBOLS = ENCODINGS["mixed"]
+# What is natural before anything is counted: the share of characters of the kind of the
+# one before them (lower case, capital, digit, sign), how many characters that weighs, and
+# its share at least, however many are counted: joined words are rare among short runs.
+SAME_KIND = 0.85
+PRIOR_WEIGHT = 1000
+PRIOR_SHARE = 0.2
 # The usual five-term approximation of the normal tail.
 TAIL_T = 0.2316419
 TAIL = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
@@ -175,7 +192,7 @@ def _encoding(run: Column) -> Column:
     for name in reversed(ENCODINGS):
         held = ENCODINGS[name].replace("-", "") + "-" * ("-" in ENCODINGS[name])
         kind = F.when(run.rlike(f"^[{held}]+$"), F.lit(name)).otherwise(kind)
-    return F.when(run.rlike("[0-9]") & run.rlike("[A-Za-z]"), kind)
+    return kind
 
 
 def _p_value(run: Column, encoding: Column) -> Column:
@@ -203,8 +220,72 @@ def _battery(run: Column, alphabet: str) -> Column:
     return let(codes, least)
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """Runs that no known kind covers, with encoding, length band and p-value."""
+def _followers(run: Column) -> Column:
+    """Per character, the number of the pair of it and the one before it."""
+    codes = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(SYMBOLS), c))
+    return let(
+        codes,
+        lambda cs: F.transform(
+            cs, lambda c, i: F.coalesce(F.get(cs, i - 1), F.lit(0)) * len(SYMBOLS) + c - 1
+        ),
+    )
+
+
+def prior(before: str, after: str) -> float:
+    """The chance of a character after another, or first (before is empty), by their kinds."""
+    kinds = [LOWER, LOWER.upper(), DIGITS, SYMBOLS[62:]]
+    [own] = [k for k in kinds if after in k]
+    if not before:
+        return 1 / len(kinds) / len(own)
+    share = SAME_KIND if before in own else (1 - SAME_KIND) / (len(kinds) - 1)
+    return share / len(own)
+
+
+def natural_logs(docs: DataFrame) -> list[float]:
+    """log2 of the chance of each character after each other, from all shorter runs.
+
+    Runs are counted where they stand, then per pair of characters: 67 x 66 counts reach
+    the driver, whatever the corpus.
+    """
+    runs = F.split("text", "[^A-Za-z0-9+/_-]+")
+    rows = (
+        docs.select(F.explode(runs).alias("run"))
+        .where(F.length("run").between(1, LEAST_CHARACTERS - 1))
+        .groupBy("run")
+        .agg(F.count("*").alias("n"))
+        .select(F.explode(_followers(F.col("run"))).alias("pair"), "n")
+        .groupBy("pair")
+        .agg(F.sum("n").alias("n"))
+        .collect()
+    )
+    counts = {r["pair"]: r["n"] for r in rows}
+    logs = []
+    for i, before in enumerate(["", *SYMBOLS]):
+        first = i * len(SYMBOLS)
+        n = sum(counts.get(first + j, 0) for j in range(len(SYMBOLS)))
+        weight = max(PRIOR_WEIGHT, n * PRIOR_SHARE / (1 - PRIOR_SHARE))
+        for j, after in enumerate(SYMBOLS):
+            seen = counts.get(first + j, 0) + weight * prior(before, after)
+            logs.append(math.log2(seen / (n + weight)))
+    return logs
+
+
+def _natural_p(run: Column, encoding: Column, logs: list[float]) -> Column:
+    """The chance, at most, that a natural string is so much likelier as a uniform one."""
+    table = F.split(F.lit(",".join(map(repr, logs))), ",").cast("array<double>")
+    natural = F.aggregate(_followers(run), F.lit(0.0), lambda a, pair: a + F.get(table, pair))
+    bits = F.coalesce(
+        *[F.when(encoding == e, F.lit(math.log2(len(x)))) for e, x in ENCODINGS.items()]
+    )
+    return F.pow(F.lit(2.0), F.least(F.lit(0.0), natural + F.length(run) * bits))
+
+
+def _candidates(text: Column, base: Column, logs: list[float], false_discovery: float) -> Column:
+    """Runs that no known kind covers, with encoding, length band and p-values.
+
+    The battery is only asked about what may be reported: no higher p-value than
+    ``false_discovery`` ever is.
+    """
     free = F.filter(
         _located(text, CANDIDATE),
         lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
@@ -213,25 +294,20 @@ def _candidates(text: Column, base: Column) -> Column:
     def judged(c: Column) -> Column:
         return let(
             _encoding(c["found"]),
-            lambda e: F.struct(
-                c["start"].alias("start"),
-                c["end"].alias("end"),
-                e.alias("encoding"),
-                F.floor(F.log2(F.length(c["found"]))).cast("int").alias("band"),
-                _p_value(c["found"], e).alias("p"),
-                (
-                    F.length(c["found"])
-                    * F.coalesce(
-                        *[
-                            F.when(e == name, F.lit(math.log2(len(alphabet))))
-                            for name, alphabet in ENCODINGS.items()
-                        ]
-                    )
-                ).alias("bits"),
+            lambda e: let(
+                _natural_p(c["found"], e, logs),
+                lambda natural: F.struct(
+                    c["start"].alias("start"),
+                    c["end"].alias("end"),
+                    e.alias("encoding"),
+                    F.floor(F.log2(F.length(c["found"]))).cast("int").alias("band"),
+                    natural.alias("natural"),
+                    F.when(natural <= false_discovery, _p_value(c["found"], e)).alias("p"),
+                ),
             ),
         )
 
-    return F.filter(F.transform(free, judged), lambda c: c["encoding"].isNotNull())
+    return F.transform(free, judged)
 
 
 def _bin(p: Column) -> Column:
@@ -241,7 +317,7 @@ def _bin(p: Column) -> Column:
     )
 
 
-def _found(docs: DataFrame) -> DataFrame:
+def _found(docs: DataFrame, logs: list[float], false_discovery: float) -> DataFrame:
     """Adds base (known kinds) and candidates to the rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
@@ -263,56 +339,61 @@ def _found(docs: DataFrame) -> DataFrame:
 
     base = F.concat(of("assign", ASSIGN), of("access", ACCESS), of("hex", HEX))
     return docs.withColumn("base", F.array_sort(base)).withColumn(
-        "candidates", _candidates(text, F.col("base"))
+        "candidates", _candidates(text, F.col("base"), logs, false_discovery)
     )
 
 
-def regular_limits(found: DataFrame, false_discovery: float = FALSE_DISCOVERY) -> dict:
-    """(encoding, band) -> the first grid bin whose strings count as regular.
+def rejected(found: DataFrame, p: str, by: list[str], false_discovery: float) -> list:
+    """Benjamini-Hochberg on one p-value: per group, the first grid bin that is rejected.
 
-    One count per encoding, band and grid bin over all candidates; at most
-    8 x 31 x 301 rows whatever the corpus, of which one per encoding and band
-    reaches the driver.
+    One count per group and grid bin over all candidates that have the p-value; at most
+    9 x 31 x 301 rows whatever the corpus, of which one per group reaches the driver.
     """
     counts = (
         found.select(F.explode("candidates").alias("c"))
-        .groupBy("c.encoding", "c.band", _bin(F.col("c.p")).alias("bin"))
+        .where(F.col(f"c.{p}").isNotNull())
+        .groupBy(*[F.col(f"c.{name}").alias(name) for name in by], _bin(F.col(f"c.{p}")).alias("bin"))
         .agg(F.count("*").alias("n"))
     )
-    group = Window.partitionBy("encoding", "band")
+    group = Window.partitionBy(*by)
     below = group.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     edge = F.pow(F.lit(10.0), -F.col("bin") / GRID_PER_DECADE)
     passed = (
-        counts.withColumn("as_regular", F.sum("n").over(below))
+        counts.withColumn("so_far", F.sum("n").over(below))
         .withColumn("all", F.sum("n").over(group))
-        .where(F.col("all") * edge <= false_discovery * F.col("as_regular"))
+        .where(F.col("all") * edge <= false_discovery * F.col("so_far"))
     )
-    rows = passed.groupBy("encoding", "band").agg(F.min("bin").alias("bin")).collect()
-    return {(r["encoding"], r["band"]): r["bin"] for r in rows}
+    return passed.groupBy(*by).agg(F.min("bin").alias("bin")).collect()
 
 
 def find_secrets(
-    docs: DataFrame,
-    false_discovery: float = FALSE_DISCOVERY,
-    least_bits: float = LEAST_BITS,
+    docs: DataFrame, false_discovery: float = FALSE_DISCOVERY, keep_text: bool = True
 ) -> DataFrame:
     """Per row of docs: its columns doc_id and text, and spans of (start, rank, end).
 
     `rank` is the place in KINDS; base has the known kinds, spans also the random
     strings. A null or empty text has no spans; a null doc_id and repeated rows
-    stay rows of their own; other columns are left out. Two scans: one counts
-    candidates for the limits, one returns rows. Nothing is shuffled but counts.
+    stay rows of their own; other columns are left out, and the text too unless it is
+    to be kept. Two scans: one counts characters of short runs, one writes what was
+    found, which the decisions then read. Nothing else is shuffled but counts.
     """
-    found = _found(docs.select("doc_id", "text"))
-    limits = regular_limits(found, false_discovery)
+    docs = docs.select("doc_id", "text")
+    found = _found(docs, natural_logs(docs), false_discovery)
+    found = stored(found if keep_text else found.drop("text"), "candidates")
+    reported = rejected(found, "natural", ["band"], false_discovery)
+    regular = rejected(found, "p", ["encoding", "band"], false_discovery)
 
     def is_random(c: Column) -> Column:
-        regular = F.lit(False)
-        for (encoding, band), first in limits.items():
-            regular = regular | (
-                (c["encoding"] == encoding) & (c["band"] == band) & (_bin(c["p"]) >= first)
+        out = F.lit(False)
+        for r in reported:
+            out = out | ((c["band"] == r["band"]) & (_bin(c["natural"]) >= r["bin"]))
+        for r in regular:
+            out = out & ~(
+                (c["encoding"] == r["encoding"])
+                & (c["band"] == r["band"])
+                & (_bin(c["p"]) >= r["bin"])
             )
-        return (c["bits"] >= least_bits) & ~regular
+        return out
 
     spans = F.transform(
         F.filter("candidates", is_random),
@@ -320,9 +401,8 @@ def find_secrets(
             c["start"].alias("start"), F.lit(KINDS.index("random")).alias("rank"), c["end"].alias("end")
         ),
     )
-    return found.select(
-        "doc_id", "text", "base", F.array_sort(F.concat("base", spans)).alias("spans")
-    )
+    kept = ["doc_id", "text"] if keep_text else ["doc_id"]
+    return found.select(*kept, "base", F.array_sort(F.concat("base", spans)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
@@ -344,7 +424,7 @@ def secret_report(docs: DataFrame) -> DataFrame:
         rank = KINDS.index(kind)
         return F.size(F.filter("base", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
 
-    return find_secrets(docs).select(
+    return find_secrets(docs, keep_text=False).select(
         "doc_id",
         n("assign"),
         n("access"),

@@ -1,6 +1,7 @@
 """The secret scan against plain regular expressions, and the battery on known strings."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -102,8 +103,6 @@ def test_random_strings_are_found_and_regular_ones_are_not(spark):
 
 
 def test_tail_and_tests_agree_with_the_formulas(spark):
-    import math
-
     zs = [0.0, 0.5, 1.0, 1.96, 3.0, 6.0, 20.0]
     rows = spark.createDataFrame([(z,) for z in zs], "z double")
     for (got,), z in zip(rows.select(secret_scan._tail(F.col("z"))).collect(), zs, strict=True):
@@ -133,3 +132,127 @@ def test_empty_table_and_clashing_columns(spark):
         spark.createDataFrame([(None, "a"), (None, "a")], "doc_id bigint, text string")
     )
     assert twice.count() == 2
+
+
+def tail(z):
+    return math.erfc(abs(z) / math.sqrt(2))
+
+
+def battery(run, alphabet):
+    """The tests' smallest p-value times their number, the plain way."""
+    codes, n, size = [alphabet.index(c) for c in run], len(run), len(alphabet)
+    cells = max(2, min(size, n // secret_scan.EXPECTED_PER_CELL))
+    statistic = 0
+    for c in range(cells):
+        expected = n * (-(-(c + 1) * size // cells) - -(-c * size // cells)) / size
+        statistic += (sum(x * cells // size == c for x in codes) - expected) ** 2 / expected
+    spread = 2 / (9 * (cells - 1))
+    p = [tail(((statistic / (cells - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))]
+    share = sum(c.isdigit() for c in alphabet) / size
+    p.append(tail((sum(c.isdigit() for c in run) - n * share) / math.sqrt(n * share * (1 - share))))
+    high = [x >= size / 2 for x in codes]
+    product = 2 * sum(high) * (n - sum(high))
+    spread = product * (product - n) / (n * n * (n - 1))
+    changes = sum(a != b for a, b in zip(high, high[1:], strict=False))
+    p.append(tail((changes - product / n) / math.sqrt(spread)) if product and spread > 0 else 0)
+    mean = sum(codes) / n
+    around = sum((x - mean) ** 2 for x in codes)
+    along = sum((a - mean) * (b - mean) for a, b in zip(codes[1:], codes, strict=False))
+    p.append(tail((along / around + 1 / n) * math.sqrt(n)) if around else 0)
+    return min(1, 4 * min(p))
+
+
+def in_bins(p):
+    return min(secret_scan.GRID_LAST, math.floor(-10 * math.log10(max(p, 1e-300))))
+
+
+def reject(ps, level):
+    """Benjamini-Hochberg over binned p-values: the places rejected."""
+    bins = [in_bins(p) for p in ps]
+    first = [b for b in set(bins) if len(ps) * 10 ** (-b / 10) <= level * sum(x >= b for x in bins)]
+    return {i for i, b in enumerate(bins) if first and b >= min(first)}
+
+
+def spans_by_hand(texts, level=secret_scan.FALSE_DISCOVERY):
+    followers, totals = {}, {}
+    for text in texts:
+        for run in re.findall("[A-Za-z0-9+/_-]+", text or ""):
+            if len(run) < 16:
+                for a, b in zip(["", *run], run, strict=False):
+                    followers[a, b] = followers.get((a, b), 0) + 1
+                    totals[a] = totals.get(a, 0) + 1
+    found = []
+    for i, text in enumerate(texts):
+        base = base_by_hand(text)
+        for m in re.finditer("[A-Za-z0-9+/_-]{16,}", text or ""):
+            if any(s < m.end() and m.start() < e for s, _, e in base):
+                continue
+            run = m.group()
+            name = next(e for e, x in secret_scan.ENCODINGS.items() if set(run) <= set(x))
+            alphabet, natural = secret_scan.ENCODINGS[name], 0
+            for a, b in zip(["", *run], run, strict=False):
+                w = max(secret_scan.PRIOR_WEIGHT, totals.get(a, 0) * 0.2 / 0.8)
+                chance = followers.get((a, b), 0) + w * secret_scan.prior(a, b)
+                natural += math.log2(chance / (totals.get(a, 0) + w)) + math.log2(len(alphabet))
+            found.append((i, m.span(), name, len(run).bit_length() - 1, 2.0 ** min(0, natural), run))
+    reported, regular = set(), set()
+    for band in {f[3] for f in found}:
+        own = [f for f in found if f[3] == band]
+        reported |= {own[i][:2] for i in reject([f[4] for f in own], level)}
+        for name in {f[2] for f in own}:
+            some = [f for f in own if f[2] == name and f[4] <= level]
+            tested = [battery(f[5], secret_scan.ENCODINGS[name]) for f in some]
+            regular |= {some[i][:2] for i in reject(tested, level)}
+    spans = [base_by_hand(t) for t in texts]
+    for i, (start, end) in reported - regular:
+        spans[i].append((start, 3, end))
+    return [sorted(x) for x in spans]
+
+
+def corpus(draw, words, n_natural, n_secret, length):
+    """Prose with long natural runs, and unlabelled base62 keys of a length."""
+    alphabet, texts, natural = secret_scan.ENCODINGS["base62"], [], []
+    for _ in range(n_natural):
+        parts = draw.choices(words, k=draw.randint(3, 6))
+        sign = draw.choice(["-", "_", "/", ""])
+        run = sign.join(p.title() if not sign else p for p in parts) + str(draw.randint(0, 2030)) * draw.randint(0, 1)
+        natural.append(run)
+        texts.append(" ".join(draw.choices(words, k=30)) + " " + run)
+    secrets = ["".join(draw.choices(alphabet, k=length)) for _ in range(n_secret)]
+    return texts + [" ".join(draw.choices(words, k=30)) + " " + s + " end" for s in secrets]
+
+
+def sample_words(spark):
+    rows = read(spark, "/root/testdata/sf0.001", "documents").select("text").collect()
+    return sorted({w for r in rows for w in re.findall("[a-z]{3,12}", r["text"] or "")})
+
+
+def test_short_keys_are_found_at_the_stated_rate(spark):
+    words = sample_words(spark)
+    for length in (20, 24, 40):
+        texts = corpus(random.Random(length), words, 1500, 100, length)
+        rows = secret_scan.find_secrets(docs_of(spark, texts)).orderBy("doc_id").collect()
+        found = [any(s["rank"] == 3 for s in r["spans"]) for r in rows]
+        assert sum(found[1500:]) >= 85, length
+        assert sum(found[:1500]) <= 0.05 * sum(found), length
+
+
+def test_spans_against_the_plain_way(spark):
+    words = sample_words(spark)
+    draw = random.Random(9)
+    texts = corpus(draw, words, 150, 30, 20) + corpus(draw, words, 50, 30, 45)
+    texts += ["ab1" * 20, "x" * 70, "deadBEEF" * 5, "+49-170-1234567890", "----------------------", "1" * 40]
+    texts += [None, "", "token=" + "q9" * 20 + " AKIA" + "Z9" * 9 + "é𝄞 " + "Zx9-" * 6 + " " + "/w+" * 9]
+    texts += ["".join(draw.choices("0123456789ABCDEF", k=32)) + ", " + "".join(draw.choices("0123456789abcdef", k=23)) for _ in range(20)]
+    for table in (texts, [t * 2 if t else t for t in texts]):
+        rows = secret_scan.find_secrets(docs_of(spark, table)).orderBy("doc_id").collect()
+        got = [[(s["start"], s["rank"], s["end"]) for s in r["spans"]] for r in rows]
+        expected = spans_by_hand(table)
+        assert got == expected
+        assert sum(any(r == 3 for _, r, _ in x) for x in expected) > 50
+
+
+def test_texts_are_kept_if_asked_for(spark):
+    docs = docs_of(spark, ["a secret: abcdefgh", None])
+    assert [r["text"] for r in secret_scan.find_secrets(docs).orderBy("doc_id").collect()] == ["a secret: abcdefgh", None]
+    assert "text" not in secret_scan.find_secrets(docs, keep_text=False).columns
