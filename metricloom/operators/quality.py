@@ -112,31 +112,96 @@ def duplicated_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _unmatched(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str
-) -> DataFrame:
-    """Child values, null among them, missing from the parent, with their number of rows.
+@dataclass(frozen=True)
+class Keyed:
+    """Rows of a table to count by key: all of them, or those of a condition, by name."""
+
+    df: DataFrame
+    key: str
+    counts: dict[str, Column | None]
 
-    The child is counted per value before the join, so it moves one row per
-    value however often the value occurs.
+
+def counted_by_key(parts: Sequence[Keyed]) -> DataFrame:
+    """``key_value`` and, per named count, the rows that have the key.
+
+    The tables are put below each other and grouped once: each is scanned once, keys are
+    summed where they stand, and one shuffle moves a row per key and task. Children and
+    parents, unique and missing keys can all be told from the counts.
     """
-    values = child.groupBy(column).agg(F.count("*").alias("n_records"))
-    known = parent.select(F.col(parent_column).alias("known_value"))
-    return values.join(known, F.col(column) == F.col("known_value"), "left_anti")
+    names = [name for part in parts for name in part.counts]
+
+    def rows(part: Keyed) -> DataFrame:
+        own = {
+            name: F.lit(1) if condition is None else F.coalesce(condition, F.lit(False)).cast("int")
+            for name, condition in part.counts.items()
+        }
+        return part.df.select(
+            F.col(part.key).alias("key_value"),
+            *[own.get(name, F.lit(0)).cast("long").alias(name) for name in names],
+        )
+
+    return (
+        union_all(rows(part) for part in parts)
+        .groupBy("key_value")
+        .agg(*[F.sum(name).alias(name) for name in names])
+    )
+
+
+def _rows_without(child: str, parent: str, with_nulls: bool) -> Column:
+    """Child rows whose key no parent row has; a null key has no parent."""
+    missing = F.col("key_value").isNotNull() & (F.col(parent) == 0)
+    if with_nulls:
+        missing = F.col("key_value").isNull() | (F.col(parent) == 0)
+    return F.coalesce(F.sum(F.when(missing, F.col(child))), F.lit(0))
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Non-null child values missing from the parent, with their number of rows."""
-    present = child.where(F.col(column).isNotNull())
-    return _unmatched(present, column, parent, parent_column)
+def excess(name: str) -> Column:
+    """From counts by key: rows minus distinct values; a null counts as excess."""
+    value = F.col("key_value").isNotNull() & (F.col(name) > 0)
+    return F.coalesce(F.sum(name), F.lit(0)) - F.count_if(value)
+
+
+def lines_of(counted: DataFrame, lines: dict[str, Column]) -> DataFrame:
+    """One named line of a report for each aggregate of a table, from one pass."""
+    row = counted.agg(*[value.alias(f"c{i}") for i, value in enumerate(lines.values())])
+    pairs = [
+        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").cast("long").alias("failures"))
+        for i, name in enumerate(lines)
+    ]
+    return row.select(F.explode(F.array(*pairs)).alias("line")).select("line.*")
+
+
+def parentless_rows(child: str, parent: str) -> Column:
+    """From counts by key: child rows a left join would leave without a parent."""
+    return _rows_without(child, parent, with_nulls=True)
 
 
 def unmatched_rows(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str
 ) -> DataFrame:
     """Child rows without a parent row: what a left join would leave without a key."""
-    unmatched = _unmatched(child, column, parent, parent_column)
-    return unmatched.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures"))
+    counted = counted_by_key(
+        [Keyed(child, column, {"child": None}), Keyed(parent, parent_column, {"parent": None})]
+    )
+    return counted.agg(parentless_rows("child", "parent").alias("failures"))
+
+
+def orphan_rows(child: str, parent: str) -> Column:
+    """From counts by key: child rows with a key that the parent lacks."""
+    return _rows_without(child, parent, with_nulls=False)
+
+
+def relationship_lines(tables: dict[str, DataFrame], checks: Sequence[Relationship]) -> DataFrame:
+    """The lines of relationships that share a child's key, in one grouped pass."""
+    child = checks[0]
+    parents = list(dict.fromkeys((c.parent, c.parent_column) for c in checks))
+    at = {parent: f"parent_{i}" for i, parent in enumerate(parents)}
+    parts = [Keyed(tables[child.table], child.column, {"child": None})]
+    parts += [Keyed(tables[p], column, {at[p, column]: None}) for p, column in parents]
+    return lines_of(
+        counted_by_key(parts),
+        {c.name: orphan_rows("child", at[c.parent, c.parent_column]) for c in checks},
+    )
 
 
 def excess_rows(df: DataFrame, column: str) -> DataFrame:
@@ -164,10 +229,11 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
     """``check_name, failures`` for every check.
 
     Row conditions on one table share a single scan and a single aggregate;
-    uniqueness and relationships take one grouped pass each.
+    relationships of one column share a grouped pass; uniqueness takes one each.
     """
     checks = list(checks)
     row_checks: dict[str, list[NotNull | AcceptedValues | RateMissing | Typed]] = {}
+    related: dict[tuple[str, str], list[Relationship]] = {}
     lines = []
     for check in checks:
         match check:
@@ -175,27 +241,15 @@ def run_checks(tables: dict[str, DataFrame], checks: Iterable[Check]) -> DataFra
                 failing = duplicated_values(tables[check.table], check.column)
                 lines.append(report_line(check.name, failing.agg(F.count("*").alias("failures"))))
             case Relationship():
-                failing = orphans(
-                    tables[check.table], check.column, tables[check.parent], check.parent_column
-                )
-                total = F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")
-                lines.append(report_line(check.name, failing.agg(total)))
+                related.setdefault((check.table, check.column), []).append(check)
             case _:
                 row_checks.setdefault(check.table, []).append(check)
     for table, group in row_checks.items():
-        lines.append(_row_check_lines(tables[table], group))
+        lines.append(lines_of(tables[table], {c.name: F.count_if(c.fails()) for c in group}))
+    lines += [relationship_lines(tables, group) for group in related.values()]
     return union_all(lines)
 
 
-def _row_check_lines(df: DataFrame, checks: Sequence) -> DataFrame:
-    counted = df.agg(*[F.count_if(c.fails()).alias(f"c{i}") for i, c in enumerate(checks)])
-    pairs = [
-        F.struct(F.lit(c.name).alias("check_name"), F.col(f"c{i}").alias("failures"))
-        for i, c in enumerate(checks)
-    ]
-    return counted.select(F.explode(F.array(*pairs)).alias("line")).select("line.*")
-
-
 def source_freshness(
     df: DataFrame, source: str, loaded_at: str, hours: tuple[int, int], as_of: Column
 ) -> DataFrame:

@@ -647,14 +647,20 @@ def dq_relationships_payments(spark, folder):
 @query
 def dq_orphan_event_sk(spark, folder):
     """Events whose facts have no key, against all and against paying customers."""
-    events, customers = _events(spark, folder), _customers(spark, folder)
-    parents = {"all": customers, "paying": customers.where("is_paying")}
-    return quality.union_all(
-        quality.report_line(
-            f"no orphan event customer_sk ({name})",
-            quality.unmatched_rows(events, "customer_id", parent, "customer_id"),
-        )
-        for name, parent in parents.items()
+    counted = quality.counted_by_key(
+        [
+            quality.Keyed(_events(spark, folder), "customer_id", {"events": None}),
+            quality.Keyed(
+                _customers(spark, folder), "customer_id", {"all": None, "paying": F.col("is_paying")}
+            ),
+        ]
+    )
+    return quality.lines_of(
+        counted,
+        {
+            f"no orphan event customer_sk ({name})": quality.parentless_rows("events", name)
+            for name in ("all", "paying")
+        },
     )
 
 
@@ -681,18 +687,25 @@ def source_freshness(spark, folder):
 @query
 def dq_report(spark, folder):
     """The summary lines; events are held against paying customers, so that one line fails."""
-    customers, payments = _customers(spark, folder), _payments(spark, folder)
-    paying = customers.where("is_paying")
-    lines = {
-        "customers": quality.excess_rows(customers, "customer_id"),
-        "payments": quality.excess_rows(payments, "payment_id"),
-        "events": quality.unmatched_rows(
-            _events(spark, folder), "customer_id", paying, "customer_id"
-        ),
-    }
-    return quality.union_all(
-        quality.report_line(fixed.REPORT_LINES[name], df) for name, df in lines.items()
+    by_customer = quality.counted_by_key(
+        [
+            quality.Keyed(
+                _customers(spark, folder), "customer_id",
+                {"customers": None, "paying": F.col("is_paying")},
+            ),
+            quality.Keyed(_events(spark, folder), "customer_id", {"events": None}),
+        ]
+    )
+    payments = quality.excess_rows(_payments(spark, folder), "payment_id")
+    names = fixed.REPORT_LINES
+    lines = quality.lines_of(
+        by_customer,
+        {
+            names["customers"]: quality.excess("customers"),
+            names["events"]: quality.parentless_rows("events", "paying"),
+        },
     )
+    return lines.unionByName(quality.report_line(names["payments"], payments))
 
 
 # --- serving --------------------------------------------------------------------------------

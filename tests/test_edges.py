@@ -262,3 +262,23 @@ def test_checks(spark):
     assert quality.unmatched_rows(child, "k", parent, "k").first().failures == 3
     with pytest.raises(quality.QualityError, match="not_null_child_k: 1"):
         quality.require_no_failures(report)
+
+
+def test_counts_by_key_against_joins(spark):
+    child = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (None,)], "k int")
+    one = spark.createDataFrame([(1,), (1,), (None,)], "p bigint")
+    two = spark.createDataFrame([(2, True), (3, False), (9, None)], "p bigint, on boolean")
+    tables = {"child": child, "one": one, "two": two, "on": two.where("on"), "none": two.limit(0)}
+    checks = [quality.Relationship("child", "k", parent, "p") for parent in ("one", "two", "on", "none")]
+    got = {r.check_name: r.failures for r in quality.run_checks(tables, checks).collect()}
+    assert [got[c.name] for c in checks] == [2, 2, 3, 4]
+    empty = quality.run_checks({**tables, "child": child.limit(0)}, checks).collect()
+    assert len(empty) == 4 and all(r.failures == 0 for r in empty)
+    counted = quality.counted_by_key(
+        [quality.Keyed(child, "k", {"child": None}), quality.Keyed(two, "p", {"two": None, "on": two["on"]})]
+    )
+    lines = quality.lines_of(
+        counted,
+        {"excess": quality.excess("child"), "without": quality.parentless_rows("child", "on"), "fine": quality.excess("two")},
+    )
+    assert {r.check_name: r.failures for r in lines.collect()} == {"excess": 3, "without": 5, "fine": 0}

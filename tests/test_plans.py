@@ -88,6 +88,15 @@ def test_number_of_scans_and_shuffles(spark):
     assert text.count("FileScan") - text.count("ReusedExchange") <= 4
 
 
+def test_relationships_of_a_key_take_one_shuffle(spark):
+    for name, scans in (("dq_relationships_payments", 4), ("dq_orphan_event_sk", 2), ("dq_report", 3)):
+        text = _executed(REGISTRY[name](spark, FOLDER))
+        assert text.count("FileScan") <= scans, name
+        assert "Join" not in text
+        by_key = [x for x in text.splitlines() if "hashpartitioning(key_value" in x]
+        assert len(by_key) == 1, name
+
+
 def test_synthetic_rows_are_planned_without_a_job(spark):
     jobs = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "")
