@@ -11,12 +11,18 @@ are stitched, and groups may run over any number of pieces.
 Tokens of a group are linked. Counts of linked pairs over the corpus go through chunks
 of bounded size: a chunk's distinct pairs are counted once, summed over all chunks, and
 sent back to the chunk, so no pair moves once per document.
+
+Where no token of either tokenizer goes on from a word into white space, a text may be
+cut before encoding: it is encoded segment by segment, and a task keeps the ids of
+segments that come often.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +31,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from metricloom.llm import bpe
 from metricloom.llm.storage import stored
@@ -36,6 +43,10 @@ SLICE_CHARS, CHUNK_CHARS = 1 << 19, 1 << 24
 LARGE_GROUP = 1 << 12
 PAIRS_PER_ROW = 1 << 13
 SPACE_SIGN = "▁"
+# White space as A's pattern has it.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Segments kept with their ids per task, and the longest that is kept.
+KNOWN_SEGMENTS, KNOWN_LENGTH = 1 << 18, 64
 
 
 class Pair:
@@ -55,6 +66,8 @@ class Pair:
                 self.b_texts.append(piece.replace(SPACE_SIGN, " ").encode())
         self.b_sizes = np.array([len(t) for t in self.b_texts], np.int64)
         self.width = len(self.b_texts)
+        segment = segment_pattern(b_model)
+        self.known = _Segments(self, segment) if segment else None
 
     def __reduce__(self):
         return Pair, (self.a, self.b_model)
@@ -74,6 +87,140 @@ class Pair:
             return None
         return a, b
 
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """As encode, of all texts: A's ids, B's ids, and how many of either a text has."""
+        if self.known:
+            return self.known.encode_all(texts)
+        none = np.empty(0, np.int64)
+        both = [self.encode(t) or (none, none) for t in texts]
+        return (
+            np.concatenate([none, *(a for a, _ in both)]),
+            np.concatenate([none, *(b for _, b in both)]),
+            np.array([len(a) for a, _ in both], np.int64),
+            np.array([len(b) for _, b in both], np.int64),
+        )
+
+
+def segment_pattern(b_model: bytes) -> re.Pattern | None:
+    """Cuts space + text so that B's ids are those of the segments; None if nothing may be cut.
+
+    A segment is white space and the word after it. So for merges of pieces that change
+    no character, if no piece goes on from a word into a space; before other white space
+    that a piece goes on into ("\\r" in ";\\r") nothing is cut. No piece may hold the line
+    end, see _Segments. A's pattern starts anew at white space after a word.
+    """
+    model = model_pb2.ModelProto.FromString(b_model)
+    train, rules = model.trainer_spec, model.normalizer_spec
+    pieces = [p.piece for p in model.pieces]
+    into = re.compile(f"[^{WHITE}{SPACE_SIGN}]([{WHITE}{SPACE_SIGN}])")
+    joined = {white for piece in pieces for white in into.findall(piece)}
+    plain = (
+        train.model_type == train.BPE
+        and train.byte_fallback
+        and not train.treat_whitespace_as_suffix
+        and not rules.precompiled_charsmap
+        and not rules.remove_extra_whitespaces
+        and rules.add_dummy_prefix
+        and rules.escape_whitespaces
+        and not any(p.type == p.USER_DEFINED for p in model.pieces)
+    )
+    if not plain or joined & {" ", SPACE_SIGN} or any("\n" in piece for piece in pieces):
+        return None
+    more = f"(?:[{''.join(sorted(joined))}][{WHITE}]*[^{WHITE}]*)*" if joined else ""
+    return re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
+
+
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ..., sizes[0] of them, then those of the next, and so on."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
+
+
+class _Ids:
+    """One tokenizer's ids of the known segments, one after the other."""
+
+    def __init__(self):
+        self.ids, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+
+    def add(self, lists: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+
+    def of(self, segments: np.ndarray) -> np.ndarray:
+        starts = np.cumsum(self.sizes) - self.sizes
+        return self.ids[places(starts[segments], self.sizes[segments])].astype(np.int64)
+
+    def keep(self, segments: np.ndarray) -> None:
+        self.ids, self.sizes = self.of(segments).astype(np.int32), self.sizes[segments]
+
+
+class _Segments:
+    """Numbers of segments with both tokenizers' ids; when full, the less used half goes.
+
+    A segment is put to B behind a line end, which no piece holds: B's sign for the
+    start of a text and that of the line end are then the first two ids.
+    """
+
+    def __init__(self, own: Pair, segment: re.Pattern):
+        self.own, self.segment, self.numbers = own, segment, {}
+        self.a_sizes = own.a.sizes.tolist()
+        self.a, self.b = _Ids(), _Ids()
+        self.whole, self.used = np.empty(0, bool), np.empty(0, np.int64)
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        lists = [self.segment.findall(" " + t) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        kept = self._learn(set(chain.from_iterable(lists)).difference(self.numbers))
+        found = np.fromiter(
+            map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum())
+        )
+        text_of = np.repeat(np.arange(len(texts)), sizes)
+        broken = np.bincount(text_of, ~self.whole[found], len(texts)) > 0
+        left = ~broken[text_of]
+        found, text_of = found[left], text_of[left]
+        out = (
+            self.a.of(found),
+            self.b.of(found),
+            np.bincount(text_of, self.a.sizes[found], len(texts)).astype(np.int64),
+            np.bincount(text_of, self.b.sizes[found], len(texts)).astype(np.int64),
+        )
+        self.used += np.bincount(found, minlength=len(self.used))
+        self._forget(kept)
+        return out
+
+    def _learn(self, new: set[str]) -> int:
+        """Enters the segments, long ones last; how many are known without the long ones."""
+        own, segments = self.own, sorted(new, key=lambda s: len(s) > KNOWN_LENGTH)
+        a = [own.a.encode(s, added=False) for s in segments]
+        b = [ids[2:] for ids in own.b.encode(["\n" + s for s in segments], num_threads=1)]
+        b_text, a_size = own.b_texts.__getitem__, self.a_sizes.__getitem__
+        whole = [
+            b"".join(map(b_text, of_b)) == (raw := s.encode()) and sum(map(a_size, of_a)) == len(raw)
+            for s, of_a, of_b in zip(segments, a, b, strict=True)
+        ]
+        self.a.add(a)
+        self.b.add(b)
+        self.whole = np.append(self.whole, np.array(whole, bool))
+        self.used = np.append(self.used, np.zeros(len(segments), np.int64))
+        self.numbers.update(zip(segments, range(len(self.numbers), len(self.used)), strict=True))
+        return len(self.used) - sum(len(s) > KNOWN_LENGTH for s in segments)
+
+    def _forget(self, kept: int) -> None:
+        if kept > KNOWN_SEGMENTS:
+            order = np.argsort(-self.used[:kept], kind="stable")
+            stay = np.sort(order[: KNOWN_SEGMENTS // 2])
+        elif kept < len(self.used):
+            stay = np.arange(kept)
+        else:
+            return
+        names = list(self.numbers)
+        self.numbers = {names[i]: n for n, i in enumerate(stay.tolist())}
+        self.a.keep(stay)
+        self.b.keep(stay)
+        self.whole, self.used = self.whole[stay], self.used[stay] // 2
+
 
 def pair(a_path: str, b_path: str) -> Pair:
     with open(b_path, "rb") as file:
@@ -133,13 +280,8 @@ class Aligned:
     """Some texts aligned together: their tokens one after the other, cut into groups."""
 
     def __init__(self, own: Pair, texts: list[str | None], steps: int = PIECE_STEPS):
-        none = np.empty(0, np.int64)
-        both = [own.encode(t) or (none, none) for t in texts]
         self.own, self.texts = own, len(texts)
-        self.n_a = np.array([len(a) for a, _ in both], np.int64)
-        self.n_b = np.array([len(b) for _, b in both], np.int64)
-        self.a = np.concatenate([a for a, _ in both] or [none])
-        self.b = np.concatenate([b for _, b in both] or [none])
+        self.a, self.b, self.n_a, self.n_b = own.encode_all(texts)
         # Both sides of a text have the same bytes, so ends of texts are common ends.
         last_a, last_b = closers(
             np.cumsum(own.a.sizes[self.a]), np.cumsum(own.b_sizes[self.b]), steps

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -173,3 +175,76 @@ def test_packed_numbers():
     for numbers in ([], [0], [255, 256], [1 << 40, 3]):
         got = alignment.unpacked(alignment.packed(np.array(numbers, np.int64)))
         assert got.tolist() == numbers
+
+
+class Counting:
+    """A tokenizer that counts the characters it is asked to encode."""
+
+    def __init__(self, encoder):
+        self.encoder, self.chars = encoder, 0
+
+    def encode(self, texts, **options):
+        self.chars += len(texts) if isinstance(texts, str) else sum(map(len, texts))
+        return self.encoder.encode(texts, **options)
+
+
+def test_common_words_are_encoded_once(monkeypatch):
+    own = alignment.pair(A, B)
+    monkeypatch.setattr(own, "b", Counting(own.b))
+    texts = [f"the word {i} stands\nin the text" for i in range(40)]
+    alignment.Aligned(own, texts)
+    first, own.b.chars = own.b.chars, 0
+    alignment.Aligned(own, [" ".join(texts[i] for i in range(k, 40, 3)) for k in range(3)])
+    assert 0 < first < 800 and own.b.chars < 100
+
+
+SIGNS = [
+    *" \t\n\r\x0b\x0c\x85\xa0\u1680\u2002\u200a\u200b\u2028\u202f\u205f\u3000\ufeff\x00\x1c\x1f",
+    *"ab;){}'1=é́日本😀İ▁\u0378\U0001cc00",
+    *["  ", "    ", ";\r\n", "'s", " the", "<s>", "<0x0A>", "<|endoftext|>", "x" * 70, " \r", "\n\n "],
+]
+
+
+@pytest.mark.parametrize("known", [1, 30, 1 << 18])
+def test_segments_give_the_ids_of_the_whole(known, own, monkeypatch):
+    assert own.known is not None
+    monkeypatch.setattr(alignment, "KNOWN_SEGMENTS", known)
+    monkeypatch.setattr(alignment, "KNOWN_LENGTH", 6)
+    monkeypatch.setattr(own, "known", alignment._Segments(own, own.known.segment))
+    rng = random.Random(known)
+    words = [s for s in SIGNS if s != "▁"]
+    for _ in range(60):
+        texts = [
+            "".join(rng.choices(SIGNS if k % 4 == 0 else words, k=rng.randint(0, 25)))
+            for k in range(20)
+        ] + [None, "", " ", "\n", "\r"]
+        a, b, n_a, n_b = own.encode_all(texts)
+        for text, of_a, of_b in zip(
+            texts, np.split(a, np.cumsum(n_a)[:-1]), np.split(b, np.cumsum(n_b)[:-1]), strict=True
+        ):
+            whole = own.encode(text) or ([], [])
+            assert of_a.tolist() == list(whole[0]) and of_b.tolist() == list(whole[1]), repr(text)
+        assert len(own.known.numbers) <= known
+        assert all(len(s) <= 6 for s in own.known.numbers)
+
+
+def test_white_space_is_that_of_the_pattern():
+    signs = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert re.findall(f"[{alignment.WHITE}]", signs) == regex.findall(r"\s", signs)
+
+
+def test_no_cut_where_a_piece_goes_on_into_white_space(own, monkeypatch):
+    model = alignment.model_pb2.ModelProto.FromString(own.b_model)
+    cut = alignment.segment_pattern(own.b_model).findall
+    assert cut(" a;\r\n b c\nd") == [" a;\r\n b", " c", "\nd"]
+    for piece in ("a▁b", "x\n"):
+        other = alignment.model_pb2.ModelProto.FromString(own.b_model)
+        other.pieces[-1].piece = piece
+        assert alignment.segment_pattern(other.SerializeToString()) is None
+    model.normalizer_spec.remove_extra_whitespaces = True
+    assert alignment.segment_pattern(model.SerializeToString()) is None
+    # Texts are then encoded whole.
+    segments = own.encode_all(HARD)
+    monkeypatch.setattr(own, "known", None)
+    for x, y in zip(segments, own.encode_all(HARD), strict=True):
+        assert x.tolist() == y.tolist()
