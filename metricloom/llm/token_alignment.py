@@ -13,8 +13,8 @@ of bounded size: a chunk's distinct pairs are counted once, summed over all chun
 sent back to the chunk, so no pair moves once per document.
 
 Where no token of either tokenizer goes on from a word into white space, a text may be
-cut before encoding: it is encoded segment by segment, and a task keeps the ids of
-segments that come often.
+cut before encoding: it is encoded segment by segment, and a worker's process keeps the
+ids of segments that come often.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,8 @@ PAIRS_PER_ROW = 1 << 13
 SPACE_SIGN = "▁"
 # White space as A's pattern has it.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# Segments kept with their ids per task, and the longest that is kept.
-KNOWN_SEGMENTS, KNOWN_LENGTH = 1 << 18, 64
+# Segments kept with their ids per process, and the longest that is kept.
+KNOWN_SEGMENTS, KNOWN_LENGTH = 1 << 19, 64
 
 
 class Pair:
@@ -70,7 +71,7 @@ class Pair:
         self.known = _Segments(self, segment) if segment else None
 
     def __reduce__(self):
-        return Pair, (self.a, self.b_model)
+        return loaded, (self.a.source, self.b_model)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """A's ids of space + text and B's of text; None where their bytes are not those."""
@@ -101,6 +102,12 @@ class Pair:
         )
 
 
+@lru_cache(maxsize=1)
+def loaded(a_source: str, b_model: bytes) -> Pair:
+    """Read once by a worker's process: later tasks find it with the segments it knows."""
+    return Pair(bpe.Vocabulary(a_source), b_model)
+
+
 def segment_pattern(b_model: bytes) -> re.Pattern | None:
     """Cuts space + text so that B's ids are those of the segments; None if nothing may be cut.
 
@@ -143,10 +150,13 @@ class _Ids:
     def __init__(self):
         self.ids, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
+    def add(self, lists: list[list[int]], token_bytes: np.ndarray) -> np.ndarray:
+        """Enters the ids of new segments; how many bytes each has by its tokens."""
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
         ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
         self.ids, self.sizes = np.append(self.ids, ids), np.append(self.sizes, sizes)
+        ends = np.cumsum(np.append(0, token_bytes[ids]))
+        return np.diff(ends[np.cumsum(np.append(0, sizes))])
 
     def of(self, segments: np.ndarray) -> np.ndarray:
         starts = np.cumsum(self.sizes) - self.sizes
@@ -165,7 +175,8 @@ class _Segments:
 
     def __init__(self, own: Pair, segment: re.Pattern):
         self.own, self.segment, self.numbers = own, segment, {}
-        self.a_sizes = own.a.sizes.tolist()
+        # Side by side these are split as they are one by one: a word ends before white space.
+        self.regular = re.compile("(?!)" if own.a.suffix else f"[{WHITE}].*[^{WHITE}]", re.DOTALL)
         self.a, self.b = _Ids(), _Ids()
         self.whole, self.used = np.empty(0, bool), np.empty(0, np.int64)
 
@@ -190,19 +201,39 @@ class _Segments:
         self._forget(kept)
         return out
 
+    def _of_a(self, segments: list[str]) -> list[list[int]]:
+        """A's ids of each segment; A splits those of white space and a word in one go."""
+        own, regular = self.own.a, self.regular.fullmatch
+        alone = [not regular(s) for s in segments]
+        joint = [s for s, single in zip(segments, alone, strict=True) if not single]
+        words = own.split("".join(joint))
+        lists = list(map(own.words.__getitem__, words))
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        tokens = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+        last = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, joint), np.int64, len(joint))))
+        cuts, ids = tokens[last].tolist(), list(chain.from_iterable(lists))
+        each = (ids[low:high] for low, high in zip([0, *cuts], cuts, strict=False))
+        return [
+            own.encode(s, added=False) if single else next(each)
+            for s, single in zip(segments, alone, strict=True)
+        ]
+
     def _learn(self, new: set[str]) -> int:
         """Enters the segments, long ones last; how many are known without the long ones."""
         own, segments = self.own, sorted(new, key=lambda s: len(s) > KNOWN_LENGTH)
-        a = [own.a.encode(s, added=False) for s in segments]
+        a = self._of_a(segments)
         b = [ids[2:] for ids in own.b.encode(["\n" + s for s in segments], num_threads=1)]
-        b_text, a_size = own.b_texts.__getitem__, self.a_sizes.__getitem__
-        whole = [
-            b"".join(map(b_text, of_b)) == (raw := s.encode()) and sum(map(a_size, of_a)) == len(raw)
-            for s, of_a, of_b in zip(segments, a, b, strict=True)
-        ]
-        self.a.add(a)
-        self.b.add(b)
-        self.whole = np.append(self.whole, np.array(whole, bool))
+        raws = [s.encode() for s in segments]
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        whole = (self.a.add(a, own.a.sizes) == sizes) & (self.b.add(b, own.b_sizes) == sizes)
+        # With the sizes equal, the bytes of all segments are equal if those of each are.
+        text_of = own.b_texts.__getitem__
+        if b"".join(map(text_of, chain.from_iterable(compress(b, whole)))) != b"".join(
+            compress(raws, whole)
+        ):
+            same = (b"".join(map(text_of, ids)) == raw for ids, raw in zip(b, raws, strict=True))
+            whole &= np.fromiter(same, bool, len(raws))
+        self.whole = np.append(self.whole, whole)
         self.used = np.append(self.used, np.zeros(len(segments), np.int64))
         self.numbers.update(zip(segments, range(len(self.numbers), len(self.used)), strict=True))
         return len(self.used) - sum(len(s) > KNOWN_LENGTH for s in segments)

@@ -1,6 +1,7 @@
 """Alignment against reading both token lists end by end."""
 
 import hashlib
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -198,6 +199,14 @@ def test_common_words_are_encoded_once(monkeypatch):
     assert 0 < first < 800 and own.b.chars < 100
 
 
+def test_later_tasks_of_a_process_find_what_is_known(own):
+    sent = pickle.dumps(own)
+    first = pickle.loads(sent)
+    alignment.Aligned(first, ["a text of some words"])
+    later = pickle.loads(sent)
+    assert later is first and " words" in later.known.numbers
+
+
 SIGNS = [
     *" \t\n\r\x0b\x0c\x85\xa0\u1680\u2002\u200a\u200b\u2028\u202f\u205f\u3000\ufeff\x00\x1c\x1f",
     *"ab;){}'1=é́日本😀İ▁\u0378\U0001cc00",
